@@ -1 +1,183 @@
-"""Placeholder."""
+"""Classifiers, the token tagger and scoring, in batch and on a stream."""
+
+from __future__ import annotations
+
+from pyspark.ml import PipelineModel
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from reviewlens.catalog import sql as Q
+from reviewlens.catalog.corpora import corpus
+from reviewlens.catalog.registry import SEED, SLANG, STOPWORDS, labelled, register, table, turns
+from reviewlens.functions import bio as B, text as T
+from reviewlens.operators.classifier import fit_classifier
+from reviewlens.operators.sampling import stratified_split
+from reviewlens.operators.tagger import Tagger, fit_tagger, tag_tokens, token_probabilities
+from reviewlens.plans.scoring import score_reviews, tag_reviews
+from reviewlens.plans.training import train_and_evaluate
+from reviewlens.session import shared_dir
+from reviewlens.streaming.scoring import read_arriving, score_stream
+
+FEW_ITERATIONS = 15
+
+
+def naive_bayes_sql(tag: str, train: str, label: str, score: str, key: str, text: str = "text") -> str:
+    """CTEs that end in ``{tag}_out (key, predicted)``: TF-IDF and naive Bayes step by step."""
+    chain = ", ".join(
+        [
+            Q.terms(train, key, text),
+            Q.idf(train),
+            Q.weights(key),
+            f"""sums AS (SELECT {label} AS label, term, sum(weight) AS w FROM tfidf t JOIN {train} s ON s.{key} = t.{key}
+                  GROUP BY ALL),
+              size AS (SELECT count(*) AS v FROM vocab),
+              cls AS (SELECT label, ln(n / sum(n) OVER ()) AS prior, coalesce(w, 0) AS w FROM
+                  (SELECT {label} AS label, count(*) AS n FROM {train} GROUP BY ALL) LEFT JOIN
+                  (SELECT label, sum(w) AS w FROM sums GROUP BY label) USING (label))""",
+        ]
+    )
+    seen = (
+        Q.terms(score, key, text).replace("ws AS", "ws2 AS").replace("FROM ws)", "FROM ws2)")
+        .replace("ts AS", "ts2 AS").replace("FROM ts ", "FROM ts2 ").replace("tf AS (SELECT", "tf2 AS (SELECT")
+    )
+    out = f"""{chain}, {seen}, {Q.weights(key, "tf2", "test")},
+      scored AS (SELECT d.{key}, c.label, any_value(c.prior) + coalesce(sum(t.weight *
+          (ln(coalesce(s.w, 0) + 1) - ln(c.w + v))), 0) AS score
+        FROM (SELECT {key} FROM {score}) d CROSS JOIN cls c CROSS JOIN size LEFT JOIN test t ON t.{key} = d.{key}
+        LEFT JOIN sums s ON s.label = c.label AND s.term = t.term GROUP BY d.{key}, c.label),
+      out AS (SELECT {key}, arg_max(label, score) AS predicted FROM scored GROUP BY {key})"""
+    return f"{tag}_out AS (WITH {out} SELECT * FROM out)"
+
+
+_SPLIT = f"""{Q.stratified('documents', 'lang', 'doc_id')},
+      tr AS (SELECT d.doc_id, d.lang, d.text FROM documents d JOIN split s ON s.doc_id = d.doc_id WHERE NOT is_test),
+      te AS (SELECT d.doc_id, d.lang, d.text FROM documents d JOIN split s ON s.doc_id = d.doc_id WHERE is_test)"""
+
+
+def _split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    split = stratified_split(docs, "lang", 0.2, "doc_id", SEED)
+    return split.where("NOT is_test").drop("is_test"), split.where("is_test").drop("is_test")
+
+
+@register(
+    f"""WITH {_SPLIT}, {naive_bayes_sql('nb', 'tr', 'lang', 'te', 'doc_id')}
+    SELECT te.doc_id, te.lang, predicted FROM te JOIN nb_out USING (doc_id)"""
+)
+def nb_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Naive Bayes on the train part, predictions for the test part."""
+    train, test = _split(spark, sf_dir)
+    return fit_classifier(train, "lang", "naive_bayes", out="predicted").transform(test).drop("text")
+
+
+@register()
+def lr_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``nb_scores`` with balanced logistic regression."""
+    train, test = _split(spark, sf_dir)
+    model = fit_classifier(train, "lang", "logistic_regression", out="predicted", max_iter=FEW_ITERATIONS)
+    return model.transform(test).drop("text")
+
+
+@register()
+def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both learners on the same split, with all their metrics."""
+    docs = table(spark, sf_dir, "documents")
+    return train_and_evaluate(docs, "lang", "doc_id", "lang", max_iter=FEW_ITERATIONS).report
+
+
+def _models(spark: SparkSession, sf_dir: str) -> dict[str, PipelineModel]:
+    """Language and quality models on preprocessed text."""
+    clean = T.preprocess(F.col("text"), SLANG, STOPWORDS)
+    docs = labelled(spark, sf_dir).select("doc_id", "lang", "quality", clean.alias("clean_text"))
+    docs = docs.withColumn("quality", F.col("quality").cast("string")).persist()
+    try:
+        return {
+            "aspect": fit_classifier(docs, "lang", text="clean_text", out="predicted_aspect"),
+            "sentiment": fit_classifier(docs, "quality", text="clean_text", out="predicted_sentiment"),
+        }
+    finally:
+        docs.unpersist()
+
+
+def _scored_sql(source: str, key: str, columns: str) -> str:
+    train = Q.stages("documents", "doc_id", SLANG, STOPWORDS)
+    test = Q.stages(source, key, SLANG, STOPWORDS)
+    for i in "1234":
+        test = test.replace(f"s{i} ", f"z{i} ").replace(f"FROM s{i})", f"FROM z{i})")
+    return f"""WITH {train}, {test},
+      fit AS (SELECT s4.doc_id AS {key}, lang, quality::VARCHAR AS quality, clean FROM s4
+        JOIN documents d ON d.doc_id = s4.doc_id JOIN labels l ON l.doc_id = s4.doc_id),
+      sc AS (SELECT {key}, raw AS text, CASE WHEN trim(clean) = '' THEN lower(raw) ELSE clean END AS clean FROM z4),
+      {naive_bayes_sql('a', 'fit', 'lang', 'sc', key, 'clean')},
+      {naive_bayes_sql('b', 'fit', 'quality', 'sc', key, 'clean')}
+    SELECT {columns}, a_out.predicted AS predicted_aspect, b_out.predicted AS predicted_sentiment
+    FROM sc JOIN a_out ON a_out.{key} = sc.{key} JOIN b_out ON b_out.{key} = sc.{key}"""
+
+
+@register(_scored_sql("documents", "doc_id", "sc.doc_id"))
+def batch_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score_reviews(docs, _models(spark, sf_dir), slang=SLANG, stopwords=STOPWORDS)
+    return scored.drop("text")
+
+
+_TURNS = "(SELECT conv_id * 1000000 + turn AS turn_id, text FROM conversations)"
+_TURN_SCORES = _scored_sql(_TURNS, "turn_id", "sc.turn_id, sc.clean AS clean_text")
+
+
+def _numbered_turns(conversations: DataFrame) -> DataFrame:
+    return conversations.select((F.col("conv_id") * 1000000 + F.col("turn")).alias("turn_id"), "text")
+
+
+@register(_TURN_SCORES)
+def joint_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two independent models on new texts, with the text they saw."""
+    rows = _numbered_turns(table(spark, sf_dir, "conversations"))
+    scored = score_reviews(rows, _models(spark, sf_dir), slang=SLANG, stopwords=STOPWORDS, keep_clean=True)
+    return scored.drop("text")
+
+
+@register(_TURN_SCORES)
+def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``joint_score``, with the texts read as a stream of files."""
+    schema = table(spark, sf_dir, "conversations").schema
+    arriving = read_arriving(spark, sf_dir, schema, name_pattern="conversations.parquet")
+    base = shared_dir(spark, "stream-score")
+    query = score_stream(
+        _numbered_turns(arriving), _models(spark, sf_dir), f"{base}/scored", f"{base}/checkpoint",
+        slang=SLANG, stopwords=STOPWORDS, keep_clean=True,
+    )
+    query.awaitTermination()
+    return spark.read.parquet(f"{base}/scored").drop("text")
+
+
+def _tagger(spark: SparkSession, sf_dir: str) -> Tagger:
+    return fit_tagger(corpus(spark, sf_dir), max_iter=FEW_ITERATIONS)
+
+
+def _turn_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns(spark, sf_dir).select("doc_id", B.ner_tokenize(F.col("text")).alias("tokens"))
+
+
+@register()
+def tagger_emissions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Most likely label of every token on its own."""
+    tagger = _tagger(spark, sf_dir)
+    rows = token_probabilities(_turn_tokens(spark, sf_dir), "doc_id", "tokens", tagger)
+    names = F.array(*[F.lit(x) for x in tagger.labels])
+    best = F.get(names, F.array_position("probs", F.array_max("probs")).cast("int") - 1)
+    return rows.select("doc_id", "pos", "token", best.alias("label"), F.round(F.array_max("probs"), 4).alias("prob"))
+
+
+@register()
+def tagger_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best label path of every turn."""
+    tagged = tag_tokens(_turn_tokens(spark, sf_dir), "doc_id", "tokens", _tagger(spark, sf_dir))
+    return tagged.select("doc_id", F.array_join("tokens", " ").alias("tokens"), F.array_join("labels", " ").alias("labels"))
+
+
+@register()
+def tagged_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole entities of every turn, and the highlighted text."""
+    tagged = tag_reviews(turns(spark, sf_dir), "doc_id", _tagger(spark, sf_dir))
+    shown = F.transform("entities", lambda e: F.concat_ws("/", e["text"], e["type"]))
+    return tagged.select("doc_id", F.array_join(shown, "; ").alias("entities"), "highlighted")

@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, functions as F
 
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with header, UTF-8, quotes doubled as spreadsheets expect."""
-    df.write.mode("overwrite").csv(path, header=True, quote='"', escape='"', encoding="UTF-8")
+    df.write.mode("overwrite").csv(
+        path, header=True, quote='"', escape='"', encoding="UTF-8",
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+    )
 
 
 def write_bio_tsv(rows: DataFrame, path: str) -> None:

@@ -14,10 +14,17 @@ from reviewlens.plans.scoring import score_reviews, tag_reviews
 
 
 def read_arriving(
-    spark: SparkSession, path: str, schema: StructType, format: str = "parquet", max_files: int = 1000
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    format: str = "parquet",
+    max_files: int = 1000,
+    name_pattern: str | None = None,
 ) -> DataFrame:
     """Stream of new files; ``max_files`` bounds a micro-batch, the rest waits for the next one."""
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
+    if name_pattern:
+        reader = reader.option("pathGlobFilter", name_pattern)
     if format == "csv":
         reader = reader.options(header=True, multiLine=True, quote='"', escape='"')
     return reader.format(format).load(path)
