@@ -8,6 +8,7 @@ from reviewlens.catalog import sql as Q
 from reviewlens.catalog.registry import register, table
 from reviewlens.functions import text as T
 from reviewlens.operators import features
+from reviewlens.session import stored
 
 
 @register("SELECT lang, count(*) AS count FROM documents WHERE lang IS NOT NULL GROUP BY lang")
@@ -52,7 +53,7 @@ def tfidf_all_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weights over every word of the corpus, however many there are."""
     docs = table(spark, sf_dir, "documents")
     terms = features.word_terms(F.col("text"), 1)
-    idf = features.with_idf(features.vocabulary(docs, terms, 1, None), docs.count())
+    idf = stored(features.with_idf(features.vocabulary(docs, terms, 1, None), docs.count()), "idf")
     return features.tfidf_long(docs, "doc_id", terms, idf).withColumn("weight", F.round("weight", 6))
 
 
@@ -82,7 +83,7 @@ def tfidf_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dense weights of the first ten terms in alphabetical order."""
     docs = table(spark, sf_dir, "documents")
     terms = features.word_terms(F.col("text"), 1)
-    vocab = features.vocabulary(docs, terms, 1, None)
+    vocab = stored(features.vocabulary(docs, terms, 1, None), "vocabulary")
     first = [r["term"] for r in vocab.select("term").orderBy("term").limit(10).collect()]
     names = {term: f"term_{i}" for i, term in enumerate(first, 1)}
     cells = features.tfidf_preview(docs, "doc_id", terms, features.with_idf(vocab, docs.count()), names)

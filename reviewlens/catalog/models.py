@@ -151,7 +151,7 @@ def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _tagger(spark: SparkSession, sf_dir: str) -> Tagger:
-    return fit_tagger(corpus(spark, sf_dir), max_iter=FEW_ITERATIONS)
+    return fit_tagger(corpus(spark, sf_dir), max_iter=FEW_ITERATIONS, num_features=1 << 16)
 
 
 def _turn_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,8 +33,16 @@ TURN_KEYWORDS = {"user": ["the", "of", "le", "der", "el"], "assistant": ["and",
 SEED = 42
 
 
+WIDE_WORK = {"documents", "conversations", "lineitem"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table. One with less partitions than cores is spread out, since its rows get heavy work."""
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in WIDE_WORK and rows.rdd.getNumPartitions() < cores:
+        return rows.repartition(2 * cores)
+    return rows
 
 
 def register(sql: str | None = None) -> Callable[[Query], Query]:

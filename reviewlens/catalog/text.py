@@ -99,7 +99,7 @@ def preprocess(spark: SparkSession, sf_dir: str) -> DataFrame:
            replaced AS after_slang_normalization, clean AS after_stopword_removal FROM s4"""
 )
 def stage_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", *T.stage_trace(F.col("text"), SLANG, STOPWORDS))
+    return _documents(spark, sf_dir, s=T.stage_trace(F.col("text"), SLANG, STOPWORDS)).select("doc_id", "s.*")
 
 
 # Ratings do not occur in the texts, so both engines write them from the line items.

@@ -70,5 +70,10 @@ def cosine_similarity(counts_a: Column, counts_b: Column) -> Column:
         )
         return F.aggregate(products, F.lit(0.0), lambda acc, x: acc + x)
 
-    norms = norm(counts_a) * norm(counts_b)
-    return F.when(norms == 0, F.lit(0.0)).otherwise(let(F.sort_array(F.concat(counts_a, counts_b)), dot) / norms)
+    def compare(a: Column, b: Column) -> Column:
+        return let(
+            norm(a) * norm(b),
+            lambda norms: F.when(norms == 0, F.lit(0.0)).otherwise(let(F.sort_array(F.concat(a, b)), dot) / norms),
+        )
+
+    return let(counts_a, lambda a: let(counts_b, lambda b: compare(a, b)))

@@ -119,13 +119,16 @@ def bio_decode(tokens: Column, labels: Column) -> Column:
             lambda starts: runs(starts, F.size(tags), lambda s, n: F.struct(s.alias("start"), n.alias("n"))),
         )
         opened = F.filter(spans, lambda r: F.get(tags, r["start"]).startswith("B-"))
-        return F.transform(
-            opened,
-            lambda r: F.struct(
-                F.array_join(F.slice(tokens, r["start"] + 1, r["n"]), " ").alias("text"),
-                F.substr(F.get(tags, r["start"]), F.lit(3)).alias("type"),
-                r["start"].alias("start"),
-                (r["start"] + r["n"]).alias("end"),
+        return let(
+            tokens,
+            lambda words: F.transform(
+                opened,
+                lambda r: F.struct(
+                    F.array_join(F.slice(words, r["start"] + 1, r["n"]), " ").alias("text"),
+                    F.substr(F.get(tags, r["start"]), F.lit(3)).alias("type"),
+                    r["start"].alias("start"),
+                    (r["start"] + r["n"]).alias("end"),
+                ),
             ),
         )
 
@@ -165,8 +168,11 @@ def token_label_map(tokens: Column, labels: Column) -> Column:
 
     def last_of_each(entries: Column) -> Column:
         kept = F.filter(entries, lambda e, i: ~e["token"].eqNullSafe(F.get(entries, i + 1)["token"]))
-        return F.map_from_entries(
-            F.transform(kept, lambda e: F.struct(e["token"].alias("token"), F.get(labels, e["pos"]).alias("label")))
+        return let(
+            labels,
+            lambda tags: F.map_from_entries(
+                F.transform(kept, lambda e: F.struct(e["token"].alias("token"), F.get(tags, e["pos"]).alias("label")))
+            ),
         )
 
     placed = F.transform(tokens, lambda t, i: F.struct(t.alias("token"), i.alias("pos")))
@@ -180,13 +186,18 @@ def gazetteer_span_tag(tokens: Column, phrase: Column, place: Column) -> Column:
     right without overlap by tab-marked labels, and single places are taken from what is left.
     """
     wrapped = F.concat(F.lit(" "), F.array_join(tokens, "  "), F.lit(" "))
-    parts = split_words(phrase)
-    needle = F.concat(F.lit(" "), F.array_join(parts, "  "), F.lit(" "))
-    marks = F.concat(F.lit(" \tB-HOTEL "), F.repeat(F.lit(" \tI-HOTEL "), F.size(parts) - 1))
-    marked = F.when(F.size(parts) > 0, F.replace(wrapped, needle, marks)).otherwise(wrapped)
-    return F.transform(
-        F.array_remove(F.split(marked, " "), ""),
-        lambda t: F.when(t.startswith("\t"), F.substr(t, F.lit(2))).when(t == place, F.lit("B-LOC")),
+
+    def mark(parts: Column) -> Column:
+        needle = F.concat(F.lit(" "), F.array_join(parts, "  "), F.lit(" "))
+        marks = F.concat(F.lit(" \tB-HOTEL "), F.repeat(F.lit(" \tI-HOTEL "), F.size(parts) - 1))
+        return F.replace(wrapped, F.when(F.size(parts) > 0, needle).otherwise(F.lit("")), marks)
+
+    marked = F.array_remove(F.split(let(split_words(phrase), mark), " "), "")
+    return let(
+        place,
+        lambda city: F.transform(
+            marked, lambda t: F.when(t.startswith("\t"), F.substr(t, F.lit(2))).when(t == city, F.lit("B-LOC"))
+        ),
     )
 
 

@@ -10,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, functions as F
 from pyspark.sql.types import StringType
 
+from reviewlens.functions.arrays import let
+
 # Character classes with the meaning they have for Unicode text; Java's \w, \s and \d are ASCII only.
 WORD = r"\p{L}\p{N}_"
 SPACE = r"\t-\r\x1c-\x1f\x85\p{Z}"
@@ -122,24 +124,27 @@ def preprocess(
 
 def stage_trace(
     text: Column, slang: Mapping[str, str], stopwords: Sequence[str], nfkc: bool = True
-) -> list[Column]:
-    """The text before and after every stage, as columns for one ``select``."""
-    folded = case_folding(text)
-    cleaned = clean_text(folded, nfkc)
-    replaced = normalize_slang(cleaned, slang)
-    kept = F.array_join(remove_stopwords(tokenize(replaced), stopwords), " ")
-    return [
-        text.alias("raw"),
-        folded.alias("after_case_folding"),
-        cleaned.alias("after_cleaning"),
-        replaced.alias("after_slang_normalization"),
-        kept.alias("after_stopword_removal"),
-    ]
+) -> Column:
+    """A struct with the text before and after every stage; each stage runs once."""
+    cleaned = clean_text(case_folding(text), nfkc)
+    return let(
+        cleaned,
+        lambda c: let(
+            normalize_slang(c, slang),
+            lambda replaced: F.struct(
+                text.alias("raw"),
+                case_folding(text).alias("after_case_folding"),
+                c.alias("after_cleaning"),
+                replaced.alias("after_slang_normalization"),
+                F.array_join(remove_stopwords(tokenize(replaced), stopwords), " ").alias("after_stopword_removal"),
+            ),
+        ),
+    )
 
 
 def clean_or_lower(clean: Column, text: Column) -> Column:
     """The preprocessed text, or the lowercased raw one where nothing was left."""
-    return F.when(nonblank(clean), clean).otherwise(F.lower(text))
+    return let(clean, lambda c: F.when(nonblank(c), c).otherwise(F.lower(text)))
 
 
 def nonblank(text: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from reviewlens.functions.arrays import cosine_similarity, let, term_counts
 from reviewlens.operators.joins import replace_words
+from reviewlens.session import stored
 
 LITERAL_WORDS = 200
 
@@ -84,8 +85,8 @@ def correct_typos(
     """Correct the words of an array column; every distinct word is looked up once."""
     words = texts.select(F.explode(words_col).alias("word"))
     corrections = correct_words(words, vocabulary, max_distance)
-    changed = corrections.where("corrected != word").select("word", F.col("corrected").alias("replacement"))
-    return replace_words(texts, id_col, words_col, changed, out)
+    changed = corrections.where("distance > 0").select("word", F.col("corrected").alias("replacement"))
+    return replace_words(texts, id_col, words_col, stored(changed, "typos"), out)
 
 
 def pair_cosine(pairs: DataFrame, words_a: str, words_b: str, out: str = "cosine") -> DataFrame:

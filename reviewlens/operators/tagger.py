@@ -16,6 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, StringType
 
+from reviewlens.functions.arrays import let
 from reviewlens.functions.bio import feature_names, token_features
 
 NUM_FEATURES = 1 << 18
@@ -28,8 +29,9 @@ def feature_rows(tokens: Column) -> Column:
 
 def transition_counts(df: DataFrame, labels: str) -> DataFrame:
     """``(prev, label, n)`` of neighbouring labels; ``prev`` is null at the start of a sentence."""
-    pairs = F.transform(
-        labels, lambda y, i: F.struct(F.get(F.col(labels), i - 1).alias("prev"), y.alias("label"))
+    pairs = let(
+        F.col(labels),
+        lambda tags: F.transform(tags, lambda y, i: F.struct(F.get(tags, i - 1).alias("prev"), y.alias("label"))),
     )
     return df.select(F.inline(pairs)).groupBy("prev", "label").agg(F.count("*").alias("n"))
 

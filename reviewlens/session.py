@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", memory: str = "12g", shuffle_partitions: int = 8) -> SparkSession:
@@ -37,3 +37,14 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="run-")
     return os.path.join(base, "reviewlens", f"{purpose}-{uuid.uuid4().hex}")
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back.
+
+    For a costly table that is used more than once: it survives lost executors, is not computed
+    again, and its size on disk is known to the optimizer.
+    """
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
