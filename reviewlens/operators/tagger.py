@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import json
 import math
+import sys
 from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, StringIndexerModel
@@ -21,6 +23,9 @@ from reviewlens.functions.bio import feature_names, token_features
 
 NUM_FEATURES = 1 << 18
 
+# The path function travels to the workers by value, so they need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def feature_rows(tokens: Column) -> Column:
     """``array<array<string>>``: the ``name=value`` features of every token."""
