@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from reviewlens.functions.text import WORD
 from reviewlens.operators.features import TfidfStages, class_weights, word_terms
-from reviewlens.operators.joins import lookup_join
 
 LEARNERS = ("logistic_regression", "naive_bayes")
 
@@ -70,13 +69,15 @@ def fit_classifier(
     features = PipelineModel([terms_stage(text, terms), *tfidf.stages(terms, f"{out}_features")])
     weights = class_weights(train, label).orderBy(label).collect()
     labels = [r[label] for r in weights]
+    weight_of = F.create_map(*[F.lit(x) for r in weights for x in (r[label], r["weight"])])
     columns = {"featuresCol": f"{out}_features", "rawPredictionCol": f"{out}_raw", "probabilityCol": f"{out}_prob",
                "predictionCol": f"{out}_index"}
     indexed = StringIndexerModel.from_labels(
         [str(x) for x in labels], inputCol=label, outputCol=f"{out}_label"
     ).transform(features.transform(train))
-    weighted = lookup_join(indexed, class_weights(train, label).select(label, "weight"), [label], [label])
-    ready = weighted.select(f"{out}_features", f"{out}_label", "weight").persist()
+    ready = indexed.select(
+        f"{out}_features", f"{out}_label", F.element_at(weight_of, F.col(label)).alias("weight")
+    ).persist()
     try:
         if learner == "naive_bayes":
             estimator = NaiveBayes(modelType="multinomial", smoothing=1.0, labelCol=f"{out}_label", **columns)

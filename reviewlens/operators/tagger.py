@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import math
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,7 +16,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, StringIndexerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import ArrayType, StringType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from reviewlens.functions.arrays import let
 from reviewlens.functions.bio import feature_names, token_features
@@ -135,25 +135,38 @@ def best_paths(scores: np.ndarray, lengths: np.ndarray, start: np.ndarray, step:
     return path
 
 
-def path_udf(tagger: Tagger) -> Callable[[Column], Column]:
-    """Labels of a sentence from its ``array<array<double>>`` of label probabilities.
+def path_decoder(tagger: Tagger) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Turn token rows ``(id, pos, token, probs)`` into sentence rows ``(id, tokens, labels)``.
 
-    A path needs all earlier scores and their back pointers. Kept as a growing array in a native
-    fold they would cost quadratic time on long texts, so this one step runs on Arrow batches.
+    A sentence begins at position 0 and its rows follow each other; one cut by the end of a batch
+    waits for the next. A path needs all earlier scores and back pointers. Kept as a growing array
+    in a native fold they would cost quadratic time on long texts, hence this step on Arrow batches.
     """
     prior, start = np.array(tagger.log_prior), np.array(tagger.log_start)
     step, names = np.array(tagger.log_transition), pa.array(tagger.labels)
 
-    @F.arrow_udf(ArrayType(StringType()))
-    def decode(probabilities: pa.Array) -> pa.Array:
-        if isinstance(probabilities, pa.ChunkedArray):
-            probabilities = probabilities.combine_chunks()
-        flat = probabilities.flatten().flatten().to_numpy(zero_copy_only=False)
+    def sentences(rows: pa.Table, begins: np.ndarray) -> pa.RecordBatch:
+        ids, _, tokens, probs = (c.combine_chunks() for c in rows.columns)
+        flat = probs.flatten().to_numpy(zero_copy_only=False)
         scores = np.log(np.maximum(flat.reshape(-1, len(names)), 1e-12)) - prior
-        lengths = probabilities.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-        path = best_paths(scores, lengths, start, step)
-        bounds = pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32())
-        return pa.ListArray.from_arrays(bounds, names.take(pa.array(path)))
+        bounds = np.append(begins, rows.num_rows)
+        path = best_paths(scores, np.diff(bounds), start, step)
+        at = pa.array(bounds, pa.int32())
+        lists = [pa.ListArray.from_arrays(at, x) for x in (tokens, names.take(pa.array(path)))]
+        return pa.RecordBatch.from_arrays([ids.take(pa.array(begins)), *lists], [rows.column_names[0], "tokens", "labels"])
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = rows if waiting is None else pa.concat_tables([waiting, rows])
+            begins = np.flatnonzero(rows.column(1).to_numpy() == 0)
+            waiting = rows
+            if len(begins) > 1:
+                yield sentences(rows.slice(0, begins[-1]), begins[:-1])
+                waiting = rows.slice(begins[-1])
+        if waiting is not None and waiting.num_rows:
+            yield sentences(waiting, np.array([0]))
 
     return decode
 
@@ -169,12 +182,10 @@ def token_probabilities(df: DataFrame, id_col: str, tokens: str, tagger: Tagger)
 def tag_tokens(df: DataFrame, id_col: str, tokens: str, tagger: Tagger) -> DataFrame:
     """``(id, tokens, labels)``; texts without tokens give no row.
 
-    The compact rows are partitioned by id before tokens are exploded. So the exploded rows, far
-    larger, are gathered again inside the same task.
+    Nothing is shuffled: the exploded tokens of a text stay together in their task, are scored there
+    and gathered again. So it works on streams as well.
     """
-    placed = df.select(id_col, tokens).repartition(id_col)
-    rows = token_probabilities(placed, id_col, tokens, tagger)
-    gathered = rows.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("pos", "token", "probs"))).alias("_rows"))
-    return gathered.select(
-        id_col, F.col("_rows.token").alias("tokens"), path_udf(tagger)(F.col("_rows.probs")).alias("labels")
-    )
+    rows = token_probabilities(df, id_col, tokens, tagger)
+    words = ArrayType(StringType())
+    schema = StructType([df.schema[id_col], StructField("tokens", words), StructField("labels", words)])
+    return rows.mapInArrow(path_decoder(tagger), schema)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -30,13 +30,9 @@ def read_arriving(
     return reader.format(format).load(path)
 
 
-def score_stream(
-    stream: DataFrame, models: Mapping[str, PipelineModel], sink: str, checkpoint: str, **options
-) -> StreamingQuery:
-    """Append scored rows to Parquet; stateless, so restarts resume from the checkpoint exactly once."""
+def _append(stream: DataFrame, sink: str, checkpoint: str) -> StreamingQuery:
     return (
-        score_reviews(stream, models, **options)
-        .writeStream.format("parquet")
+        stream.writeStream.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -44,22 +40,15 @@ def score_stream(
     )
 
 
-def tag_stream(
-    stream: DataFrame, id_col: str, tagger: Tagger, sink: str, checkpoint: str, text: str = "text"
+def score_stream(
+    stream: DataFrame, models: Mapping[str, PipelineModel], sink: str, checkpoint: str, **options
 ) -> StreamingQuery:
-    """Tag the tokens of each micro-batch as a static frame.
-
-    A text's tokens are gathered by id, which a stream may only do with state. Each batch goes to
-    its own folder, so a repeated batch overwrites itself.
-    """
+    """Append scored rows to Parquet; stateless, so restarts resume from the checkpoint exactly once."""
+    return _append(score_reviews(stream, models, **options), sink, checkpoint)
 
-    def tag_batch(batch: DataFrame, batch_id: int) -> None:
-        tag_reviews(batch, id_col, tagger, text).write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
 
-    write: Callable[[DataFrame, int], None] = tag_batch
-    return (
-        stream.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+def tag_stream(
+    stream: DataFrame, id_col: str, tagger: Tagger, sink: str, checkpoint: str, text: str = "text"
+) -> StreamingQuery:
+    """Append token labels, entities and highlighted texts to Parquet; stateless as well."""
+    return _append(tag_reviews(stream, id_col, tagger, text), sink, checkpoint)
