@@ -31,7 +31,8 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     It lies under ``spark.checkpoint.dir``. Only a local master without that setting, as in
     tests, gets a temporary folder of its own machine.
     """
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    key = "spark.checkpoint.dir"
+    base = spark.conf.get(key, None) or spark.sparkContext.getConf().get(key)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")

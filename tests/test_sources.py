@@ -3,6 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from reviewlens.functions.bio import labels_of, tokens_of
 from reviewlens.operators.classifier import fit_classifier
 from reviewlens.plans.scoring import score_reviews
 from reviewlens.plans.training import metric_rows
@@ -39,6 +40,8 @@ def test_bio_files(spark, tmp_path):
     back = R.read_bio_tsv(spark, path)
     assert sorted(map(tuple, back.collect())) == sorted(rows)
     assert {r["doc_id"]: [t["token"] for t in r["sentence"]] for r in R.sentences(back).collect()} == {2: ['a"b', "c\\d"], 1: ["''", "#"]}
+    both = R.sentences(back).select("doc_id", tokens_of(F.col("sentence")), labels_of(F.col("sentence")))
+    assert sorted(map(tuple, both.collect())) == [(1, ["''", "#"], ["O", "I-X"]), (2, ['a"b', "c\\d"], ["O", "B-X"])]
     old = "sentence_id\ttoken\tlabel\n" + "".join(
         "".join(f"{s}\tt{s}_{i}\tO\n" for i in range(400)) + "\nbroken line\n" for s in range(20)
     )

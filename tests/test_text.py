@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from reviewlens.functions import arrays as A, fixed_values as V, text as T
 
+# Fixed value: a worked example; its cleaned form and rating are known.
 DEMO = (
     "Nginep di Hotel Santika, kamr nya bersi bgt tp wifi nya lelet parah! rating 4/5 recomend deh @admin http://x.com"
 )
