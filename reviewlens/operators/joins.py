@@ -47,6 +47,27 @@ def lookup_join(
     return joined.drop("_salt", *[f"_r_{key}" for key in on])
 
 
+def salted_lookup(rows: DataFrame, table: DataFrame, key: str, size: str, salts: int = 1000) -> DataFrame:
+    """Left join of ``rows`` to a ``table`` with a unique, non-null ``key``.
+
+    ``size`` says how many of ``rows`` have the key. A key with over ``1/salts`` of the rows is split into
+    parts of that share; there are at most ``salts`` such keys, so their list is broadcast whatever the data.
+    """
+    total = table.agg(F.sum(size)).first()[0] or 0
+    share = F.lit(max(total // salts, 1))
+    parts = F.ceil(F.col(size) / share)
+    hot = table.where(F.col(size) > share).select(F.col(key).alias("_hot"), parts.alias("_parts"))
+    spread = F.xxhash64(*[F.col(c) for c in rows.columns if c != key], F.col(key))
+    left = (
+        rows.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
+        .withColumn("_salt", F.pmod(spread, F.coalesce("_parts", F.lit(1))))
+        .drop("_hot", "_parts")
+    )
+    copies = F.sequence(F.lit(0).cast("long"), F.greatest(parts, F.lit(1)) - 1)
+    right = table.withColumn("_salt", F.explode(copies))
+    return left.join(right, [key, "_salt"], "left").drop("_salt")
+
+
 def map_values(column: Column, mapping: Mapping[str, str]) -> Column:
     """Value of a small dictionary, null for unknown keys."""
     entries = F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
