@@ -6,14 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reviewlens.llm.common import documents
+from reviewlens.llm.common import documents, id_bucket, labelled_sample
 from reviewlens.llm.exact_dedup import exact_groups
 from reviewlens.llm.simhash import hex_digits, near_duplicates
+from reviewlens.llm.toxicity import REJECT, ToxicityModel, fit_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
 def register(sql: str | None = None):
     def add(query):
         QUERIES[query.__name__] = query
@@ -24,6 +29,20 @@ def register(sql: str | None = None):
     return add
 
 
+def trained_toxicity(spark: SparkSession, sf_dir: str, max_labelled: int = 20_000) -> ToxicityModel:
+    """Fitted on at most about ``max_labelled`` labelled documents outside the held-out quarter."""
+    wanted = id_bucket(F.col("doc_id"), 4) != 2
+    return fit_toxicity(labelled_sample(documents(spark, sf_dir), labels(spark, sf_dir), "toxic", wanted, max_labelled))
+
+
+@register()
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    score = trained_toxicity(spark, sf_dir).score(F.col("text"))
+    scored = docs.select("doc_id", (id_bucket(F.col("doc_id"), 4) == 2).alias("held_out"), score.alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= REJECT).cast("int"))
+
+
 @register(
     """
     SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
@@ -35,6 +54,12 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(documents(spark, sf_dir))
 
 
+def trained_toxicity(spark: SparkSession, sf_dir: str, max_labelled: int = 20_000) -> ToxicityModel:
+    """Fitted on at most about ``max_labelled`` labelled documents outside the held-out quarter."""
+    wanted = id_bucket(F.col("doc_id"), 4) != 2
+    return fit_toxicity(labelled_sample(documents(spark, sf_dir), labels(spark, sf_dir), "toxic", wanted, max_labelled))
+
+
 @register()
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     marks = near_duplicates(documents(spark, sf_dir))
