@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reviewlens.llm.common import documents, id_bucket, labelled_sample
+from reviewlens.llm.decontamination import contaminated
 from reviewlens.llm.exact_dedup import exact_groups
+from reviewlens.llm.mixing import mix
 from reviewlens.llm.simhash import hex_digits, near_duplicates
 from reviewlens.llm.toxicity import REJECT, ToxicityModel, fit_toxicity
 
@@ -64,3 +66,13 @@ def trained_toxicity(spark: SparkSession, sf_dir: str, max_labelled: int = 20_00
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     marks = near_duplicates(documents(spark, sf_dir))
     return marks.select("doc_id", hex_digits(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
+@register()
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@register()
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(documents(spark, sf_dir))
