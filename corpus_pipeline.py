@@ -37,7 +37,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents the mix takes, with the ``copies`` it takes of each and what these add up to."""
+    """Documents the mix takes, with the number of ``copies`` it takes of each."""
     return mix_rows(docs).where("copies > 0")
 
 
