@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from reviewlens.llm.common import documents, id_bucket, labelled_sample
 from reviewlens.llm.decontamination import contaminated
 from reviewlens.llm.exact_dedup import exact_groups
+from reviewlens.llm.language_id import classify, dictionaries
 from reviewlens.llm.mixing import mix
 from reviewlens.llm.simhash import hex_digits, near_duplicates
 from reviewlens.llm.toxicity import REJECT, ToxicityModel, fit_toxicity
@@ -76,3 +77,12 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register()
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir))
+
+
+@register()
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = id_bucket(F.col("doc_id"), 3) == 1
+    learned = dictionaries(docs.where(~held_out))
+    found = docs.select("doc_id", held_out.alias("held_out"), classify(F.col("text"), learned).alias("_found"))
+    return found.select("doc_id", "held_out", F.col("_found.lang").alias("lang_pred"), "_found.score", "_found.margin", "_found.reliable")
