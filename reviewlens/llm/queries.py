@@ -11,6 +11,7 @@ from reviewlens.llm.decontamination import contaminated
 from reviewlens.llm.exact_dedup import exact_groups
 from reviewlens.llm.language_id import classify, dictionaries
 from reviewlens.llm.mixing import mix
+from reviewlens.llm.secrets import KINDS, listed, secrets
 from reviewlens.llm.simhash import hex_digits, near_duplicates
 from reviewlens.llm.toxicity import REJECT, ToxicityModel, fit_toxicity
 
@@ -86,3 +87,14 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     learned = dictionaries(docs.where(~held_out))
     found = docs.select("doc_id", held_out.alias("held_out"), classify(F.col("text"), learned).alias("_found"))
     return found.select("doc_id", "held_out", F.col("_found.lang").alias("lang_pred"), "_found.score", "_found.margin", "_found.reliable")
+
+
+@register()
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets(documents(spark, sf_dir))
+    counts = [F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in KINDS]  # noqa: B023
+    every = F.array_sort(F.concat("base", "random"))
+    return found.select(
+        "doc_id", *counts, F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(every).alias("spans"),
+        F.size("random").cast("long").alias("n_random"),
+    )
