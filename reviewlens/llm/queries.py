@@ -14,6 +14,7 @@ from reviewlens.llm.mixing import mix
 from reviewlens.llm.secrets import KINDS, listed, secrets
 from reviewlens.llm.simhash import hex_digits, near_duplicates
 from reviewlens.llm.toxicity import REJECT, ToxicityModel, fit_toxicity
+from reviewlens.llm.url_filter import derived_entries, host_of, judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -98,3 +99,52 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *counts, F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(every).alias("spans"),
         F.size("random").cast("long").alias("n_random"),
     )
+
+
+@register(
+    r"""
+    WITH captures AS (
+        SELECT page_id, url, DATE '2024-01-01' + CAST((page_id * 37) % 365 AS INTEGER) AS day,
+               lower(regexp_extract(url, '^(?i:[a-z][a-z0-9+.-]*)://(?:[^/?#@]*@)?([^/:?#]+)', 1)) AS host
+        FROM pages
+    ), parts AS (
+        SELECT *, string_split(host, '.') AS labels,
+               list_filter(string_split(regexp_extract(url, '^[^/?#]*//[^/?#]*/([^?#]*)', 1), '/'), lambda x: x <> '') AS segs
+        FROM captures
+    ), keyed AS (
+        SELECT page_id, url, day, i AS rank, ks[i] AS key FROM (
+            SELECT *, list_concat(
+                list_transform(list_reverse(range(1, len(segs) + 1)), lambda i: host || '/' || array_to_string(segs[1:i], '/')),
+                list_transform(range(1, greatest(len(labels) - 1, 1) + 1), lambda i: array_to_string(labels[i:], '.'))) AS ks
+            FROM parts WHERE host <> ''), range(1, len(ks) + 1) AS t(i)
+    ), listed AS (
+        SELECT key, n, (n // 5) % 200 AS d FROM (
+            SELECT key, CAST('0x' || substr(md5(key), 1, 7) AS BIGINT) AS n FROM (SELECT DISTINCT key FROM keyed))
+        WHERE n % 5 = 0
+    ), events AS (
+        SELECT key, n, d, CASE WHEN n % 3 = 0 THEN 'allow' ELSE 'block' END AS action FROM listed
+        UNION ALL SELECT key, n, d + 30 + n % 50, 'remove' FROM listed WHERE (n // 15) % 2 = 0
+        UNION ALL SELECT key, n, d + 120, 'block' FROM listed WHERE (n // 30) % 2 = 0
+    ), dated AS (
+        SELECT key, DATE '2024-01-01' + CAST(d AS INTEGER) AS since, max(action) AS action, max('c' || (n % 4)) AS category
+        FROM events GROUP BY ALL
+    ), latest AS (
+        SELECT k.page_id, k.url, k.day, k.rank, k.key, max_by(e.action, e.since) AS action,
+               max_by(e.category, e.since) AS category, max(e.since) AS since
+        FROM keyed k JOIN dated e ON e.key = k.key AND e.since <= k.day GROUP BY ALL
+    ), best AS (
+        SELECT page_id, url, day, min_by(struct_pack(key := key, action := action, category := category, since := since), rank) AS b
+        FROM latest WHERE action <> 'remove' GROUP BY ALL
+    )
+    SELECT c.page_id, c.url, CAST(c.day AS VARCHAR) AS day, c.host, coalesce(b.action = 'block', false) AS blocked, b.key AS matched_key,
+           b.action AS action, b.category AS category, CAST(b.since AS VARCHAR) AS since
+    FROM captures c LEFT JOIN best USING (page_id, url, day)
+    """
+)
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages carry no fetch time and no list comes with them, so both derive from the table itself."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    day = F.date_add(F.lit("2024-01-01").cast("date"), ((F.col("page_id") * 37) % 365).cast("int"))
+    captures = pages.select("page_id", "url", day.alias("day"), host_of(F.col("url")).alias("host"))
+    judged = judge_urls(captures, derived_entries(pages.select("url")))
+    return judged.withColumns({c: F.col(c).cast("string") for c in ("day", "since")})
