@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reviewlens.llm.common import documents, id_bucket, labelled_sample
+from reviewlens.llm import brown_lm
+from reviewlens.llm.common import documents, id_bucket, labelled_sample, text_or_empty
 from reviewlens.llm.decontamination import contaminated
 from reviewlens.llm.exact_dedup import exact_groups
 from reviewlens.llm.language_id import classify, dictionaries
@@ -148,3 +149,11 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     captures = pages.select("page_id", "url", day.alias("day"), host_of(F.col("url")).alias("host"))
     judged = judge_urls(captures, derived_entries(pages.select("url")))
     return judged.withColumns({c: F.col(c).cast("string") for c in ("day", "since")})
+
+
+@register()
+def op3_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = (id_bucket(F.col("doc_id"), 7) == 2).alias("held_out")
+    docs = documents(spark, sf_dir).select("doc_id", held_out, "text")
+    model = brown_lm.train(docs.where("not held_out").select(text_or_empty(F.col("text")).alias("text")))
+    return brown_lm.score(docs, model)
