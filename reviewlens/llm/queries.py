@@ -12,6 +12,7 @@ from reviewlens.llm.decontamination import contaminated
 from reviewlens.llm.exact_dedup import exact_groups
 from reviewlens.llm.language_id import classify, dictionaries
 from reviewlens.llm.mixing import mix
+from reviewlens.llm.quality import quality
 from reviewlens.llm.secrets import KINDS, listed, secrets
 from reviewlens.llm.simhash import hex_digits, near_duplicates
 from reviewlens.llm.toxicity import REJECT, ToxicityModel, fit_toxicity
@@ -157,3 +158,8 @@ def op3_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", held_out, "text")
     model = brown_lm.train(docs.where("not held_out").select(text_or_empty(F.col("text")).alias("text")))
     return brown_lm.score(docs, model)
+
+
+@register()
+def op5_quality_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(documents(spark, sf_dir), labels(spark, sf_dir), id_bucket(F.col("doc_id"), 5) == 2)
