@@ -18,7 +18,7 @@ from reviewlens.session import shared_dir
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below the rejection score; the model learns from the labelled documents of ``sf_dir``."""
     score = trained_toxicity(spark, sf_dir).score(F.col("text"))
-    return docs.withColumn("_score", score).where(F.col("_score") < REJECT).drop("_score")
+    return docs.where(score < REJECT)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

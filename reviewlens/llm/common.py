@@ -29,7 +29,7 @@ def hash_sample(df: DataFrame, key: Column, fraction: float) -> DataFrame:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, wanted: Column, max_rows: int) -> DataFrame:
-    """``docs`` with ``label`` for about ``max_rows`` of the labelled ids at most, chosen by the hash of the id.
+    """``(text, label)`` of ``docs`` for about ``max_rows`` of the labelled ids at most, chosen by the hash of the id.
 
     ``wanted`` is a condition on ``doc_id``. Null ids and labels are left out; of several labels for an id
     the largest counts. The sample of ids is broadcast: it is bounded by ``max_rows``, not by the data.
@@ -37,4 +37,4 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, wanted: Colu
     ids = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & wanted)
     ids = ids.groupBy("doc_id").agg(F.max(label).alias("label"))
     ids = hash_sample(ids, F.col("doc_id"), max_rows / max(ids.count(), 1))
-    return docs.join(F.broadcast(ids.withColumnRenamed("doc_id", "_labelled")), F.col("doc_id") == F.col("_labelled"))
+    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("text", "label")

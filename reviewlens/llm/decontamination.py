@@ -228,6 +228,4 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
 
 def without_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", **settings) -> DataFrame:
     """The rows of ``docs`` that leak no test item, with their own columns."""
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    marked = docs.select(*names, leaks(F.col(f"`{text_col}`"), items, **settings).alias("_leaks_"))
-    return marked.where(F.size("_leaks_") == 0).select(*names)
+    return docs.where(F.size(leaks(F.col(f"`{text_col}`"), items, **settings)) == 0)

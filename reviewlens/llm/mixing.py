@@ -168,9 +168,10 @@ def mix_rows(docs: DataFrame, id_col: str = "doc_id", **settings) -> DataFrame:
     """``docs`` with the ``copies`` the mix takes of each row.
 
     Ids say which rows are meant: rows that share an id get the largest number found for it, and rows
-    without an id, which cannot be looked up, are taken once.
+    without an id, which cannot be looked up, are taken once. A column ``copies`` of ``docs`` is replaced.
     """
     found = mix(docs, id_col, **settings).where("doc_id is not null")
     found = found.groupBy(F.col("doc_id").alias("_mix_id")).agg(F.max("copies").alias("_copies"))
-    joined = docs.join(found, docs[id_col] == F.col("_mix_id"), "left")
-    return joined.select(*[docs[c] for c in docs.columns], F.coalesce("_copies", F.lit(1)).alias("copies"))
+    own = [docs[f"`{c}`"] for c in docs.columns if c != "copies"]
+    joined = docs.join(found, docs[id_col] == found["_mix_id"], "left")
+    return joined.select(*own, F.coalesce(found["_copies"], F.lit(1)).alias("copies"))

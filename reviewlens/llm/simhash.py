@@ -108,4 +108,4 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``docs`` without the documents that have a near-duplicate with a smaller id; rows without id stay."""
     marks = near_duplicates(docs, id_col, text_col, **settings)
     dropped = marks.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(dropped, docs[id_col] == F.col("_gone"), "left_anti")
+    return docs.join(dropped, docs[id_col] == dropped["_gone"], "left_anti")

@@ -87,14 +87,16 @@ def judge_urls(captures: DataFrame, entries: DataFrame, url_col: str = "url", da
 
     Of the entries active on the day of the capture the one with the most specific key decides. An address
     without a scheme or host, a null address and a null day match nothing and are not blocked. Every
-    row of ``captures`` returns once, repeated rows included, with its own columns.
+    row of ``captures`` returns once, repeated rows included, with its own columns but for those that are added.
     """
     day, url = F.col(f"`{day_col}`").cast("date"), F.col(f"`{url_col}`")
     pair = F.concat_ws(" ", day.cast("string"), url)
-    rows = captures.withColumn("_pair", F.when(day.isNotNull() & url.isNotNull(), pair))
-    pairs = rows.where("_pair is not null").groupBy("_pair").agg(
-        F.first(url).alias("_url"), F.first(day).alias("day"), F.count("*").alias("_n")
-    )
+    added = ["blocked", "matched_key", "action", "category", "since"]
+    own = F.struct(*[F.col(f"`{c}`") for c in captures.columns if c not in added]).alias("_row")
+    pair = F.when(day.isNotNull() & url.isNotNull(), pair)
+    pairs = captures.select(pair.alias("_pair"), url.alias("_url"), day.alias("day")).where("_pair is not null")
+    pairs = pairs.groupBy("_pair", "_url", "day").agg(F.count("*").alias("_n"))
+    rows = captures.select(pair.alias("_pair"), own)
     keyed = pairs.select("_pair", "_n", "day", F.posexplode(list_keys(F.col("_url"))).alias("_rank", "key"))
     keyed = keyed.withColumn("_lookup", F.concat_ws(" ", F.col("day").cast("string"), "key"))
     wanted = keyed.groupBy("key", "day", "_lookup").agg(F.count("*").alias("_uses"))
@@ -104,8 +106,7 @@ def judge_urls(captures: DataFrame, entries: DataFrame, url_col: str = "url", da
     best = met.groupBy("_pair").agg(F.min(entry).alias("_best"), F.first("_n").alias("_n"))
     judged = salted_lookup(rows, best, "_pair", "_n")
     return judged.select(
-        *[F.col(f"`{c}`") for c in captures.columns],
-        F.coalesce(F.col("_best.action") == "block", F.lit(False)).alias("blocked"),
+        "_row.*", F.coalesce(F.col("_best.action") == "block", F.lit(False)).alias("blocked"),
         "_best.matched_key", "_best.action", "_best.category", "_best.since",
     )
 
