@@ -97,18 +97,33 @@ def solve(sizes: DataFrame, sources: DataFrame, cap: float = CAP) -> DataFrame:
     return state.select("_key", "source_size", "target", "multiplier", "scale")
 
 
-def _settle(rows: DataFrame) -> DataFrame:
-    """Round up or down further documents of a bucket, large ones first, to bring it nearer to its tokens."""
+def _settle(rows: DataFrame, many: bool, wide: bool, cap: float) -> DataFrame:
+    """Round documents of a bucket the other way to bring it nearer to its tokens.
+
+    With ``many``, the largest that fit into what is off, as long as their sum fits; else the one whose size
+    comes nearest to what is off, if that helps. Copies stay next to their rates; ``wide`` lets this one document
+    go anywhere from 0 to ``cap``, for sources of a few documents.
+    """
     bucket = Window.partitionBy("_key", "_bucket")
-    rows = rows.withColumn("_off", F.sum(F.col("_copies") * F.col("size") * MICRO - F.col("_micro") * F.col("size")).over(bucket) / MICRO)
+    off = F.sum(F.col("_copies") * F.col("size") * MICRO - F.col("_micro") * F.col("size")).over(bucket) / MICRO
+    rows = rows.withColumn("_off", off)
     floor = F.floor(F.col("_micro") / MICRO)
     free = F.when(F.col("_off") > 0, F.col("_copies") > floor).otherwise(
         (F.col("_copies") == floor) & (F.col("_micro") % MICRO > 0)
     )
-    fits = free & (F.col("size") > 0) & (F.col("size") <= F.abs("_off"))
-    rows = rows.withColumn("_step", F.when(fits, F.col("size")).otherwise(F.lit(0)))
-    upto = F.sum("_step").over(bucket.orderBy(F.desc("_step"), "_order", "doc_id").rowsBetween(Window.unboundedPreceding, 0))
-    change = F.when((F.col("_step") > 0) & (upto <= F.abs("_off")), -F.signum("_off")).otherwise(F.lit(0.0)).cast("long")
+    if wide:
+        free = F.when(F.col("_off") > 0, F.col("_copies") > 0).otherwise(F.col("_copies") + 1 <= cap)
+    miss = F.abs("_off")
+    free = free & (F.col("size") > 0) & (F.col("size") <= miss if many else F.col("size") < 2 * miss)
+    if many:
+        rows = rows.withColumn("_step", F.when(free, F.col("size")).otherwise(F.lit(0)))
+        place = bucket.orderBy(F.desc("_step"), "_order", "doc_id")
+        chosen = (F.col("_step") > 0) & (F.sum("_step").over(place.rowsBetween(Window.unboundedPreceding, 0)) <= miss)
+    else:
+        rows = rows.withColumn("_step", F.when(free, F.abs(F.col("size") - miss)))
+        place = bucket.orderBy(F.asc_nulls_last("_step"), "_order", "doc_id")
+        chosen = F.col("_step").isNotNull() & (F.row_number().over(place) == 1)
+    change = F.when(chosen, -F.signum("_off")).otherwise(F.lit(0.0)).cast("long")
     return rows.withColumn("_copies", F.col("_copies") + change).drop("_off", "_step")
 
 
@@ -156,8 +171,8 @@ def mix(
     upto = F.sum("_micro").over(by_size.rowsBetween(Window.unboundedPreceding, 0))
     whole = lambda total: F.floor((total + MICRO // 2) / MICRO)
     known = known.withColumn("_copies", whole(upto) - whole(upto - F.col("_micro")))
-    for _ in range(4):
-        known = _settle(known)
+    for many, wide in ((True, False), (True, False), (False, False), (False, True), (False, True)):
+        known = _settle(known, many, wide, cap)
     return known.select(
         "doc_id", "size", "source_size", "target", (F.col("_micro") / MICRO).alias("rate"),
         F.col("_copies").alias("copies"), (F.col("_copies") * F.col("size")).alias("taken"),
