@@ -11,6 +11,7 @@ from reviewlens.functions import bio as B, text as T
 from reviewlens.functions.fixed_values import TEMPLATES
 from reviewlens.operators.tagger import transition_counts
 from reviewlens.plans import corpora as plans
+from reviewlens.sources.readers import sentences
 
 TURNS = "(SELECT conv_id || '-' || turn AS doc_id, role, text FROM conversations)"
 
@@ -169,3 +170,16 @@ def bio_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 def transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = plans.label_sentences(_wrapped(spark, sf_dir), "doc_id", "text", "role", TURN_KEYWORDS)
     return transition_counts(labelled, "labels")
+
+
+@register(
+    f"""WITH {keyword_labels_sql('documents', 'doc_id', 'lang', KEYWORDS, Q.tokens('text'))}
+    SELECT doc_id, {Q.joined('t')} AS tokens, {Q.joined('labels')} AS labels FROM kw WHERE len(t) > 0"""
+)
+def sentence_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sentences gathered from the token table, taken apart into tokens and labels again."""
+    docs = table(spark, sf_dir, "documents").withColumn("tokens", B.ner_tokenize(F.col("text")))
+    tagged = docs.withColumn("labels", B.keyword_bio_tag(F.col("tokens"), F.col("lang"), KEYWORDS))
+    gathered = sentences(plans.bio_table(tagged, "doc_id"))
+    parts = [F.array_join(f(F.col("sentence")), " ").alias(n) for f, n in ((B.tokens_of, "tokens"), (B.labels_of, "labels"))]
+    return gathered.select("doc_id", *parts)

@@ -6,20 +6,30 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reviewlens.catalog import sql as Q
 from reviewlens.catalog.corpora import hashed_labels
-from reviewlens.catalog.registry import KEYWORDS, TOXIC, labelled, register, table
+from reviewlens.catalog.registry import KEYWORDS, TOXIC, register, table
 from reviewlens.catalog.text import keyword_labels_sql
 from reviewlens.functions import bio as B, text as T
 from reviewlens.operators import evaluation as ev
-from reviewlens.plans.training import metric_rows
-from reviewlens.sources.readers import report_table as best_rows
+from reviewlens.plans.training import compare
+from reviewlens.session import shared_dir
+from reviewlens.sources.readers import read_evaluation, report_table as best_rows
+from reviewlens.sources.writers import write_evaluation
 
 
 def keyword_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cleaned documents with an insult are predicted toxic."""
+    """Cleaned documents with an insult are predicted toxic. Predicted first, so no text meets the labels."""
     found = T.detect_candidate_aspects(T.clean_text(T.case_folding(F.col("text"))), TOXIC)
     predicted = F.when(F.size(found) > 0, F.lit("toxic")).otherwise(F.lit("fine"))
     actual = F.when(F.col("toxic") == 1, F.lit("toxic")).otherwise(F.lit("fine"))
-    return labelled(spark, sf_dir).select("doc_id", "text", "lang", actual.alias("actual"), predicted.alias("predicted"))
+    guesses = table(spark, sf_dir, "documents").select("doc_id", "lang", predicted.alias("predicted"))
+    truth = table(spark, sf_dir, "labels").select("doc_id", actual.alias("actual"))
+    return guesses.join(truth, "doc_id").select("doc_id", "lang", "actual", "predicted")
+
+
+def with_text(spark: SparkSession, sf_dir: str, few: DataFrame) -> DataFrame:
+    """The texts of a few rows."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return docs.join(F.broadcast(few), "doc_id").select("doc_id", "text", "actual", "predicted")
 
 
 _PATTERN = Q.stem_pattern(*TOXIC["toxic"])
@@ -107,7 +117,7 @@ def confusion_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = keyword_predictions(spark, sf_dir).drop("lang")
-    return ev.error_examples(rows, "actual", "predicted", ["doc_id"], 5)
+    return with_text(spark, sf_dir, ev.error_examples(rows, "actual", "predicted", ["doc_id"], 5))
 
 
 @register(
@@ -187,14 +197,46 @@ def best_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best.withColumn("accuracy", F.round("accuracy", 6)).withColumn("f1_macro", F.round("f1_macro", 6))
 
 
+def _evaluation(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Metrics, matrices and errors of the two candidates, through report files."""
+    rows = keyword_predictions(spark, sf_dir)
+    best, report, matrices = compare("toxic", _candidates(spark, sf_dir))
+    wrong = rows if best == "keywords" else rows.withColumn("predicted", F.lit("fine"))
+    errors = with_text(spark, sf_dir, ev.error_examples(wrong, "actual", "predicted", ["doc_id"], 5))
+    path = shared_dir(spark, "evaluation")
+    write_evaluation(path, report, matrices, errors.select(F.lit("toxic").alias("task"), "text", "actual", "predicted"))
+    return read_evaluation(spark, path)
+
+
+_WINNER = f"""{_CANDIDATE_ROWS}, win AS (SELECT candidate FROM cm ORDER BY f1_macro DESC, candidate_order LIMIT 1),
+      best AS (SELECT actual, predicted FROM cand WHERE candidate = (SELECT candidate FROM win))"""
+
+
 @register(
-    f"""WITH {_PREDICTED}, {report_sql('pr')}
+    f"""WITH {_WINNER}, {report_sql('best')}
     SELECT 'toxic' AS task, {_ROUNDED} FROM rep UNION ALL SELECT 'toxic' AS task, {_ROUNDED} FROM avgs"""
 )
 def report_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dashboard table: rows of the better candidate, without its accuracy row."""
-    report = None
-    for name, counts in _candidates(spark, sf_dir).items():
-        rows = metric_rows("toxic", name, counts).withColumn("is_best", F.lit(name == "keywords"))
-        report = rows if report is None else report.unionByName(rows)
-    return rounded(best_rows(report))
+    return rounded(best_rows(_evaluation(spark, sf_dir)[0]))
+
+
+@register(
+    f"""WITH {_WINNER}, a AS (SELECT DISTINCT actual FROM pr), c AS (SELECT DISTINCT candidate FROM cand)
+    SELECT 'toxic' AS task, c.candidate, c.candidate = (SELECT candidate FROM win) AS is_best, a.actual, b.actual AS predicted,
+      (SELECT count(*) FROM cand x WHERE x.candidate = c.candidate AND x.actual = a.actual AND x.predicted = b.actual) AS n
+    FROM c, a, a b"""
+)
+def report_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Confusion matrices of every candidate, read back from the report."""
+    return _evaluation(spark, sf_dir)[1]
+
+
+@register(
+    f"""WITH {_WINNER}, pb AS (SELECT doc_id, text, actual,
+        CASE WHEN (SELECT candidate FROM win) = 'never' THEN 'fine' ELSE predicted END AS predicted FROM pr)
+    SELECT 'toxic' AS task, text, actual, predicted FROM pb WHERE actual <> predicted ORDER BY doc_id LIMIT 5"""
+)
+def report_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wrong rows of the best candidate, read back from the report."""
+    return _evaluation(spark, sf_dir)[2]

@@ -39,7 +39,7 @@ def tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weights over the 5,000 most frequent unigrams and bigrams."""
     docs = table(spark, sf_dir, "documents")
     terms = features.word_terms(F.col("text"))
-    weights = features.TfidfStages.fit(docs, terms).long(docs, "doc_id", terms)
+    weights = features.TfidfStages.fit_text(docs, F.col("text")).long(docs, "doc_id", terms)
     return weights.withColumn("weight", F.round("weight", 6))
 
 

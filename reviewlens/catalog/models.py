@@ -3,22 +3,23 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reviewlens.catalog import sql as Q
 from reviewlens.catalog.corpora import corpus
 from reviewlens.catalog.registry import SEED, SLANG, STOPWORDS, labelled, register, table, turns
 from reviewlens.functions import bio as B, text as T
-from reviewlens.operators.classifier import fit_classifier
+from reviewlens.operators.classifier import fit_classifier, logistic_regression
+from reviewlens.operators.features import TfidfStages, class_weights
 from reviewlens.operators.sampling import stratified_split
-from reviewlens.operators.tagger import Tagger, fit_tagger, tag_tokens, token_probabilities
+from reviewlens.operators.tagger import Tagger, decode_paths, fit_tagger, tag_tokens, token_probabilities
 from reviewlens.plans.scoring import score_reviews, tag_reviews
 from reviewlens.plans.training import train_and_evaluate
 from reviewlens.session import shared_dir
+from reviewlens.sources.writers import load_models, save_models
 from reviewlens.streaming.scoring import read_arriving, score_stream
 
-FEW_ITERATIONS = 15
-
 
 def naive_bayes_sql(tag: str, train: str, label: str, score: str, key: str, text: str = "text") -> str:
     """CTEs that end in ``{tag}_out (key, predicted)``: TF-IDF and naive Bayes step by step."""
@@ -69,11 +70,23 @@ def nb_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fit_classifier(train, "lang", "naive_bayes", out="predicted").transform(test).drop("text")
 
 
+@register(
+    f"""WITH {_SPLIT}, {naive_bayes_sql('nb', 'tr', 'lang', 'te', 'doc_id')}
+    SELECT te.doc_id, te.lang, predicted FROM te JOIN nb_out USING (doc_id)"""
+)
+def model_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``nb_scores``, with the model stored and loaded in between."""
+    train, test = _split(spark, sf_dir)
+    path = shared_dir(spark, "models")
+    save_models(path, language=fit_classifier(train, "lang", "naive_bayes", out="predicted"))
+    return load_models(path, "language")["language"].transform(test).drop("text")
+
+
 @register()
 def lr_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As ``nb_scores`` with balanced logistic regression."""
     train, test = _split(spark, sf_dir)
-    model = fit_classifier(train, "lang", "logistic_regression", out="predicted", max_iter=FEW_ITERATIONS)
+    model = fit_classifier(train, "lang", "logistic_regression", out="predicted")
     return model.transform(test).drop("text")
 
 
@@ -81,7 +94,7 @@ def lr_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both learners on the same split, with all their metrics."""
     docs = table(spark, sf_dir, "documents")
-    return train_and_evaluate(docs, "lang", "doc_id", "lang", max_iter=FEW_ITERATIONS).report
+    return train_and_evaluate(docs, "lang", "doc_id", "lang").report
 
 
 def _models(spark: SparkSession, sf_dir: str) -> dict[str, PipelineModel]:
@@ -90,9 +103,10 @@ def _models(spark: SparkSession, sf_dir: str) -> dict[str, PipelineModel]:
     docs = labelled(spark, sf_dir).select("doc_id", "lang", "quality", clean.alias("clean_text"))
     docs = docs.withColumn("quality", F.col("quality").cast("string")).persist()
     try:
+        tfidf = TfidfStages.fit_text(docs, F.col("clean_text"))
         return {
-            "aspect": fit_classifier(docs, "lang", text="clean_text", out="predicted_aspect"),
-            "sentiment": fit_classifier(docs, "quality", text="clean_text", out="predicted_sentiment"),
+            "aspect": fit_classifier(docs, "lang", text="clean_text", out="predicted_aspect", tfidf=tfidf),
+            "sentiment": fit_classifier(docs, "quality", text="clean_text", out="predicted_sentiment", tfidf=tfidf),
         }
     finally:
         docs.unpersist()
@@ -151,7 +165,7 @@ def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _tagger(spark: SparkSession, sf_dir: str) -> Tagger:
-    return fit_tagger(corpus(spark, sf_dir), max_iter=FEW_ITERATIONS, num_features=1 << 16)
+    return fit_tagger(corpus(spark, sf_dir))
 
 
 def _turn_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -181,3 +195,69 @@ def tagged_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     tagged = tag_reviews(turns(spark, sf_dir), "doc_id", _tagger(spark, sf_dir))
     shown = F.transform("entities", lambda e: F.concat_ws("/", e["text"], e["type"]))
     return tagged.select("doc_id", F.array_join(shown, "; ").alias("entities"), "highlighted")
+
+
+_LR = """
+      d AS (SELECT ln(n_chars + 1) AS x, quality::DOUBLE AS y,
+              (SELECT count(*) FROM labels) / (2.0 * count(*) OVER (PARTITION BY quality)) AS w
+            FROM documents JOIN labels USING (doc_id)),
+      total AS (SELECT sum(w) AS sw, 1.0 / count(*) AS penalty FROM d),
+      fit(k, a, b) AS (
+        SELECT 0, 0.0::DOUBLE, 0.0::DOUBLE
+        UNION ALL
+        SELECT k + 1, a - (hbb * ga - hab * gb) / (haa * hbb - hab * hab), b - (haa * gb - hab * ga) / (haa * hbb - hab * hab)
+        FROM (SELECT k, a, b, sum(w * (p - y) * x) / any_value(sw) + any_value(penalty) * a AS ga, sum(w * (p - y)) / any_value(sw) AS gb,
+                sum(w * p * (1 - p) * x * x) / any_value(sw) + any_value(penalty) AS haa,
+                sum(w * p * (1 - p) * x) / any_value(sw) AS hab, sum(w * p * (1 - p)) / any_value(sw) AS hbb
+              FROM (SELECT f.k, f.a, f.b, d.*, total.*, 1 / (1 + exp(-(f.a * x + f.b))) AS p FROM fit f, d, total WHERE k < 25)
+              GROUP BY k, a, b))"""
+
+
+@register(f"WITH RECURSIVE {_LR} SELECT round(a, 3) AS weight, round(b, 2) AS intercept FROM fit ORDER BY k DESC LIMIT 1")
+def lr_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Balanced regression of quality on the log length: weights, penalty and intercept against Newton steps."""
+    rows = labelled(spark, sf_dir).select("quality", F.array(F.log(F.col("n_chars") + 1)).alias("x"))
+    weights = class_weights(rows, "quality").select("quality", "weight", "n")
+    n = weights.agg(F.sum("n")).first()[0]
+    ready = rows.join(F.broadcast(weights), "quality").select(
+        array_to_vector("x").alias("features"), F.col("quality").cast("double").alias("label"), "weight"
+    )
+    model = logistic_regression(n, tol=1e-12).setParams(weightCol="weight").fit(ready.coalesce(1 + n // 20_000))
+    # One row, made from the fitted numbers.
+    values = [F.round(F.lit(float(x)), d) for x, d in ((model.coefficients[0], 3), (model.intercept, 2))]
+    return weights.limit(1).select(values[0].alias("weight"), values[1].alias("intercept"))
+
+
+# A tagger with fixed label statistics; its token scores come from hashes, so SQL can repeat them.
+_PATH_LABELS = ["B", "I", "O"]
+_START, _STEP = [-1.31, -5.17, -0.43], [[-2.03, -0.71, -1.13], [-1.93, -0.61, -0.97], [-1.21, -6.07, -0.37]]
+_HASH_TURNS = "(SELECT conv_id * 1000000 + turn AS doc_id, CASE WHEN turn % 3 = 2 THEN ' ' ELSE text END AS text FROM conversations)"
+_EMIT = "ln((('0x' || substr(md5(concat({y}, t[i])), 1, 4))::INT + 1) / 65537.0)"
+
+
+@register(
+    f"""WITH RECURSIVE a AS (SELECT doc_id, {Q.tokens('text')} AS t FROM {_HASH_TURNS}),
+      e AS MATERIALIZED (SELECT doc_id, i, y, {_EMIT.format(y='y')} AS s FROM (SELECT doc_id, t, unnest(range(1, len(t) + 1)) AS i FROM a),
+              (SELECT unnest([1, 2, 3]) AS y)),
+      best(doc_id, i, y, score, path) AS (
+        SELECT doc_id, 1::BIGINT, y, {_START}[y]::DOUBLE + s, {_PATH_LABELS}[y] FROM e WHERE i = 1
+        UNION ALL
+        SELECT doc_id, i, y, m.score + s, m.path || ' ' || {_PATH_LABELS}[y] FROM (
+          SELECT e.doc_id, e.i, e.y, any_value(e.s) AS s,
+            max(struct_pack(score := b.score + {_STEP}[b.y][e.y]::DOUBLE, path := b.path)) AS m
+          FROM best b JOIN e ON e.doc_id = b.doc_id AND e.i = b.i + 1 GROUP BY e.doc_id, e.i, e.y)),
+      done AS (SELECT doc_id, arg_max(path, score) AS path FROM best b
+        WHERE i = (SELECT max(i) FROM e WHERE e.doc_id = b.doc_id) GROUP BY doc_id)
+    SELECT a.doc_id, array_to_string(t, ' ') AS tokens, coalesce(path, '') AS labels FROM a LEFT JOIN done USING (doc_id)"""
+)
+def best_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best label paths over hashed token scores; every third turn is blank and keeps its row."""
+    turns_ = table(spark, sf_dir, "conversations").select(
+        (F.col("conv_id") * 1000000 + F.col("turn")).alias("doc_id"), F.when(F.col("turn") % 3 == 2, " ").otherwise(F.col("text")).alias("text")
+    )
+    rows = turns_.select("doc_id", F.posexplode_outer(B.ner_tokenize(F.col("text"))).alias("pos", "token"))
+    score = lambda y: (F.conv(F.substring(F.md5(F.concat(F.lit(str(y)), "token")), 1, 4), 16, 10).cast("double") + 1) / 65537.0
+    probs = F.transform(F.array(*[score(y) for y in (1, 2, 3)]), lambda p: F.coalesce(p, F.lit(1.0)))
+    fixed = Tagger(None, _PATH_LABELS, [0.0] * 3, _START, _STEP)
+    paths = decode_paths(rows.select("doc_id", "pos", "token", probs.alias("probs")), "doc_id", fixed)
+    return paths.select("doc_id", F.array_join("tokens", " ").alias("tokens"), F.array_join("labels", " ").alias("labels"))

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from reviewlens.catalog import sql as Q
 from reviewlens.catalog.registry import SEED, labelled, register, table
 from reviewlens.operators import labels, sampling
+from reviewlens.plans.corpora import build_review_corpus
 
 _LABELLED = "(SELECT d.doc_id, d.text, d.lang, quality, toxic FROM documents d JOIN labels l ON d.doc_id = l.doc_id)"
 
@@ -46,6 +47,12 @@ def random_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.random_split(table(spark, sf_dir, "documents").select("doc_id"), 0.2, "doc_id", SEED)
 
 
+@register(f"SELECT doc_id, lang FROM documents ORDER BY {Q.first_of('doc_id', 7)} LIMIT 50")
+def shuffle_head(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a reader sees who opens the shuffled table: its first fifty rows."""
+    return sampling.shuffle_rows(table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id", 7).limit(50)
+
+
 _CHOICES = ["Semarang", "Solo", "Bali", "Kuta", "Ubud"]
 
 
@@ -69,3 +76,18 @@ def label_remap(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "text", F.col("lang").alias("aspect"), F.col("quality").cast("string").alias("sentiment")
     )
     return labels.filter_valid_and_remap(raw, LANG_NAMES, QUALITY_NAMES)
+
+
+@register(
+    f"""WITH r AS (SELECT doc_id, trim(text) AS text, {Q.text_map(LANG_NAMES)}[lang] AS aspect,
+        {Q.text_map(QUALITY_NAMES)}[quality::VARCHAR] AS sentiment FROM {_LABELLED}
+      WHERE text <> '' AND lang IN {Q.text_list(list(LANG_NAMES))})
+    SELECT doc_id, text, aspect, sentiment FROM (SELECT *, row_number() OVER (PARTITION BY aspect, sentiment
+      ORDER BY {Q.first_of('doc_id')}) AS k FROM r) WHERE k <= 20"""
+)
+def review_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The balanced corpus as one job: labels cleaned and mapped, then twenty rows per aspect and sentiment."""
+    raw = labelled(spark, sf_dir).select(
+        "doc_id", "text", F.col("lang").alias("aspect"), F.col("quality").cast("string").alias("sentiment")
+    )
+    return build_review_corpus(raw, "doc_id", LANG_NAMES, QUALITY_NAMES, 20, SEED)

@@ -21,9 +21,14 @@ def case_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _documents(spark, sf_dir, folded=T.case_folding(F.col("text")))
 
 
+_PLAIN = "abcdefghijklmnopqrstuvwxyz"
+
+
 @register("SELECT doc_id, text AS normalized FROM documents")
 def nfkc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _documents(spark, sf_dir, normalized=T.normalize_nfkc(F.col("text")))
+    """Texts whose plain small letters were widened; composition takes them back."""
+    wide = F.translate("text", _PLAIN, "".join(chr(ord(c) + 0xFEE0) for c in _PLAIN))
+    return _documents(spark, sf_dir, normalized=T.normalize_nfkc(wide))
 
 
 @register(f"SELECT doc_id, {Q.strip_urls('text')} AS stripped FROM documents")
@@ -185,14 +190,15 @@ _LETTERS, _BYTES = "ßäçèéêíñóöü", "ABCDEFGHIJK"
 _WORDS = rf"SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[{Q.WORD}]+')) AS word FROM"
 
 
-def _nearest_sql(vocabulary: str, bucket: str = "true") -> str:
+def _nearest_sql(vocabulary: str) -> str:
     return f"""
-      words AS ({_WORDS} documents),
-      w AS (SELECT word, translate(word, '{_LETTERS}', '{_BYTES}') AS b FROM words),
-      v AS (SELECT rank, word AS corrected, translate(word, '{_LETTERS}', '{_BYTES}') AS b FROM ({vocabulary})),
-      near AS (SELECT w.word, corrected, rank, levenshtein(w.b, v.b) AS distance FROM w JOIN v
-               ON abs(length(w.b) - length(v.b)) <= 2 AND {bucket}),
-      best AS (SELECT *, row_number() OVER (PARTITION BY word ORDER BY distance, rank) AS k FROM near WHERE distance <= 2)
+      words AS MATERIALIZED ({_WORDS} documents),
+      w AS MATERIALIZED (SELECT word, translate(word, '{_LETTERS}', '{_BYTES}') AS b FROM words),
+      v AS MATERIALIZED (SELECT rank, word AS corrected, translate(word, '{_LETTERS}', '{_BYTES}') AS b FROM ({vocabulary})),
+      vx AS MATERIALIZED (SELECT *, length(b) + unnest([-2, -1, 0, 1, 2]) AS len FROM v),
+      near AS MATERIALIZED (SELECT * FROM (SELECT w.word, corrected, rank, levenshtein(w.b, vx.b) AS distance
+               FROM w JOIN vx ON length(w.b) = vx.len) WHERE distance <= 2),
+      best AS (SELECT *, row_number() OVER (PARTITION BY word ORDER BY distance, rank) AS k FROM near)
       """
 
 

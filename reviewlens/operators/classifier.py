@@ -10,21 +10,26 @@ from pyspark.ml.feature import IndexToString, SQLTransformer, StringIndexerModel
 from pyspark.sql import DataFrame, functions as F
 
 from reviewlens.functions.text import WORD
-from reviewlens.operators.features import TfidfStages, class_weights, word_terms
+from reviewlens.operators.features import TfidfStages, class_weights
 
+ROWS_PER_TASK = 20_000
 LEARNERS = ("logistic_regression", "naive_bayes")
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def terms_stage(text: str, out: str) -> SQLTransformer:
     """Savable stage for the unigrams and bigrams of ``word_terms``; null text gives no terms."""
-    words = rf"regexp_extract_all(lower(coalesce({text}, '')), '[{WORD}]{{2,}}', 0)".replace("\\", "\\\\")
+    words = rf"regexp_extract_all(lower(coalesce({quoted(text)}, '')), '[{WORD}]{{2,}}', 0)".replace("\\", "\\\\")
+    w = quoted(f"{out}_w")
     pairs = (
-        f"zip_with(slice({out}_w, 1, greatest(size({out}_w) - 1, 0)), "
-        f"slice({out}_w, 2, greatest(size({out}_w) - 1, 0)), (a, b) -> concat_ws(' ', a, b))"
+        f"zip_with(slice({w}, 1, greatest(size({w}) - 1, 0)), "
+        f"slice({w}, 2, greatest(size({w}) - 1, 0)), (a, b) -> concat_ws(' ', a, b))"
     )
     return SQLTransformer(
-        statement=f"SELECT * EXCEPT ({out}_w), concat({out}_w, {pairs}) AS {out} "
-        f"FROM (SELECT *, {words} AS {out}_w FROM __THIS__)"
+        statement=f"SELECT * EXCEPT ({w}), concat({w}, {pairs}) AS {quoted(out)} FROM (SELECT *, {words} AS {w} FROM __THIS__)"
     )
 
 
@@ -59,13 +64,15 @@ def fit_classifier(
 ) -> PipelineModel:
     """Fit TF-IDF and one learner on labelled text; the model appends the string column ``out``.
 
-    Labels are indexed in alphabetical order. Only the vocabulary, of at most ``max_features``
+    Rows without a label are left out; a row without text counts as an empty one. Labels are indexed in
+    alphabetical order. Only the vocabulary, of at most ``max_features``
     terms, the class counts and the weights come to the driver.
     """
     if learner not in LEARNERS:
         raise ValueError(f"unknown learner: {learner}")
+    train = train.where(F.col(label).isNotNull())
     terms = f"{out}_terms"
-    tfidf = tfidf or TfidfStages.fit(train, word_terms(F.col(text)), min_df, max_features)
+    tfidf = tfidf or TfidfStages.fit_text(train, F.col(quoted(text)), min_df, max_features)
     features = PipelineModel([terms_stage(text, terms), *tfidf.stages(terms, f"{out}_features")])
     weights = class_weights(train, label).orderBy(label).collect()
     labels = [r[label] for r in weights]
@@ -75,24 +82,27 @@ def fit_classifier(
     indexed = StringIndexerModel.from_labels(
         [str(x) for x in labels], inputCol=label, outputCol=f"{out}_label"
     ).transform(features.transform(train))
+    n_rows = sum(r["n"] for r in weights)
+    # Iterations are jobs over this table: a few rows in many partitions would cost more than they compute.
     ready = indexed.select(
         f"{out}_features", f"{out}_label", F.element_at(weight_of, F.col(label)).alias("weight")
-    ).persist()
+    ).coalesce(max(1, n_rows // ROWS_PER_TASK)).persist()
     try:
         if learner == "naive_bayes":
             estimator = NaiveBayes(modelType="multinomial", smoothing=1.0, labelCol=f"{out}_label", **columns)
             model = unsmoothed_priors(estimator.fit(ready), [r["n"] for r in weights])
         else:
-            estimator = logistic_regression(sum(r["n"] for r in weights), max_iter=max_iter, tol=tol)
+            estimator = logistic_regression(n_rows, max_iter=max_iter, tol=tol)
             estimator.setParams(labelCol=f"{out}_label", weightCol="weight", **columns)
             model = estimator.fit(ready)
     finally:
         ready.unpersist()
     names = IndexToString(inputCol=f"{out}_index", outputCol=f"{out}_name", labels=[str(x) for x in labels])
     scratch = ", ".join(
-        f"{out}_{s}" for s in ("terms", "features_tf", "features_tfidf", "features", "raw", "prob", "index", "name")
+        quoted(f"{out}_{s}") for s in ("terms", "features_tf", "features_tfidf", "features", "raw", "prob", "index", "name")
     )
     finish = SQLTransformer(
-        statement=f"SELECT * EXCEPT ({scratch}), CASE WHEN {text} IS NOT NULL THEN {out}_name END AS {out} FROM __THIS__"
+        statement=f"SELECT * EXCEPT ({scratch}), CASE WHEN {quoted(text)} IS NOT NULL "
+        f"THEN {quoted(f'{out}_name')} END AS {quoted(out)} FROM __THIS__"
     )
     return PipelineModel([*features.stages, model, names, finish])

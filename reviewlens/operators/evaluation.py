@@ -1,4 +1,7 @@
-"""Classification metrics. All of them derive from one small table of counts per label pair."""
+"""Classification metrics. All of them derive from one small table of counts per label pair.
+
+A null prediction is wrong and is no class; rows whose actual label is null are not evaluated.
+"""
 
 from __future__ import annotations
 
@@ -9,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 def confusion_counts(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     """``(actual, predicted, n)`` for the pairs that occur."""
-    return df.groupBy(F.col(actual).alias("actual"), F.col(predicted).alias("predicted")).agg(
+    return df.where(F.col(actual).isNotNull()).groupBy(F.col(actual).alias("actual"), F.col(predicted).alias("predicted")).agg(
         F.count("*").alias("n")
     )
 
@@ -36,6 +39,7 @@ def class_totals(counts: DataFrame) -> DataFrame:
     )
     return (
         counts.select(F.inline(F.array(as_actual, as_predicted)))
+        .where("label IS NOT NULL")
         .groupBy("label")
         .agg(*[F.sum(c).alias(c) for c in ("tp", "n_pred", "support")])
     )
@@ -102,13 +106,17 @@ def confusion_matrix_wide(counts: DataFrame, labels: Sequence[str]) -> DataFrame
     return known.groupBy("actual").pivot("predicted", list(labels)).agg(F.sum("n")).na.fill(0)
 
 
+def _wrong(actual: Column, predicted: Column) -> Column:
+    return actual.isNotNull() & ~actual.eqNullSafe(predicted)
+
+
 def error_examples(df: DataFrame, actual: str, predicted: str, order_by: Sequence[str], n: int = 5) -> DataFrame:
     """The first ``n`` wrong rows."""
-    return df.where(F.col(actual) != F.col(predicted)).orderBy(*order_by).limit(n)
+    return df.where(_wrong(F.col(actual), F.col(predicted))).orderBy(*order_by).limit(n)
 
 
 def error_count(counts: DataFrame) -> DataFrame:
-    wrong = F.when(F.col("actual") != F.col("predicted"), F.col("n")).otherwise(F.lit(0))
+    wrong = F.when(_wrong(F.col("actual"), F.col("predicted")), F.col("n")).otherwise(F.lit(0))
     return counts.agg(F.sum(wrong).alias("errors"), F.sum("n").alias("rows"))
 
 

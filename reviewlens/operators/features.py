@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from reviewlens.functions.arrays import let, term_counts
 from reviewlens.functions.text import WORD
 from reviewlens.operators.joins import BROADCAST_ROWS, lookup_join
+from reviewlens.session import stored
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -58,6 +59,28 @@ def vocabulary(df: DataFrame, terms: Column, min_df: int = 2, max_features: int
     return counts if max_features is None else counts.orderBy(F.desc("tf"), "term").limit(max_features)
 
 
+def words_and_pairs(df: DataFrame, text: Column, min_df: int = 2, max_features: int = 5000) -> DataFrame:
+    """``vocabulary`` of ``word_terms``, where most pairs are never shuffled.
+
+    Words are counted first. A pair is no more frequent than its words, so where there are ``max_features``
+    words, only pairs of words at least as frequent as the last of them can enter.
+    """
+    words = word_terms(text, 1)
+    counts = stored(
+        df.select(F.inline(term_counts(words))).groupBy("term").agg(F.sum("tf").alias("tf"), F.count("*").alias("df")), "words"
+    )
+    valid = counts.where(F.col("df") >= min_df)
+    last = valid.orderBy(F.desc("tf"), "term").limit(max_features).agg(F.count("*").alias("n"), F.min("tf").alias("tf")).first()
+    pairs = F.filter(word_terms(text, 2), lambda t: F.contains(t, F.lit(" ")))
+    if last["n"] >= max_features:
+        known = [r["term"] for r in counts.where(F.col("tf") >= last["tf"]).select("term").limit(4 * max_features + 1).collect()]
+        if len(known) <= 4 * max_features:  # else too many words tie with the last one, and all pairs are counted
+            both = lambda p: F.substring_index(p, " ", 1).isin(known) & F.substring_index(p, " ", -1).isin(known)
+            pairs = F.filter(pairs, both)
+    found = vocabulary(df, pairs, min_df, None).unionByName(valid)
+    return found.orderBy(F.desc("tf"), "term").limit(max_features)
+
+
 def with_idf(vocab: DataFrame, n_texts: int) -> DataFrame:
     return vocab.withColumn("idf", F.log((F.lit(1.0) + n_texts) / (F.lit(1.0) + F.col("df"))) + 1)
 
@@ -71,8 +94,16 @@ class TfidfStages:
 
     @classmethod
     def fit(cls, df: DataFrame, terms: Column, min_df: int = 2, max_features: int = 5000) -> TfidfStages:
-        counted = df.select(F.count("*").alias("n")).first()["n"]
-        rows = with_idf(vocabulary(df, terms, min_df, max_features), counted).orderBy("term").collect()
+        return cls._of(df, vocabulary(df, terms, min_df, max_features))
+
+    @classmethod
+    def fit_text(cls, df: DataFrame, text: Column, min_df: int = 2, max_features: int = 5000) -> TfidfStages:
+        """As ``fit`` for ``word_terms(text)``."""
+        return cls._of(df, words_and_pairs(df, text, min_df, max_features))
+
+    @classmethod
+    def _of(cls, df: DataFrame, vocab: DataFrame) -> TfidfStages:
+        rows = with_idf(vocab, df.count()).orderBy("term").collect()
         return cls([r["term"] for r in rows], [r["idf"] for r in rows])
 
     def stages(self, terms_col: str, out_col: str) -> list:

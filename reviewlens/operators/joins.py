@@ -7,15 +7,27 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from reviewlens.functions.arrays import let
+from reviewlens.session import stored
 
-BROADCAST_ROWS = 10_000
-SALTS = 32
+BROADCAST_ROWS, BROADCAST_BYTES = 10_000, 8 << 20
+#: Keys with more than this share of the rows are split; there are at most as many such keys.
+HOT_KEYS = 1000
 
 
-def bounded_copy(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame | None:
-    """A local copy of ``table`` if it has at most ``max_rows`` rows, else None."""
-    rows = table.limit(max_rows + 1).collect()
-    return table.sparkSession.createDataFrame(rows, table.schema) if len(rows) <= max_rows else None
+def bounded(table: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame | None:
+    """``table`` marked for broadcast if it has at most ``max_rows`` rows and ``max_bytes`` as JSON text, else None."""
+    size = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in table.columns])))
+    found = table.limit(max_rows + 1).agg(F.count("*").alias("n"), F.sum(size).alias("bytes")).first()
+    return F.broadcast(table) if found["n"] <= max_rows and (found["bytes"] or 0) <= max_bytes else None
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on ``keys``, null keys equal; the columns of ``left`` keep their names."""
+    renamed = right.select(*[F.col(f"`{c}`").alias(f"_r_{c}" if c in keys else c) for c in right.columns])
+    condition = F.lit(True)
+    for key in keys:
+        condition = condition & left[f"`{key}`"].eqNullSafe(renamed[f"`_r_{key}`"])
+    return left.join(renamed, condition, how).drop(*[f"_r_{key}" for key in keys])
 
 
 def lookup_join(
@@ -25,26 +37,29 @@ def lookup_join(
     spread_by: Sequence[str],
     how: str = "left",
     max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
+    hot_keys: int = HOT_KEYS,
 ) -> DataFrame:
-    """Join ``rows`` to a ``table`` whose ``keys`` are unique; null keys match null keys.
+    """Join ``rows`` to ``table``; null keys match null keys.
 
-    A table of checked size is broadcast. A larger one is shuffled: its rows are repeated once
-    per salt and ``rows`` draw their salt from the hash of ``spread_by``, so a hot key is shared
-    out over ``SALTS`` tasks.
+    A table of checked size is broadcast. A larger one is shuffled: the keys of ``rows`` are counted, and one
+    with over ``1 / hot_keys`` of the rows is dealt to as many tasks as it has such shares, by the
+    hash of ``spread_by``. Only the table rows of these keys are repeated, once per share.
     """
-    small = bounded_copy(table, max_rows)
+    keys = list(keys)
+    small = bounded(table, max_rows, max_bytes)
     if small is not None:
-        left, right, on = rows, small, list(keys)
-    else:
-        left = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)))
-        right = table.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-        on = [*keys, "_salt"]
-    renamed = right.select(*[F.col(c).alias(f"_r_{c}" if c in on else c) for c in right.columns])
-    condition = F.lit(True)
-    for key in on:
-        condition = condition & left[key].eqNullSafe(renamed[f"_r_{key}"])
-    joined = left.join(F.broadcast(renamed) if small is not None else renamed, condition, how)
-    return joined.drop("_salt", *[f"_r_{key}" for key in on])
+        return null_safe_join(rows, small, keys, how)
+    counts = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
+    share = F.lit(max((counts.agg(F.sum("_n")).first()[0] or 0) // hot_keys, 1))
+    # At most hot_keys rows, whatever the data; written, since both sides must see the same.
+    hot = stored(counts.where(F.col("_n") > share).select(*keys, F.ceil(F.col("_n") / share).alias("_parts")), "hot-keys")
+    parts = F.coalesce("_parts", F.lit(1))
+    left = null_safe_join(rows, F.broadcast(hot), keys, "left").withColumn("_salt", F.pmod(F.xxhash64(*spread_by), parts)).drop("_parts")
+    right = null_safe_join(table, F.broadcast(hot), keys, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))
+    ).drop("_parts")
+    return null_safe_join(left, right, [*keys, "_salt"], how).drop("_salt")
 
 
 def salted_lookup(rows: DataFrame, table: DataFrame, key: str, size: str, salts: int = 1000) -> DataFrame:
@@ -79,18 +94,18 @@ def replace_words(
 ) -> DataFrame:
     """Replace the words of an array column by a dictionary table ``(word, replacement)``.
 
-    For dictionaries too large for a literal. The distinct words per text meet the table, and
-    what was found comes back as one small map per text.
+    For dictionaries too large for a literal. The words meet the table with their positions, and only
+    hits come back. In the row they are merged by position, in ``n log n`` for any number of hits.
     """
-    words = texts.select(id_col, F.explode(F.array_distinct(words_col)).alias("word"))
-    found = lookup_join(words, dictionary.select("word", "replacement"), ["word"], [id_col], how="inner")
-    per_text = found.groupBy(id_col).agg(
-        F.map_from_entries(F.collect_list(F.struct("word", "replacement"))).alias("_found")
-    )
-    replaced = F.when(F.col("_found").isNull(), F.col(words_col)).otherwise(
-        let(
-            F.col("_found"),
-            lambda found: F.transform(F.col(words_col), lambda w: F.coalesce(F.try_element_at(found, w), w)),
-        )
-    )
-    return texts.join(per_text, id_col, "left").withColumn(out, replaced).drop("_found")
+    words = texts.select(id_col, F.posexplode(words_col).alias("_pos", "word"))
+    found = lookup_join(words, dictionary.select("word", "replacement"), ["word"], [id_col, "_pos"], how="inner")
+    hit = F.struct(F.col("_pos").alias("pos"), F.lit(0).alias("kept"), F.col("replacement").alias("word"))
+    per_text = found.groupBy(id_col).agg(F.collect_list(hit).alias("_hits"))
+
+    def merge(ordered: Column) -> Column:
+        first = F.filter(ordered, lambda x, i: ~x["pos"].eqNullSafe(F.get(ordered, i - 1)["pos"]))
+        return F.transform(first, lambda x: x["word"])
+
+    own = F.transform(F.col(words_col), lambda w, i: F.struct(i.alias("pos"), F.lit(1).alias("kept"), w.alias("word")))
+    replaced = F.when(F.col("_hits").isNull(), F.col(words_col)).otherwise(let(F.array_sort(F.concat("_hits", own)), merge))
+    return texts.join(per_text, id_col, "left").withColumn(out, replaced).drop("_hits")

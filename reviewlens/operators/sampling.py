@@ -2,7 +2,7 @@
 
 Rows are ordered by ``md5(seed:id), id``. Every operator here takes the first rows of that order,
 overall or per group. The cut is found as one threshold per group: count the hash prefixes, find
-the prefix the quota falls into, rank only the rows with that prefix. So no group is sorted as a
+the prefix the quota falls into, refine it until few rows have it, and rank only these. So no group is sorted as a
 whole, whatever share of the rows it holds, and no text is shuffled.
 """
 
@@ -13,9 +13,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from reviewlens.operators.joins import lookup_join
+from reviewlens.operators.joins import bounded, lookup_join, null_safe_join
+from reviewlens.session import stored
 
 PREFIX_DIGITS = 3
+#: A bucket of at most this many rows is ranked by one task.
+BUCKET_ROWS = 10_000
+HASH_DIGITS = 32
 
 
 def order_hash(seed: int | str, key: Column) -> Column:
@@ -23,36 +27,52 @@ def order_hash(seed: int | str, key: Column) -> Column:
 
 
 def mark_first(
-    df: DataFrame, id_col: str, groups: Sequence[str], quota: DataFrame | int, seed: int | str, flag: str
+    df: DataFrame,
+    id_col: str,
+    groups: Sequence[str],
+    quota: DataFrame | int,
+    seed: int | str,
+    flag: str,
+    digits: int = PREFIX_DIGITS,
+    bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """Add a boolean column: is the row among the first ``quota`` rows of its group.
 
-    ``quota`` is a number or a table of ``groups`` and ``take``. Ids must be unique.
+    ``quota`` is a number or a table of ``groups`` and ``take``. Ids must be unique. Prefixes grow by ``digits``
+    until the bucket of every group that holds the cut has at most ``bucket_rows`` rows.
     """
     groups = list(groups)
     ranked = df.select(id_col, *groups, order_hash(seed, F.col(id_col)).alias("_h"))
-    prefix = F.substring("_h", 1, PREFIX_DIGITS)
-    histogram = ranked.groupBy(*groups, prefix.alias("_p")).agg(F.count("*").alias("_n"))
-    upto = F.sum("_n").over(Window.partitionBy(*groups).orderBy("_p"))
-    histogram = histogram.withColumn("_upto", upto)
-    if isinstance(quota, int):
-        total = F.sum("_n").over(Window.partitionBy(*groups))
-        histogram = histogram.withColumn("take", F.least(F.lit(quota).cast("long"), total))
-    else:
-        histogram = _join_on(histogram, quota, groups)
-    cut = histogram.where((F.col("_upto") >= F.col("take")) & (F.col("_upto") - F.col("_n") < F.col("take")))
-    cut = cut.select(*groups, "_p", (F.col("take") - F.col("_upto") + F.col("_n")).alias("_need"))
-
-    near = _join_on(ranked.withColumn("_p", prefix), cut, [*groups, "_p"])
-    in_prefix = Window.partitionBy(*groups).orderBy("_h", id_col)
+    near, cut, length = ranked, None, 0
+    while True:
+        length = min(length + digits, HASH_DIGITS)
+        prefix = F.substring("_h", 1, length)
+        histogram = near.groupBy(*groups, prefix.alias("_p")).agg(F.count("*").alias("_n"))
+        within = Window.partitionBy(*(groups or [F.lit(0)]))
+        histogram = histogram.withColumn("_upto", F.sum("_n").over(within.orderBy("_p")))
+        if cut is not None:
+            histogram = null_safe_join(histogram, _small(cut.select(*groups, F.col("_need").alias("take"))), groups, "inner")
+        elif isinstance(quota, int):
+            total = F.sum("_n").over(within)
+            histogram = histogram.withColumn("take", F.least(F.lit(quota).cast("long"), total))
+        else:
+            histogram = null_safe_join(histogram, _small(quota), groups, "inner")
+        holds = (F.col("_upto") >= F.col("take")) & (F.col("_upto") - F.col("_n") < F.col("take"))
+        need = (F.col("take") - F.col("_upto") + F.col("_n")).alias("_need")
+        cut = stored(histogram.where(holds).select(*groups, "_p", need, "_n"), "cut")
+        near = null_safe_join(near.withColumn("_p", prefix), _small(cut.drop("_need", "_n")), [*groups, "_p"], "inner").drop("_p")
+        if length == HASH_DIGITS or not (cut.agg(F.max("_n")).first()[0] or 0) > bucket_rows:
+            break
+
+    in_bucket = Window.partitionBy(*(groups or [F.lit(0)])).orderBy("_h", id_col)
     limits = (
-        near.withColumn("_rank", F.row_number().over(in_prefix))
+        null_safe_join(near.withColumn("_rank", F.row_number().over(in_bucket)), _small(cut.select(*groups, "_need")), groups, "inner")
         .where(F.col("_rank") == F.col("_need"))
         .select(*groups, F.struct(F.col("_h"), F.col(id_col).alias("_id")).alias("_limit"))
     )
     own = F.struct(order_hash(seed, F.col(id_col)).alias("_h"), F.col(id_col).alias("_id"))
     if groups:
-        df, limit = lookup_join(df, limits, groups, [id_col]), F.col("_limit")
+        df, limit = lookup_join(df, stored(limits, "limits"), groups, [id_col]), F.col("_limit")
     else:
         found = limits.first()
         limit = F.lit(None)
@@ -62,13 +82,10 @@ def mark_first(
     return df.withColumn(flag, F.coalesce(own <= limit, F.lit(False))).drop("_limit")
 
 
-def _join_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Inner join with null keys equal; Catalyst picks the strategy by size."""
-    renamed = right.select(*[F.col(c).alias(f"_r_{c}" if c in keys else c) for c in right.columns])
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & left[key].eqNullSafe(renamed[f"_r_{key}"])
-    return left.join(renamed, condition).drop(*[f"_r_{key}" for key in keys])
+def _small(table: DataFrame) -> DataFrame:
+    """One row per group: broadcast if its size allows, else left to the optimizer."""
+    small = bounded(table)
+    return table if small is None else small
 
 
 def cap_per_group(df: DataFrame, groups: Sequence[str], n: int, id_col: str, seed: int | str) -> DataFrame:

@@ -6,68 +6,66 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from reviewlens.functions.arrays import cosine_similarity, let, term_counts
-from reviewlens.operators.joins import replace_words
+from reviewlens.functions.arrays import cosine_similarity, term_counts
+from reviewlens.operators.joins import lookup_join, replace_words
 from reviewlens.session import stored
 
-LITERAL_WORDS = 200
 
 
-def deletions(word: Column, distance: int) -> Column:
-    """The word and every string left after deleting up to ``distance`` characters."""
+def _piece(length: Column, number: int, pieces: int) -> tuple[Column, Column]:
+    """Start (from 0) and length of a piece when ``length`` characters are cut evenly, longer pieces last."""
+    long_ones = length % pieces
+    start = number * F.floor(length / pieces) + F.greatest(number - (pieces - long_ones), F.lit(0))
+    return start, F.floor(length / pieces) + (long_ones > pieces - 1 - number).cast("long")
 
-    def one_less(forms: Column) -> Column:
-        return F.flatten(
-            F.transform(
-                forms,
-                lambda w: F.transform(
-                    F.sequence(F.lit(1), F.greatest(F.char_length(w), F.lit(1))),
-                    lambda i: F.overlay(w, F.lit(""), i, F.lit(1)),
-                ),
-            )
-        )
 
-    forms = F.array(word)
-    for _ in range(distance):
-        forms = let(forms, lambda f: F.array_distinct(F.concat(f, one_less(f))))
-    return forms
+def _key(length: Column, number: int, piece: Column) -> Column:
+    return F.concat_ws(":", length, F.lit(number), piece)
 
 
-def correct_words(
-    words: DataFrame, vocabulary: DataFrame, max_distance: int = 2, literal_words: int = LITERAL_WORDS
-) -> DataFrame:
+def index_keys(word: Column, distance: int) -> Column:
+    """A vocabulary word by its ``distance + 1`` pieces, with their places and its length."""
+    size = F.char_length(word)
+    cuts = [_piece(size, i, distance + 1) for i in range(distance + 1)]
+    return F.array(*[_key(size, i, F.substring(word, (at + 1).cast("int"), n.cast("int"))) for i, (at, n) in enumerate(cuts)])
+
+
+def probe_keys(word: Column, distance: int) -> Column:
+    """The keys that a vocabulary word within ``distance`` edits of ``word`` can have.
+
+    Edits touch at most ``distance`` of the pieces, so one piece is found unchanged in ``word``, shifted by
+    ``distance`` at most. The number of keys does not depend on the length of the word.
+    """
+    size, keys = F.char_length(word), []
+    for other in range(-distance, distance + 1):
+        length = size + other
+        for i in range(distance + 1):
+            at, n = _piece(length, i, distance + 1)
+            for shift in range(-distance, distance + 1):
+                begin = at + shift
+                piece = F.substring(word, (begin + 1).cast("int"), n.cast("int"))
+                keys.append(F.when((length > 0) & (begin >= 0) & (begin + n <= size), _key(length, i, piece)))
+    return F.array_distinct(F.array_compact(F.array(*keys)))
+
+
+def correct_words(words: DataFrame, vocabulary: DataFrame, max_distance: int = 2) -> DataFrame:
     """Nearest vocabulary word for each distinct ``word``: ``(word, corrected, distance)``.
 
     ``vocabulary`` has ``word`` and ``rank``; of equally near words the lowest rank wins. Without
-    one in ``max_distance`` the word stays and the distance is null. A small vocabulary is compared
-    as a literal. A larger one is joined by shared deletions: two words within ``max_distance``
-    edits always share one, so no pair is missed and only likely pairs are compared.
+    one in ``max_distance`` the word stays and the distance is null. Words are joined on unchanged pieces,
+    so no pair is missed and only likely pairs are compared; hot pieces are split. Words longer
+    than the longest vocabulary word and ``max_distance`` have no near word and are not looked up.
     """
-    distinct = words.select("word").distinct()
-    vocabulary = vocabulary.select("rank", F.col("word").alias("to"))
-    listed = vocabulary.limit(literal_words + 1).collect()
-    if not listed:
-        return distinct.select("word", F.col("word").alias("corrected"), F.lit(None).cast("int").alias("distance"))
-    if len(listed) <= literal_words:
-        options = F.array(*[F.struct(F.lit(r["rank"]).alias("rank"), F.lit(r["to"]).alias("to")) for r in listed])
-        measured = F.transform(
-            options,
-            lambda o: F.struct(
-                F.levenshtein(F.col("word"), o["to"], max_distance).alias("distance"),
-                o["rank"].alias("rank"),
-                o["to"].alias("to"),
-            ),
-        )
-        nearest = distinct.withColumn("_best", F.array_min(F.filter(measured, lambda m: m["distance"] >= 0)))
-    else:
-        left = distinct.select("word", F.explode(deletions(F.col("word"), max_distance)).alias("_form"))
-        right = vocabulary.select("rank", "to", F.explode(deletions(F.col("to"), max_distance)).alias("_form"))
-        found = left.join(right, "_form").withColumn(
-            "distance", F.levenshtein(F.col("word"), F.col("to"), max_distance)
-        )
-        best = found.where("distance >= 0").groupBy("word").agg(F.min(F.struct("distance", "rank", "to")).alias("_best"))
-        nearest = distinct.join(best, "word", "left")
-    return nearest.select(
+    distinct = stored(words.select("word").distinct(), "words")
+    index = vocabulary.where(F.char_length("word") > 0).select("rank", F.col("word").alias("to"))
+    longest = index.agg(F.max(F.char_length("to"))).first()[0] or 0
+    index = index.select("rank", "to", F.explode(index_keys(F.col("to"), max_distance)).alias("_key"))
+    tried = distinct.where(F.char_length("word") <= longest + max_distance)
+    tried = tried.select("word", F.explode(probe_keys(F.col("word"), max_distance)).alias("_key"))
+    met = lookup_join(tried, index, ["_key"], ["word"], how="inner")
+    found = met.withColumn("distance", F.levenshtein(F.col("word"), F.col("to"), max_distance))
+    best = found.where("distance >= 0").groupBy("word").agg(F.min(F.struct("distance", "rank", "to")).alias("_best"))
+    return distinct.join(best, "word", "left").select(
         "word",
         F.coalesce(F.col("_best.to"), F.col("word")).alias("corrected"),
         F.col("_best.distance").alias("distance"),

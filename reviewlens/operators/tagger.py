@@ -1,4 +1,4 @@
-"""Sequence tagger: hashed token features, multinomial regression, label transitions, best path."""
+"""Sequence tagger: hashed token features (at most ``num_features`` slots), multinomial regression, label transitions, best path."""
 
 from __future__ import annotations
 
@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF, StringIndexerModel
+from pyspark.ml.feature import CountVectorizerModel, SQLTransformer, StringIndexerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
@@ -22,6 +22,7 @@ from reviewlens.functions.arrays import let
 from reviewlens.functions.bio import feature_names, token_features
 
 NUM_FEATURES = 1 << 18
+TOKENS_PER_TASK = 100_000
 
 # The path function travels to the workers by value, so they need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -51,16 +52,14 @@ class Tagger:
     log_start: list[float]
     log_transition: list[list[float]]
 
-    def save(self, path: str) -> None:
+    def save(self, spark: SparkSession, path: str) -> None:
         self.emissions.write().overwrite().save(f"{path}/emissions")
         state = {k: getattr(self, k) for k in ("labels", "log_prior", "log_start", "log_transition")}
-        spark = SparkSession.getActiveSession()
         row = spark.createDataFrame([(json.dumps(state),)], "value string")
         row.coalesce(1).write.mode("overwrite").text(f"{path}/labels")
 
     @classmethod
-    def load(cls, path: str) -> Tagger:
-        spark = SparkSession.getActiveSession()
+    def load(cls, spark: SparkSession, path: str) -> Tagger:
         state = json.loads(spark.read.text(f"{path}/labels").first()["value"])
         return cls(PipelineModel.load(f"{path}/emissions"), **state)
 
@@ -83,7 +82,14 @@ def fit_tagger(
     rows = sentences.select(
         F.inline(F.arrays_zip(feature_rows(F.col(tokens)).alias("features"), F.col(labels).alias("label")))
     )
-    hashing = HashingTF(inputCol="features", outputCol="vector", numFeatures=num_features, binary=True)
+    hashing = SQLTransformer(
+        statement=f"SELECT *, transform(features, f -> string(pmod(hash(f), {num_features}))) AS slots FROM __THIS__"
+    )
+    slots = hashing.transform(rows).persist()
+    # Slots that no training token uses would get weight 0, so the vectors leave them out.
+    used = sorted(r["slot"] for r in slots.select(F.explode("slots").alias("slot")).distinct().collect())
+    counting = CountVectorizerModel.from_vocabulary(used or ["0"], inputCol="slots", outputCol="vector", minTF=1.0)
+    counting = counting.setBinary(True)
     counts = transition_counts(sentences, labels).collect()
     names = sorted({r["label"] for r in counts})
     pair_n = {(r["prev"], r["label"]): r["n"] for r in counts}
@@ -94,8 +100,8 @@ def fit_tagger(
         return [math.log(x / sum(row)) for x in row]
 
     prior = [math.log(sum(n for (_, y), n in pair_n.items() if y == name) / total) for name in names]
-    indexed = StringIndexerModel.from_labels(names, inputCol="label", outputCol="y").transform(hashing.transform(rows))
-    ready = indexed.select("vector", "y").persist()
+    indexed = StringIndexerModel.from_labels(names, inputCol="label", outputCol="y").transform(counting.transform(slots))
+    ready = indexed.select("vector", "y").coalesce(max(1, total // TOKENS_PER_TASK)).persist()
     try:
         model = LogisticRegression(
             featuresCol="vector",
@@ -108,7 +114,8 @@ def fit_tagger(
         ).fit(ready)
     finally:
         ready.unpersist()
-    return Tagger(PipelineModel([hashing, model]), names, prior, shares(None), [shares(name) for name in names])
+        slots.unpersist()
+    return Tagger(PipelineModel([hashing, counting, model]), names, prior, shares(None), [shares(name) for name in names])
 
 
 def best_paths(scores: np.ndarray, lengths: np.ndarray, start: np.ndarray, step: np.ndarray) -> np.ndarray:
@@ -139,19 +146,22 @@ def path_decoder(tagger: Tagger) -> Callable[[Iterator[pa.RecordBatch]], Iterato
     """Turn token rows ``(id, pos, token, probs)`` into sentence rows ``(id, tokens, labels)``.
 
     A sentence begins at position 0 and its rows follow each other; one cut by the end of a batch
-    waits for the next. A path needs all earlier scores and back pointers. Kept as a growing array
+    waits for the next. A row without position stands for a sentence without tokens. A path needs all earlier scores and back pointers. Kept as a growing array
     in a native fold they would cost quadratic time on long texts, hence this step on Arrow batches.
     """
     prior, start = np.array(tagger.log_prior), np.array(tagger.log_start)
     step, names = np.array(tagger.log_transition), pa.array(tagger.labels)
 
     def sentences(rows: pa.Table, begins: np.ndarray) -> pa.RecordBatch:
-        ids, _, tokens, probs = (c.combine_chunks() for c in rows.columns)
-        flat = probs.flatten().to_numpy(zero_copy_only=False)
-        scores = np.log(np.maximum(flat.reshape(-1, len(names)), 1e-12)) - prior
-        bounds = np.append(begins, rows.num_rows)
+        ids, places, tokens, probs = (c.combine_chunks() for c in rows.columns)
+        real = places.is_valid()
+        mask = real.to_numpy(zero_copy_only=False)
+        flat = probs.flatten().to_numpy(zero_copy_only=False).reshape(-1, len(names))[mask]
+        scores = np.log(np.maximum(flat, 1e-12)) - prior
+        before = np.concatenate([[0], np.cumsum(mask)])
+        bounds = before[np.append(begins, rows.num_rows)]
         path = best_paths(scores, np.diff(bounds), start, step)
-        at = pa.array(bounds, pa.int32())
+        at, tokens = pa.array(bounds, pa.int32()), tokens.filter(real)
         lists = [pa.ListArray.from_arrays(at, x) for x in (tokens, names.take(pa.array(path)))]
         return pa.RecordBatch.from_arrays([ids.take(pa.array(begins)), *lists], [rows.column_names[0], "tokens", "labels"])
 
@@ -160,7 +170,7 @@ def path_decoder(tagger: Tagger) -> Callable[[Iterator[pa.RecordBatch]], Iterato
         for batch in batches:
             rows = pa.Table.from_batches([batch])
             rows = rows if waiting is None else pa.concat_tables([waiting, rows])
-            begins = np.flatnonzero(rows.column(1).to_numpy() == 0)
+            begins = np.flatnonzero(rows.column(1).fill_null(0).to_numpy() == 0)
             waiting = rows
             if len(begins) > 1:
                 yield sentences(rows.slice(0, begins[-1]), begins[:-1])
@@ -174,18 +184,28 @@ def path_decoder(tagger: Tagger) -> Callable[[Iterator[pa.RecordBatch]], Iterato
 def token_probabilities(df: DataFrame, id_col: str, tokens: str, tagger: Tagger) -> DataFrame:
     """``(id, pos, token, probs)`` with the classifier's label probabilities, in the order of ``labels``."""
     parts = F.arrays_zip(F.col(tokens).alias("token"), feature_rows(F.col(tokens)).alias("features"))
-    rows = df.select(id_col, F.posexplode(parts)).select(id_col, "pos", "col.token", "col.features")
-    scored = tagger.emissions.transform(rows)
+    return _probabilities(df.select(id_col, F.posexplode(parts)), id_col, tagger)
+
+
+def _probabilities(tokens: DataFrame, id_col: str, tagger: Tagger) -> DataFrame:
+    features = F.coalesce("col.features", F.array().cast("array<string>")).alias("features")
+    scored = tagger.emissions.transform(tokens.select(id_col, "pos", "col.token", features))
     return scored.select(id_col, "pos", "token", vector_to_array("probability").alias("probs"))
 
 
 def tag_tokens(df: DataFrame, id_col: str, tokens: str, tagger: Tagger) -> DataFrame:
-    """``(id, tokens, labels)``; texts without tokens give no row.
+    """``(id, tokens, labels)``, one row per text; texts without tokens have empty arrays.
 
     Nothing is shuffled: the exploded tokens of a text stay together in their task, are scored there
     and gathered again. So it works on streams as well.
     """
-    rows = token_probabilities(df, id_col, tokens, tagger)
+    parts = F.arrays_zip(F.col(tokens).alias("token"), feature_rows(F.col(tokens)).alias("features"))
+    rows = _probabilities(df.select(id_col, F.posexplode_outer(parts)), id_col, tagger)
+    return decode_paths(rows, id_col, tagger)
+
+
+def decode_paths(rows: DataFrame, id_col: str, tagger: Tagger) -> DataFrame:
+    """``(id, tokens, labels)`` from token rows ``(id, pos, token, probs)`` that follow each other."""
     words = ArrayType(StringType())
-    schema = StructType([df.schema[id_col], StructField("tokens", words), StructField("labels", words)])
+    schema = StructType([rows.schema[id_col], StructField("tokens", words), StructField("labels", words)])
     return rows.mapInArrow(path_decoder(tagger), schema)

@@ -11,18 +11,22 @@ from reviewlens.functions.text import strip_spaces
 from reviewlens.operators.labels import drop_incomplete, require_columns
 
 
-def read_table(spark: SparkSession, path: str, format: str = "csv") -> DataFrame:
-    """A text table with header; every column is a string in CSV. Quoted cells may span lines."""
+def read_table(spark: SparkSession, path: str, format: str = "csv", multi_line: bool = True) -> DataFrame:
+    """A text table with header; every column is a string in CSV.
+
+    With ``multi_line`` quoted cells may span lines, and every file is read by one task. Turn it off where
+    cells hold no line breaks: large files are then split. Parquet is the format for large tables.
+    """
     if format == "csv":
-        return spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"', encoding="UTF-8")
+        return spark.read.csv(path, header=True, multiLine=multi_line, quote='"', escape='"', encoding="UTF-8")
     return spark.read.format(format).load(path)
 
 
 def read_labelled_raw(
-    spark: SparkSession, path: str, positions: Sequence[int] = (6, 7, 8), format: str = "csv"
+    spark: SparkSession, path: str, positions: Sequence[int] = (6, 7, 8), format: str = "csv", multi_line: bool = True
 ) -> DataFrame:
     """Text, aspect and sentiment of a raw sheet, picked by column position."""
-    table = read_table(spark, path, format)
+    table = read_table(spark, path, format, multi_line)
     numbered = table.toDF(*[f"_{i}" for i in range(len(table.columns))])
     return numbered.select(
         *[F.col(f"_{p}").alias(name) for p, name in zip(positions, ("text", "aspect", "sentiment"))]
@@ -35,15 +39,16 @@ def read_reviews(
     required: Sequence[str] = ("text", "aspect", "sentiment"),
     format: str = "csv",
     missing: Sequence[str] = MISSING_TEXTS,
+    multi_line: bool = True,
 ) -> DataFrame:
-    """Labelled reviews without rows that miss a required value."""
-    table = require_columns(read_table(spark, path, format), required)
-    return drop_incomplete(table, required, missing)
+    """Labelled reviews without rows that miss a required value; ``missing`` spells it in CSV files only."""
+    table = require_columns(read_table(spark, path, format, multi_line), required)
+    return drop_incomplete(table, required, missing if format == "csv" else ())
 
 
-def read_batch(spark: SparkSession, path: str, format: str = "csv") -> DataFrame:
+def read_batch(spark: SparkSession, path: str, format: str = "csv", multi_line: bool = True) -> DataFrame:
     """Reviews to score; the table must have a ``text`` column."""
-    return require_columns(read_table(spark, path, format), ["text"])
+    return require_columns(read_table(spark, path, format, multi_line), ["text"])
 
 
 def bio_rows(lines: DataFrame, fields: Column, with_pos: bool) -> DataFrame:
@@ -95,6 +100,16 @@ def read_report(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_evaluation(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Metric rows, matrices and wrong rows as ``write_evaluation`` stored them."""
+    cells = "task string, candidate string, is_best boolean, actual string, predicted string, n long"
+    return (
+        read_report(spark, f"{path}/metrics"),
+        spark.read.schema(cells).json(f"{path}/matrices"),
+        spark.read.schema("task string, text string, actual string, predicted string").json(f"{path}/errors"),
+    )
+
+
 def report_table(report: DataFrame) -> DataFrame:
     """Rows of the best model per task, without the accuracy row."""
     kept = report.where(F.col("is_best") & (F.col("label") != "accuracy"))

@@ -34,6 +34,19 @@ def write_report(report: DataFrame, path: str) -> None:
     report.write.mode("overwrite").json(path)
 
 
+def write_evaluation(path: str, report: DataFrame, matrices: DataFrame, errors: DataFrame) -> None:
+    """Metric rows and confusion matrices of every candidate, and wrong rows of the best, in folders of their own."""
+    write_report(report, f"{path}/metrics")
+    matrices.write.mode("overwrite").json(f"{path}/matrices")
+    errors.write.mode("overwrite").json(f"{path}/errors")
+
+
+def write_tagger_report(path: str, report: DataFrame, accuracy: DataFrame) -> None:
+    """The entity report and the token accuracy of a tagger."""
+    write_report(report, f"{path}/entities")
+    accuracy.write.mode("overwrite").json(f"{path}/accuracy")
+
+
 def save_models(path: str, **models: PipelineModel) -> None:
     for name, model in models.items():
         model.write().overwrite().save(f"{path}/{name}")

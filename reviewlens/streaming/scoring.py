@@ -20,13 +20,17 @@ def read_arriving(
     format: str = "parquet",
     max_files: int = 1000,
     name_pattern: str | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
-    """Stream of new files; ``max_files`` bounds a micro-batch, the rest waits for the next one."""
+    """Stream of new files; ``max_files`` bounds a micro-batch, the rest waits for the next one.
+
+    CSV files whose cells hold no line breaks can be split: turn ``multi_line`` off.
+    """
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
     if name_pattern:
         reader = reader.option("pathGlobFilter", name_pattern)
     if format == "csv":
-        reader = reader.options(header=True, multiLine=True, quote='"', escape='"')
+        reader = reader.options(header=True, multiLine=multi_line, quote='"', escape='"')
     return reader.format(format).load(path)
 
 

@@ -123,12 +123,14 @@ def test_corpus_and_tagger(spark, tmp_path):
     assert {"B-HOTEL", "micro avg"} <= {r["label"] for r in done.report.collect()}
 
     path = shared_dir(spark, "tagger")
-    done.tagger.save(path)
-    again = Tagger.load(path)
+    done.tagger.save(spark, path)
+    again = Tagger.load(spark, path)
     texts = spark.createDataFrame([(1, "Saya di Hotel Santika di Semarang , kamar bersih"), (2, "")], "id int, text string")
     first = tag_reviews(texts, "id", done.tagger).collect()
     assert [(r["id"], r["labels"]) for r in first] == [(r["id"], r["labels"]) for r in tag_reviews(texts, "id", again).collect()]
-    assert len(first) == 1 and ("Hotel Santika", "HOTEL") in [(e["text"], e["type"]) for e in first[0]["entities"]]
+    first.sort()
+    assert [(r["id"], r["tokens"], r["highlighted"]) for r in first[1:]] == [(2, [], "")]
+    assert ("Hotel Santika", "HOTEL") in [(e["text"], e["type"]) for e in first[0]["entities"]]
 
     plan = tag_tokens(corpus.select("id", "tokens"), "id", "tokens", again)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan, "tokens must not be shuffled"
@@ -137,7 +139,11 @@ def test_corpus_and_tagger(spark, tmp_path):
     texts.repartition(2).write.parquet(source)
     stream = read_arriving(spark, source, texts.schema)
     tag_stream(stream, "id", again, out, str(tmp_path / "state")).awaitTermination()
-    assert spark.read.parquet(out).collect() == first
+    assert sorted(spark.read.parquet(out).collect()) == first
+    blanks = spark.createDataFrame([(1, " "), (2, None), (3, ""), (4, "Solo")], "id int, text string")
+    assert [(r["id"], len(r["labels"]), r["entities"] is not None) for r in sorted(tag_reviews(blanks, "id", again).collect())] == [
+        (1, 0, True), (2, 0, True), (3, 0, True), (4, 1, True),
+    ]
 
 
 def test_sentences_survive_batch_ends(spark):
@@ -146,7 +152,7 @@ def test_sentences_survive_batch_ends(spark):
     corpus = df.withColumn("labels", F.transform("tokens", lambda t, j: F.when(j % 2 == 0, "B-X").otherwise("O")))
     tagger = fit_tagger(corpus, num_features=64, max_iter=3)
     whole = sorted(map(tuple, tag_tokens(df, "id", "tokens", tagger).collect()))
-    assert [(i, t) for i, t, _ in whole] == [(i, t) for i, t in rows if t]
+    assert [(i, t) for i, t, _ in whole] == rows
     assert all(len(t) == len(y) for _, t, y in whole)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
     try:

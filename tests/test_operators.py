@@ -9,7 +9,9 @@ from reviewlens.functions import fixed_values as V
 from reviewlens.operators import evaluation as ev, features, joins, labels, sampling, similarity
 from reviewlens.operators.classifier import fit_classifier
 from reviewlens.plans.corpora import build_review_corpus
-from reviewlens.plans.training import train_and_evaluate
+from reviewlens.plans.training import train_and_evaluate, train_both
+from reviewlens.sources.readers import read_evaluation
+from reviewlens.sources.writers import load_models
 
 
 def order(seed, i):
@@ -34,7 +36,8 @@ def test_cap_takes_the_first_of_each_group(skewed):
 
 def test_cap_without_broadcast(skewed, monkeypatch):
     whole = {r["id"] for r in sampling.cap_per_group(skewed, ["g"], 25, "id", 7).collect()}
-    monkeypatch.setattr(joins.lookup_join, "__defaults__", ("left", 0))
+    for module in (joins, sampling):
+        monkeypatch.setattr(module, "bounded", lambda *_: None)
     assert {r["id"] for r in sampling.cap_per_group(skewed, ["g"], 25, "id", 7).collect()} == whole
 
 
@@ -87,9 +90,8 @@ def test_typos_equal_brute_force(spark):
     for w in words:
         d, rank = min((levenshtein(w, v), i) for i, v in enumerate(vocabulary))
         expected[w] = (vocabulary[rank], d) if d <= 2 else (w, None)
-    for literal_words in (200, 0):
-        got = similarity.correct_words(df, known, 2, literal_words).collect()
-        assert {r["word"]: (r["corrected"], r["distance"]) for r in got} == expected
+    got = similarity.correct_words(df, known, 2).collect()
+    assert {r["word"]: (r["corrected"], r["distance"]) for r in got} == expected
     none = similarity.correct_words(df, known.limit(0)).collect()
     assert all(r["corrected"] == r["word"] for r in none)
 
@@ -169,7 +171,7 @@ def test_train_and_evaluate(spark):
     done = train_and_evaluate(reviews(spark), "sentiment", "id", "sentiment", max_iter=20)
     assert done.best == "logistic_regression"
     assert done.report.where("label = 'accuracy' AND precision = 1.0").count() == 2
-    assert done.matrix.count() == 4 and done.errors.count() == 0
+    assert done.matrices.groupBy("candidate").count().where("count = 4").count() == 2 and done.errors.count() == 0
     new = spark.createDataFrame([("kamar bersih nyaman",), (None,)], "text string")
     assert [r["predicted"] for r in done.model.transform(new).collect()] == ["positif", None]
 
@@ -187,3 +189,91 @@ def test_shuffle_is_repeatable(skewed):
     first = [r["id"] for r in sampling.shuffle_rows(skewed, "id", 1).collect()]
     assert first == [r["id"] for r in sampling.shuffle_rows(skewed.repartition(7), "id", 1).collect()]
     assert sorted(first) != first
+
+
+def test_null_predictions_are_wrong_and_no_class(spark):
+    df = spark.createDataFrame([(1, "a", "a"), (2, "a", None), (3, "b", "b"), (4, None, "a")], "id int, y string, p string")
+    counts = ev.confusion_counts(df, "y", "p")
+    assert sorted(r["label"] for r in ev.class_report(counts).collect()) == ["a", "b"]
+    found = ev.report_metrics(counts).first()
+    assert found["accuracy"] == pytest.approx(2 / 3) and found["f1_macro"] == pytest.approx((2 / 3 + 1) / 2)
+    assert ev.error_count(counts).first()["errors"] == 1
+    assert [r["id"] for r in ev.error_examples(df, "y", "p", ["id"]).collect()] == [2]
+
+
+def test_rows_without_label_and_odd_column_names(spark):
+    rows = [(i, "bersih nyaman" if i % 2 else "kotor bau", "p" if i % 2 else "n") for i in range(20)] + [(98, "bersih", None), (99, None, "p")]
+    df = spark.createDataFrame(rows, ["id", "review text", "the label"])
+    done = train_and_evaluate(df, "the label", "id", "t", "review text", max_iter=20)
+    assert done.report.where("label = 'accuracy'").count() == 2
+    model = fit_classifier(df, "the label", text="review text", out="my guess")
+    assert {r["id"]: r["my guess"] for r in model.transform(df).collect()}[98] == "p"
+
+
+@pytest.mark.parametrize("digits, bucket_rows", [(1, 1), (1, 5), (3, 10_000), (32, 1)])
+def test_refined_cuts_are_the_same(spark, digits, bucket_rows):
+    df = spark.range(700).select("id", (F.col("id") % 3 == 0).cast("int").alias("g"))
+    for groups, n in ((["g"], 57), ([], 123)):
+        marked = sampling.mark_first(df, "id", groups, n, 9, "first", digits, bucket_rows).where("first")
+        order = sorted(((hashlib.md5(f"9:{i}".encode()).hexdigest(), i) for i in range(700)))
+        want = {i for g in ((0, 1) if groups else (None,)) for _, i in [x for x in order if g is None or (x[1] % 3 == 0) == g][:n]}
+        assert {r["id"] for r in marked.collect()} == want
+
+
+def test_a_sample_shuffles_no_ids(spark, tmp_path):
+    spark.range(1000).write.parquet(str(tmp_path / "t"))
+    ids = spark.read.parquet(str(tmp_path / "t")).withColumn("g", F.col("id") % 2)
+    marked = sampling.mark_first(ids, "id", ["g"], 10, 1, "first")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "Exchange hashpartitioning" not in marked._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_one_key_in_every_row_is_split(spark):
+    rows = spark.range(4000).select("id", F.when(F.col("id") % 10 > 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
+    table = spark.createDataFrame([("hot", 1), ("10", 2), ("x", 3)], "k string, v int")
+    joined = joins.lookup_join(rows, table, ["k"], ["id"], max_rows=0, hot_keys=20)
+    assert joined.columns == ["id", "k", "v"] and joined.count() == 4000
+    assert joined.where("k = 'hot' AND v = 1").count() == 3600 and joined.where("v = 2").count() == 1
+    assert joins.bounded(table, 3) is not None and joins.bounded(table, 2) is None and joins.bounded(table, 3, 10) is None
+    sized = rows.groupBy("k").agg(F.count("*").alias("n")).withColumn("v", F.length("k"))
+    assert joins.salted_lookup(rows, sized, "k", "n", 20).where(F.col("v") == F.length("k")).count() == 4000
+
+
+def test_replace_words_many_hits_and_nulls(spark):
+    words = [f"w{i % 7000}" for i in range(20_000)]
+    df = spark.createDataFrame([(1, words), (2, []), (3, None), (4, ["a", "w1", "a", "w1"])], "id int, w array<string>")
+    table = spark.range(7000).select(F.concat(F.lit("w"), F.col("id")).alias("word"), F.concat(F.lit("v"), F.col("id")).alias("replacement"))
+    out = {r["id"]: r["o"] for r in joins.replace_words(df, "id", "w", table, "o").collect()}
+    assert out == {1: ["v" + w[1:] for w in words], 2: [], 3: None, 4: ["a", "v1", "a", "v1"]}
+
+
+def test_typos_in_very_long_and_very_short_words(spark):
+    words = ["x" * 20_000, "", "a", "ab", "abc", "kamr"]
+    df = spark.createDataFrame([(w,) for w in words], "word string")
+    known = similarity.vocabulary_of(["kamar", "b"], df)
+    got = {r["word"]: (r["corrected"], r["distance"]) for r in similarity.correct_words(df, known, 2).collect()}
+    assert got == {
+        words[0]: (words[0], None), "": ("b", 1), "a": ("b", 1), "ab": ("b", 1), "abc": ("b", 2), "kamr": ("kamar", 1),
+    }
+
+
+def test_words_and_pairs_equal_the_plain_count(spark):
+    rng = random.Random(8)
+    texts = [(i, " ".join(f"w{int(rng.paretovariate(0.7)) % 90:02d}" for _ in range(30))) for i in range(80)]
+    df = spark.createDataFrame(texts, "id int, text string")
+    for n in (5, 40, 300, 10_000):
+        plain = features.vocabulary(df, features.word_terms(F.col("text")), 2, n)
+        assert sorted(map(tuple, features.words_and_pairs(df, F.col("text"), 2, n).collect())) == sorted(map(tuple, plain.collect()))
+
+
+def test_both_targets_are_trained_stored_and_reported(spark, tmp_path):
+    rows = [(i, f"{'bersih nyaman' if i % 2 else 'kotor bau'} {'kamar' if i % 3 else 'lokasi'}", "kamar" if i % 3 else "lokasi", "p" if i % 2 else "n") for i in range(60)]
+    df = spark.createDataFrame(rows, "id int, text string, aspect string, sentiment string")
+    done = train_both(df, "id", str(tmp_path), max_iter=20)
+    report, matrices, errors = read_evaluation(spark, str(tmp_path / "report"))
+    assert report.where("is_best AND label = 'accuracy'").count() == 2 and matrices.count() == 16 and errors.count() == 0
+    again = load_models(str(tmp_path / "models"), "aspect", "sentiment")
+    assert again["aspect"].transform(df).where("predicted <> aspect").count() == 0 and set(done) == set(again)

@@ -90,3 +90,21 @@ def test_models_survive_storage_and_streams(spark, tmp_path):
 
 def R_load(path):
     return W.load_models(path, "sentiment")
+
+
+def test_missing_spellings_count_in_csv_only(spark, tmp_path):
+    df = spark.createDataFrame([("None", "a", "p"), ("NA", "a", "p"), (None, "a", "p")], "text string, aspect string, sentiment string")
+    df.write.parquet(str(tmp_path / "p"))
+    W.write_csv(df, str(tmp_path / "c"))
+    assert R.read_reviews(spark, str(tmp_path / "p"), format="parquet").count() == 2
+    assert R.read_reviews(spark, str(tmp_path / "c")).count() == 0
+
+
+def test_a_large_csv_file_is_split(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("id,text\n" + "".join(f"{i},word {i}\n" for i in range(5000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
+    try:
+        split = R.read_batch(spark, str(tmp_path / "t.csv"), multi_line=False)
+        assert split.rdd.getNumPartitions() > 1 and split.count() == R.read_batch(spark, str(tmp_path / "t.csv")).count() == 5000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
