@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import partial
+from functools import partial, reduce
 from itertools import combinations
 
 import numpy as np
@@ -11,12 +11,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from reviewlens.llm.components import components
-from reviewlens.operators.joins import salted_lookup
+from reviewlens.operators.joins import bounded, lookup_join, salted_lookup
 from reviewlens.session import stored
 
 SHINGLE_WORDS = 3
 RADIUS = 2
 SEED = 42
+#: For whole near copies, not for single links: word sketches, shared shingles, words of such a shingle.
+SKETCHES, SIMILARITY, SIMILAR_WORDS = 6, 0.8, 5
 _CHUNK = 1 << 15
 
 
@@ -104,8 +106,115 @@ def hex_digits(value: Column) -> Column:
     return F.lower(F.lpad(F.hex(value), 16, "0"))
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings: int) -> DataFrame:
-    """``docs`` without the documents that have a near-duplicate with a smaller id; rows without id stay."""
-    marks = near_duplicates(docs, id_col, text_col, **settings)
-    dropped = marks.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(dropped, docs[id_col] == dropped["_gone"], "left_anti")
+def sketches_of(text: bytes, sketches: int) -> list[int]:
+    """Further 64-bit SimHashes of the distinct words of a text, each with hashes of its own."""
+    words = set(text.lower().split())
+    if not words:
+        return [0] * sketches
+    plain = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    found = []
+    for k in range(sketches):
+        mixed = (plain ^ np.uint64(0x9E3779B97F4A7C15 * (k + 1) & (1 << 64) - 1)) * np.uint64(0xBF58476D1CE4E5B9)
+        mixed = (mixed ^ mixed >> np.uint64(29)) * np.uint64(0x94D049BB133111EB)
+        mixed ^= mixed >> np.uint64(32)
+        ones = np.zeros(64, np.int64)
+        for at in range(0, len(mixed), _CHUNK):
+            part = mixed[at : at + _CHUNK].astype("<u8").view(np.uint8).reshape(-1, 8)
+            ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int32)
+        found.append(int(np.packbits(ones * 2 > len(mixed), bitorder="little").view("<u8")[0]))
+    return found
+
+
+def shingle_hashes(text: Column, words: int) -> Column:
+    """Hashes of the distinct word shingles of a text; a text with fewer words is one shingle."""
+
+    @F.arrow_udf("array<long>")
+    def of(texts: pa.Array) -> pa.Array:
+        out = []
+        for t in texts.cast(pa.large_binary()):
+            found = t.as_buffer().to_pybytes().lower().split()
+            grams = zip(*[found[i:] for i in range(words)]) if len(found) >= words else [found]
+            hashes = {xxhash.xxh64_intdigest(b" ".join(g)) for g in grams}
+            out.append(np.fromiter(hashes, np.uint64, len(hashes)).view(np.int64))
+        return pa.array(out, pa.list_(pa.int64()))
+
+    return of(F.coalesce(text, F.lit("")))
+
+
+def _all_prints(text: Column, shingle_words: int, seed: int, sketches: int) -> Column:
+    @F.arrow_udf("array<long>")
+    def of(texts: pa.Array) -> pa.Array:
+        data = [t.as_buffer().to_pybytes() for t in texts.cast(pa.large_binary())]
+        rows = [[fingerprint_of(t, shingle_words, seed), *sketches_of(t, sketches)] for t in data]
+        return pa.array(list(np.array(rows, np.uint64).reshape(len(data), sketches + 1).view(np.int64)), pa.list_(pa.int64()))
+
+    return of(F.coalesce(text, F.lit("")))
+
+
+def _links(prints: DataFrame, radius: int) -> DataFrame:
+    """Links ``(a, b)`` of ids over ``(doc_id, fingerprint)``: to the first id of the own and of near fingerprints."""
+    groups = stored(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first"), F.count("*").alias("_n")), "groups")
+    own = salted_lookup(prints, groups, "fingerprint", "_n").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
+    near = near_fingerprints(groups.select("fingerprint"), radius)
+    for side in ("a", "b"):
+        firsts = groups.select(F.col("fingerprint").alias(side), F.col("first").alias(f"_{side}"))
+        near = near.join(firsts, side)
+    return own.where("a <> b").unionByName(near.select(F.col("_a").alias("a"), F.col("_b").alias("b")))
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, similarity: float, words: int) -> DataFrame:
+    """The pairs whose word shingles have at least ``similarity`` in common."""
+    pairs = stored(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "pairs")
+    wanted = pairs.select(F.col("a").alias("_id")).union(pairs.select("b")).distinct()
+    found = _semi_or_anti(docs, wanted, "left_semi").select("doc_id", shingle_hashes(F.col("text"), words).alias("grams"))
+    found = stored(found, "shingles")
+    for side in ("a", "b"):
+        table = found.select(F.col("doc_id").alias(side), F.col("grams").alias(f"_{side}"))
+        pairs = lookup_join(pairs, table, [side], ["a", "b"], how="inner")
+    shared = F.size(F.array_intersect("_a", "_b"))
+    return pairs.where(shared >= similarity * (F.size("_a") + F.size("_b") - shared)).select("a", "b")
+
+
+def _semi_or_anti(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """Rows of ``docs`` by ``ids`` (``_id``), without moving the texts where the ids are few."""
+    ids = stored(ids, "ids")
+    small = bounded(ids, 200_000)
+    ids = ids if small is None else small
+    return docs.join(ids, docs["doc_id"] == ids["_id"], how)
+
+
+def near_groups(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle_words: int = SHINGLE_WORDS,
+    radius: int = RADIUS,
+    seed: int = SEED,
+    sketches: int = SKETCHES,
+    similarity: float = SIMILARITY,
+    similar_words: int = SIMILAR_WORDS,
+) -> DataFrame:
+    """``(node, root)`` for the ids that have a near copy; ``root`` is the smallest id of the group.
+
+    Linked are fingerprints in ``radius``, as in ``near_duplicates``, and texts that share ``similarity`` of
+    their ``similar_words`` shingles. Texts that similar often differ in more bits, so they are searched by
+    ``sketches`` further fingerprints, of words, in the same ball, and what meets there is verified on the texts.
+    Rows without id are left out.
+    """
+    docs = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).where("doc_id is not null")
+    rows = stored(docs.select("doc_id", _all_prints(F.col("text"), shingle_words, seed, sketches).alias("prints")), "fingerprints")
+    one = lambda k: rows.select("doc_id", F.get("prints", k).alias("fingerprint"))
+    links = stored(_links(one(0), radius), "links")
+    if sketches:
+        met = [stored(_links(one(k + 1), radius), "met") for k in range(sketches)]
+        links = links.unionByName(_verified(reduce(DataFrame.unionByName, met), docs, similarity, similar_words))
+    return components(links)
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
+    """``docs`` without those that have a near copy with a smaller id, see ``near_groups``; rows without id stay."""
+    dropped = near_groups(docs, id_col, text_col, **settings).where("node <> root")
+    ids = stored(dropped.select(F.col("node").alias("_id")), "dropped")
+    small = bounded(ids, 200_000)
+    ids = ids if small is None else small
+    return docs.join(ids, docs[f"`{id_col}`"] == ids["_id"], "left_anti")
