@@ -1,11 +1,17 @@
 """Every registered query against its SQL on the smallest tables."""
 
 import math
+import os
+import shutil
+import subprocess
+import sys
+from pathlib import Path
 
 import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from reviewlens.catalog.evaluation import keyword_predictions
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
@@ -45,3 +51,23 @@ def test_query(spark, duck, sf_dir, name):
 
 def test_entry(spark):
     assert entry_module.entry(spark).count() == 4
+
+
+def test_predictions_meet_labels_without_texts(spark, sf_dir):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = keyword_predictions(spark, sf_dir)
+        plan = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    dealt = [part.splitlines()[1] for part in plan.split("\n(") if ") Exchange" in part and "hashpartitioning" in part]
+    assert len(dealt) == 2 and not any("text#" in line for line in dealt)
+
+
+def test_entry_without_the_optional_parts(tmp_path):
+    root = Path(entry_module.__file__).parent
+    shutil.copytree(root / "reviewlens", tmp_path / "reviewlens", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    code = "import __spark_entry__ as e; print(len(e.queries()), sum(n.startswith('op') for n in e.queries()))"
+    out = subprocess.run([sys.executable, "-B", "-c", code], cwd=tmp_path, capture_output=True, text=True, env={"PATH": os.environ["PATH"]})
+    assert out.stdout.split()[1:] == ["0"] and int(out.stdout.split()[0]) > 70, out.stderr
