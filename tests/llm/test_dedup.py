@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from reviewlens.llm.components import components
 from reviewlens.llm.exact_dedup import distinct_documents, exact_groups
-from reviewlens.llm.simhash import fingerprint_of, near_duplicates, near_fingerprints, one_of_each
+from reviewlens.llm.simhash import fingerprint_of, near_duplicates, near_fingerprints, near_groups, one_of_each
 
 
 def groups_by_hand(rows):
@@ -137,3 +137,40 @@ def test_odd_radius_is_refused(spark):
 def test_empty_tables(none):
     for df in (exact_groups(none), distinct_documents(none), near_duplicates(none), one_of_each(none)):
         assert df.count() == 0
+
+
+def test_near_groups_hold_linked_texts_only_and_most_similar_ones(spark):
+    draw = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    rows, at = [], 0
+    for base in range(25):
+        words = draw.choices(vocabulary, k=draw.randint(60, 300))
+        for copy in range(4):
+            edited = list(words)
+            for _ in range(copy):
+                edited[draw.randrange(len(edited))] = draw.choice(vocabulary)
+            rows.append((at, " ".join(edited)))
+            at += 1
+    rows += [(None, rows[0][1]), (None, None), (900, ""), (901, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    root = {r["node"]: r["root"] for r in near_groups(df).collect()}
+    texts = [(i, t or "") for i, t in rows if i is not None]
+    grams = {i: {tuple(w[j : j + 5]) for j in range(max(len(w) - 4, 1))} for i, t in texts for w in [t.split()]}
+    prints = {i: fingerprint_by_hand(t) for i, t in texts}
+    linked = {i: {i} for i, _ in texts}
+    similar = []
+    for i, _ in texts:
+        for j, _ in texts:
+            if i < j:
+                alike = len(grams[i] & grams[j]) >= 0.8 * len(grams[i] | grams[j])
+                similar += [(i, j)] if alike else []
+                if alike or (prints[i] ^ prints[j]).bit_count() <= 2:
+                    whole = linked[i] | linked[j]
+                    for k in whole:
+                        linked[k] = whole
+    assert all(r in linked[n] for n, r in root.items())
+    assert len(similar) > 50 and sum(root.get(i, -1) == root.get(j, -2) for i, j in similar) >= 0.75 * len(similar)
+    assert root[900] == root[901] == 900
+    gone = {n for n, r in root.items() if n != r}
+    assert sorted(r["doc_id"] for r in one_of_each(df).where("doc_id is not null").collect()) == sorted(set(dict(texts)) - gone)
+    assert one_of_each(df).where("doc_id is null").count() == 2
