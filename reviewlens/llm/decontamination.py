@@ -215,9 +215,8 @@ def leaks(
     return reduce(lambda a, b: F.concat(a, b), [search(part) for part in indexes])
 
 
-_STRUCT = pa.struct(
-    [("item_id", pa.int64()), ("score", pa.float64()), ("question_overlap", pa.float64()), ("answer_overlap", pa.float64()), ("word", pa.int32())]
-)
+_SHARES = [(name, pa.float64()) for name in ("score", "question_overlap", "answer_overlap")]
+_STRUCT = pa.struct([("item_id", pa.int64()), *_SHARES, ("word", pa.int32())])
 
 
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:

@@ -39,7 +39,7 @@ class CompressionClassifier:
         dictionary. The score is a softmax over the bits per byte that each dictionary leaves.
         """
         data = letters_of(text)
-        if not data or not self.languages:
+        if not self.languages or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0, 0.0, False
         pieces = [data[i : i + PIECE] for i in range(0, len(data), PIECE)]
         sizes = np.array([sum(len(c.compress(p)) for p in pieces) for c in self.compressors], float)

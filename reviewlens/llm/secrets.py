@@ -113,7 +113,8 @@ def battery(indices: Column, k: int) -> Column:
             )
             return let(sums, lambda s: F.when(s["xx"] > 0, F.abs(s["xy"] / s["xx"] + 1 / n) * F.sqrt(n)).otherwise(F.lit(40.0)))
 
-        tails = [normal_tail(F.greatest(chi, F.lit(0.0))), 2 * normal_tail(runs), let(mean(xs, n), lambda m: 2 * normal_tail(serial(m)))]
+        neighbours = let(mean(xs, n), lambda m: 2 * normal_tail(serial(m)))
+        tails = [normal_tail(F.greatest(chi, F.lit(0.0))), 2 * normal_tail(runs), neighbours]
         return F.least(F.lit(1.0), 3 * F.least(*tails))
 
     return let(indices, lambda xs: let(F.size(xs).cast("double"), lambda n: tests(xs, n)))
@@ -134,7 +135,8 @@ def judge(token: Column, prose: dict[str, float]) -> Column:
         places = F.transform(chars, lambda c: F.position(c, F.lit(alphabet)).cast("double") - 1)  # noqa: B023
         surprise = F.aggregate(chars, F.lit(0.0), lambda a, c: a - F.element_at(costs, c) - math.log(k))  # noqa: B023
         found = F.struct(F.lit(name).alias("encoding"), surprise.alias("evidence"), battery(places, k).alias("p"))
-        choice = F.when(mixed & F.regexp_like(token, F.lit(f"^[{alphabet.replace('-', '')}{'-' * ('-' in alphabet)}]+$")), found).otherwise(choice)
+        whole = f"^[{alphabet.replace('-', '')}{'-' * ('-' in alphabet)}]+$"
+        choice = F.when(mixed & F.regexp_like(token, F.lit(whole)), found).otherwise(choice)
     return choice
 
 

@@ -212,7 +212,8 @@ def _stem_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stems = sorted({s for s, _ in counts})
         out = [stems, [counts[s, 1] for s in stems], [counts[s, 0] for s in stems]]
         counts.clear()
-        return pa.RecordBatch.from_arrays([pa.array(out[0], pa.string())] + [pa.array(x, pa.int64()) for x in out[1:]], ["stem", "toxic", "clean"])
+        kinds = (pa.string(), pa.int64(), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds)], ["stem", "toxic", "clean"])
 
     for batch in batches:
         for words, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -241,7 +242,8 @@ def learn_stems(labelled: DataFrame, min_docs: int = MIN_DOCS, min_odds: float =
     copied a thousand times does not make its own words look toxic. A stem must occur with label 1 more often
     than chance explains over all the stems tried: its log likelihood ratio exceeds the log of their number.
     """
-    seen = labelled.select(F.arrow_udf(_sketch, "struct<key: long, words: array<string>>")(text_or_empty(F.col("text"))).alias("s"), F.col("label").cast("int").alias("label"))
+    sketch = F.arrow_udf(_sketch, "struct<key: long, words: array<string>>")
+    seen = labelled.select(sketch(text_or_empty(F.col("text"))).alias("s"), F.col("label").cast("int").alias("label"))
     seen = seen.select("s.key", "s.words", "label").dropDuplicates(["key"])
     sizes = {r["label"]: r["count"] for r in seen.groupBy("label").count().collect()}
     counts = (
