@@ -14,10 +14,10 @@ from reviewlens.operators.classifier import fit_classifier, logistic_regression
 from reviewlens.operators.features import TfidfStages, class_weights
 from reviewlens.operators.sampling import stratified_split
 from reviewlens.operators.tagger import Tagger, decode_paths, fit_tagger, tag_tokens, token_probabilities
-from reviewlens.plans.scoring import score_reviews, tag_reviews
-from reviewlens.plans.training import train_and_evaluate
+from reviewlens.plans.scoring import analyse_reviews, prediction_counts, score_reviews, tag_reviews
+from reviewlens.plans.training import train_and_evaluate, train_tagger
 from reviewlens.session import shared_dir
-from reviewlens.sources.writers import load_models, save_models
+from reviewlens.sources.writers import load_models, save_models, write_tagger_report
 from reviewlens.streaming.scoring import read_arriving, score_stream
 
 
@@ -134,6 +134,18 @@ def batch_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.drop("text")
 
 
+@register(
+    f"""WITH s AS ({_scored_sql("documents", "doc_id", "sc.doc_id")})
+    SELECT 'predicted_aspect' AS target, predicted_aspect AS value, count(*) AS count FROM s GROUP BY ALL
+    UNION ALL SELECT 'predicted_sentiment', predicted_sentiment, count(*) FROM s GROUP BY ALL"""
+)
+def predicted_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Summary of a scored batch."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score_reviews(docs, _models(spark, sf_dir), slang=SLANG, stopwords=STOPWORDS)
+    return prediction_counts(scored, ["predicted_aspect", "predicted_sentiment"])
+
+
 _TURNS = "(SELECT conv_id * 1000000 + turn AS turn_id, text FROM conversations)"
 _TURN_SCORES = _scored_sql(_TURNS, "turn_id", "sc.turn_id, sc.clean AS clean_text")
 
@@ -189,6 +201,28 @@ def tagger_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tagged.select("doc_id", F.array_join("tokens", " ").alias("tokens"), F.array_join("labels", " ").alias("labels"))
 
 
+@register()
+def tagger_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token corpus split by sentence, a tagger trained on one part and reported on the other, through report files."""
+    done = train_tagger(corpus(spark, sf_dir), "doc_id")
+    path = shared_dir(spark, "tagger-report")
+    write_tagger_report(path, done.report, done.accuracy)
+    entities = spark.read.schema(done.report.schema).json(f"{path}/entities")
+    accuracy = spark.read.schema(done.accuracy.schema).json(f"{path}/accuracy")
+    whole = accuracy.select(
+        F.lit("accuracy").alias("label"), *[F.col("accuracy").alias(c) for c in ("precision", "recall", "f1_score")], F.col("rows").alias("support")
+    )
+    return entities.unionByName(whole)
+
+
+@register()
+def analysed_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes and entities of every turn from one call."""
+    found = analyse_reviews(turns(spark, sf_dir).drop("role"), "doc_id", _models(spark, sf_dir), _tagger(spark, sf_dir), slang=SLANG, stopwords=STOPWORDS)
+    shown = F.transform("entities", lambda e: F.concat_ws("/", e["text"], e["type"]))
+    return found.select("doc_id", "predicted_aspect", "predicted_sentiment", F.array_join(shown, "; ").alias("entities"))
+
+
 @register()
 def tagged_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole entities of every turn, and the highlighted text."""

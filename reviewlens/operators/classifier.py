@@ -13,6 +13,7 @@ from reviewlens.functions.text import WORD
 from reviewlens.operators.features import TfidfStages, class_weights
 
 ROWS_PER_TASK = 20_000
+MAX_CLASSES = 10_000
 LEARNERS = ("logistic_regression", "naive_bayes")
 
 
@@ -74,7 +75,9 @@ def fit_classifier(
     terms = f"{out}_terms"
     tfidf = tfidf or TfidfStages.fit_text(train, F.col(quoted(text)), min_df, max_features)
     features = PipelineModel([terms_stage(text, terms), *tfidf.stages(terms, f"{out}_features")])
-    weights = class_weights(train, label).orderBy(label).collect()
+    weights = class_weights(train, label).orderBy(quoted(label)).limit(MAX_CLASSES + 1).collect()
+    if len(weights) > MAX_CLASSES:
+        raise ValueError(f"{len(weights)} classes: their weights and models would not fit one machine")
     labels = [r[label] for r in weights]
     weight_of = F.create_map(*[F.lit(x) for r in weights for x in (r[label], r["weight"])])
     columns = {"featuresCol": f"{out}_features", "rawPredictionCol": f"{out}_raw", "probabilityCol": f"{out}_prob",

@@ -33,6 +33,21 @@ def score_reviews(
     return scored if keep_clean else scored.drop("clean_text")
 
 
+def prediction_counts(scored: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(target, value, count)``: how often each value was predicted; rows without prediction are skipped."""
+    values = F.array(*[F.struct(F.lit(c).alias("target"), F.col(f"`{c}`").alias("value")) for c in columns])
+    counted = scored.select(F.inline(values)).where(F.col("value").isNotNull())
+    return counted.groupBy("target", "value").agg(F.count("*").alias("count"))
+
+
+def analyse_reviews(
+    df: DataFrame, id_col: str, models: Mapping[str, PipelineModel], tagger: Tagger, text: str = "text", **options
+) -> DataFrame:
+    """Classes and entities of every review in one table; ids must be unique."""
+    tagged = tag_reviews(df, id_col, tagger, text)
+    return score_reviews(df, models, text, **options).join(tagged, id_col, "left")
+
+
 def tag_reviews(df: DataFrame, id_col: str, tagger: Tagger, text: str = "text") -> DataFrame:
     """``(id, tokens, labels, entities, highlighted)`` of the raw text."""
     tokens = df.select(id_col, bio.ner_tokenize(F.col(text)).alias("tokens"))
