@@ -25,19 +25,33 @@ def local_session(cores: int | str = "*", memory: str = "12g", shuffle_partition
     )
 
 
-def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder that every executor can reach.
+_LOCAL: dict[str, str] = {}
+
 
-    It lies under ``spark.checkpoint.dir``. Only a local master without that setting, as in
-    tests, gets a temporary folder of its own machine.
+def _base(spark: SparkSession) -> str:
+    """The folder of this application below ``spark.checkpoint.dir``.
+
+    Only a local master without that setting, as in tests, gets a temporary folder of its own machine.
     """
-    key = "spark.checkpoint.dir"
+    key, app = "spark.checkpoint.dir", spark.sparkContext.applicationId
     base = spark.conf.get(key, None) or spark.sparkContext.getConf().get(key)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="run-")
-    return os.path.join(base, "reviewlens", f"{purpose}-{uuid.uuid4().hex}")
+        base = _LOCAL.setdefault(app, "") or tempfile.mkdtemp(prefix="run-")
+        _LOCAL[app] = base
+    return os.path.join(base, "reviewlens", app)
+
+
+def shared_dir(spark: SparkSession, purpose: str) -> str:
+    """A fresh folder that every executor can reach."""
+    return os.path.join(_base(spark), f"{purpose}-{uuid.uuid4().hex}")
+
+
+def release(spark: SparkSession) -> None:
+    """Delete what this application stored; call it when no result is read any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_base(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:

@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-from reviewlens.session import local_session  # noqa: E402
+from reviewlens.session import local_session, release  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -13,6 +13,7 @@ def spark():
     session = local_session(4, "4g")
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    release(session)
     session.stop()
 
 
