@@ -32,10 +32,10 @@ def test_block_max_wand_finds_all_above_the_threshold():
     index = index_of([(i, " ".join(draw.choices(vocabulary, k=draw.randint(5, 90)))) for i in range(150)])
     for threshold in (0.2, 0.5, 0.9):
         for _ in range(60):
-            piece = draw.randrange(index.pieces)
+            piece = draw.randrange(len(index.owner))
             own = [t for t, ds in enumerate(index.docs) if piece in ds and draw.random() < 0.8]
             terms = list(set(own + draw.choices(range(len(index.docs)), k=30)))
-            scores = np.zeros(index.pieces)
+            scores = np.zeros(len(index.owner))
             for t in terms:
                 np.add.at(scores, index.docs[t], index.weights[t])
             hits = dict(index.search(terms, threshold))
