@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from reviewlens.llm.common import text_or_empty
 
 WORDS = re.compile(r"\w+")
-PASSAGE, THRESHOLD, OVERLAP, GRAM = 64, 0.7, 0.8, 5
+PASSAGE, THRESHOLD, OVERLAP, GRAM = 64, 0.6, 0.8, 5
 K1, B, BLOCK = 1.2, 0.75, 8
 #: Items of this many characters make one index; more items make more of them.
 INDEX_CHARS = 16 << 20
