@@ -17,8 +17,9 @@ from reviewlens.session import stored
 SHINGLE_WORDS = 3
 RADIUS = 2
 SEED = 42
-#: For whole near copies, not for single links: word sketches, shared shingles, words of such a shingle.
-SKETCHES, SIMILARITY, SIMILAR_WORDS = 6, 0.8, 5
+#: For whole near copies: word sketches and their bits, shared shingles, words of such a shingle. Fewer bits let more
+#: similar texts meet; with 48, ten thousand million texts still meet by chance in about one of fifty.
+SKETCHES, SKETCH_BITS, SIMILARITY, SIMILAR_WORDS = 5, 48, 0.8, 5
 _CHUNK = 1 << 15
 
 
@@ -54,8 +55,8 @@ def fingerprint(text: Column, shingle_words: int = SHINGLE_WORDS, seed: int = SE
     return of(F.coalesce(text, F.lit("")))
 
 
-def near_fingerprints(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """Links ``(a, b)`` that join all distinct ``fingerprint`` values within ``radius`` bits, transitively.
+def near_fingerprints(prints: DataFrame, radius: int = RADIUS, bits: int = 64) -> DataFrame:
+    """Links ``(a, b)`` that join all distinct ``fingerprint`` values within ``radius`` of ``bits`` bits, transitively.
 
     Every fingerprint is sent to all values within half the radius. Two fingerprints in ``radius`` meet at
     one of them, and all that meet at a value are within the radius of each other, so linking each to the
@@ -64,7 +65,7 @@ def near_fingerprints(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     """
     if radius < 0 or radius % 2:
         raise ValueError("radius must be even")
-    masks = [sum(1 << b for b in bits) for n in range(radius // 2 + 1) for bits in combinations(range(64), n)]
+    masks = [sum(1 << b for b in places) for n in range(radius // 2 + 1) for places in combinations(range(bits), n)]
     masks = [m - (1 << 64) if m >= 1 << 63 else m for m in masks]
     variants = prints.select("fingerprint", F.explode(F.array(*[F.lit(m).cast("long") for m in masks])).alias("_mask"))
     variants = variants.select("fingerprint", F.col("fingerprint").bitwiseXOR(F.col("_mask")).alias("_variant"))
@@ -106,8 +107,8 @@ def hex_digits(value: Column) -> Column:
     return F.lower(F.lpad(F.hex(value), 16, "0"))
 
 
-def sketches_of(text: bytes, sketches: int) -> list[int]:
-    """Further 64-bit SimHashes of the distinct words of a text, each with hashes of its own."""
+def sketches_of(text: bytes, sketches: int, bits: int = SKETCH_BITS) -> list[int]:
+    """Further SimHashes of the distinct words of a text, each with hashes of its own."""
     words = set(text.lower().split())
     if not words:
         return [0] * sketches
@@ -121,7 +122,7 @@ def sketches_of(text: bytes, sketches: int) -> list[int]:
         for at in range(0, len(mixed), _CHUNK):
             part = mixed[at : at + _CHUNK].astype("<u8").view(np.uint8).reshape(-1, 8)
             ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int32)
-        found.append(int(np.packbits(ones * 2 > len(mixed), bitorder="little").view("<u8")[0]))
+        found.append(int(np.packbits(ones * 2 > len(mixed), bitorder="little").view("<u8")[0]) & (1 << bits) - 1)
     return found
 
 
@@ -151,11 +152,11 @@ def _all_prints(text: Column, shingle_words: int, seed: int, sketches: int) -> C
     return of(F.coalesce(text, F.lit("")))
 
 
-def _links(prints: DataFrame, radius: int) -> DataFrame:
+def _links(prints: DataFrame, radius: int, bits: int = 64) -> DataFrame:
     """Links ``(a, b)`` of ids over ``(doc_id, fingerprint)``: to the first id of the own and of near fingerprints."""
     groups = stored(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first"), F.count("*").alias("_n")), "groups")
     own = salted_lookup(prints, groups, "fingerprint", "_n").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
-    near = near_fingerprints(groups.select("fingerprint"), radius)
+    near = near_fingerprints(groups.select("fingerprint"), radius, bits)
     for side in ("a", "b"):
         firsts = groups.select(F.col("fingerprint").alias(side), F.col("first").alias(f"_{side}"))
         near = near.join(firsts, side)
@@ -206,7 +207,7 @@ def near_groups(
     one = lambda k: rows.select("doc_id", F.get("prints", k).alias("fingerprint"))
     links = stored(_links(one(0), radius), "links")
     if sketches:
-        met = [stored(_links(one(k + 1), radius), "met") for k in range(sketches)]
+        met = [stored(_links(one(k + 1), radius, SKETCH_BITS), "met") for k in range(sketches)]
         links = links.unionByName(_verified(reduce(DataFrame.unionByName, met), docs, similarity, similar_words))
     return components(links)
 
