@@ -6,6 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from reviewlens.llm.common import small_batches
 from reviewlens.llm.decontamination import without_leaks
 from reviewlens.llm.exact_dedup import distinct_documents
 from reviewlens.llm.mixing import mix_rows
@@ -18,7 +19,7 @@ from reviewlens.session import shared_dir
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below the rejection score; the model learns from the labelled documents of ``sf_dir``."""
     score = trained_toxicity(spark, sf_dir).score(F.col("text"))
-    return docs.where(score < REJECT)
+    return small_batches(docs).where(score < REJECT)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

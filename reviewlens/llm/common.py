@@ -9,7 +9,21 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return small_batches(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+#: Rows and bytes of a batch that tasks exchange with Python. The defaults hold ten thousand whole texts, in the JVM and
+#: in every Python worker at once.
+BATCH_ROWS, BATCH_BYTES = 500, 4 << 20
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, with the Arrow batches of its session bounded for rows that hold whole texts."""
+    conf, rows = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(rows)) <= BATCH_ROWS:
+        conf.set(rows, str(BATCH_ROWS))
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
 
 
 def id_bucket(doc_id: Column, modulus: int) -> Column:

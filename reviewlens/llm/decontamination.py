@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from reviewlens.llm.common import text_or_empty
+from reviewlens.llm.common import small_batches, text_or_empty
 
 WORDS = re.compile(r"\w+")
 PASSAGE, THRESHOLD, OVERLAP, GRAM = 64, 0.6, 0.8, 5
@@ -221,10 +221,10 @@ _STRUCT = pa.struct([("item_id", pa.int64()), *_SHARES, ("word", pa.int32())])
 
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
     """One row per document and leaked item: ``(doc_id, item_id, score, question_overlap, answer_overlap, word)``."""
-    found = docs.select(F.col(id_col).alias("doc_id"), leaks(F.col(text_col), items, **settings).alias("_hits"))
+    found = small_batches(docs).select(F.col(id_col).alias("doc_id"), leaks(F.col(text_col), items, **settings).alias("_hits"))
     return found.select("doc_id", F.explode("_hits").alias("_hit")).select("doc_id", "_hit.*")
 
 
 def without_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", **settings) -> DataFrame:
     """The rows of ``docs`` that leak no test item, with their own columns."""
-    return docs.where(F.size(leaks(F.col(f"`{text_col}`"), items, **settings)) == 0)
+    return small_batches(docs).where(F.size(leaks(F.col(f"`{text_col}`"), items, **settings)) == 0)

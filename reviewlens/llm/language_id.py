@@ -84,10 +84,13 @@ def classify(text: Column, learned: dict[str, bytes], margin: float = MARGIN) ->
     named but rejected as not ``reliable``. Equal sizes go to the language first in code point order.
     """
 
+    built: list[CompressionClassifier] = []
+
     @F.arrow_udf("struct<lang: string, score: double, margin: double, reliable: boolean>")
     def of(texts: pa.Array) -> pa.Array:
-        judge = CompressionClassifier(learned, margin)
-        rows = [judge.classify(t) if t is not None else (UNKNOWN, 0.0, 0.0, False) for t in texts.to_pylist()]
+        if not built:
+            built.append(CompressionClassifier(learned, margin))
+        rows = [built[0].classify(t) if t is not None else (UNKNOWN, 0.0, 0.0, False) for t in texts.to_pylist()]
         columns = list(zip(*rows)) if rows else [[], [], [], []]
         kinds = (pa.string(), pa.float64(), pa.float64(), pa.bool_())
         return pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["lang", "score", "margin", "reliable"])

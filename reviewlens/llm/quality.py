@@ -18,7 +18,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, functions as F
 
-from reviewlens.llm.common import hash_sample, text_or_empty
+from reviewlens.llm.common import hash_sample, small_batches, text_or_empty
 from reviewlens.session import stored
 
 ROUNDS, SURE, PSEUDO_WEIGHT, MAX_POOL = 3, 0.95, 0.3, 50_000
@@ -143,7 +143,7 @@ def quality(docs: DataFrame, labels: DataFrame, held_out: Column, max_labelled:
     outside ``held_out`` are used for fitting at most, chosen by the hash of the id; everything is scored.
     Rows are scored by their own columns, so repeated rows and null ids are no special case.
     """
-    rows = docs.select("doc_id", held_out.alias("held_out"), views(docs).alias("views"))
+    rows = small_batches(docs).select("doc_id", held_out.alias("held_out"), views(docs).alias("views"))
     rows = stored(rows, "views")
     ids = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").alias("label"))
     ids = ids.where(~held_out)

@@ -10,6 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from reviewlens.llm.common import small_batches
 from reviewlens.llm.components import components
 from reviewlens.operators.joins import bounded, lookup_join, salted_lookup
 from reviewlens.session import stored
@@ -90,7 +91,7 @@ def near_duplicates(
     ids count in no minimum; a component of such rows only has a null id. Repeated rows give repeated
     rows, an empty table none, and other columns are not read.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), fingerprint(F.col(text_col), shingle_words, seed).alias("fingerprint"))
+    rows = small_batches(docs).select(F.col(id_col).alias("doc_id"), fingerprint(F.col(text_col), shingle_words, seed).alias("fingerprint"))
     rows = stored(rows, "fingerprints")
     groups = stored(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("_first"), F.count("*").alias("_n")), "groups")
     roots = components(near_fingerprints(groups.select("fingerprint"), radius)).withColumnRenamed("node", "fingerprint")
@@ -202,7 +203,7 @@ def near_groups(
     ``sketches`` further fingerprints, of words, in the same ball, and what meets there is verified on the texts.
     Rows without id are left out.
     """
-    docs = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).where("doc_id is not null")
+    docs = small_batches(docs).select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).where("doc_id is not null")
     rows = stored(docs.select("doc_id", _all_prints(F.col("text"), shingle_words, seed, sketches).alias("prints")), "fingerprints")
     one = lambda k: rows.select("doc_id", F.get("prints", k).alias("fingerprint"))
     links = stored(_links(one(0), radius), "links")

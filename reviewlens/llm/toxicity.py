@@ -22,7 +22,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, functions as F
 
-from reviewlens.llm.common import text_or_empty
+from reviewlens.llm.common import small_batches, text_or_empty
 from reviewlens.session import stored
 
 INSULTS = (
@@ -281,7 +281,7 @@ def fit_toxicity(labelled: DataFrame) -> ToxicityModel:
     stems and the rest the weights, so stems that fit by chance do not count as evidence. Rows without
     label are left out. With one class or none the built-in lexicon and weights are returned.
     """
-    sample = stored(labelled.where("label in (0, 1)").select("text", "label"), "labelled")
+    sample = stored(small_batches(labelled).where("label in (0, 1)").select("text", "label"), "labelled")
     stems = {w: 4.0 for w in INSULTS}
     fold = F.pmod(F.xxhash64(text_or_empty(F.col("text")), F.lit("fold")), F.lit(4))
     stems |= learn_stems(sample.where(fold > 0))
