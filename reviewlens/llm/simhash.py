@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from functools import partial, reduce
+import math
+from functools import partial
 from itertools import combinations
 
 import numpy as np
@@ -18,9 +19,11 @@ from reviewlens.session import stored
 SHINGLE_WORDS = 3
 RADIUS = 2
 SEED = 42
-#: For whole near copies: word sketches and their bits, shared shingles, words of such a shingle. Fewer bits let more
-#: similar texts meet; with 48, ten thousand million texts still meet by chance in about one of fifty.
-SKETCHES, SKETCH_BITS, SIMILARITY, SIMILAR_WORDS = 5, 48, 0.8, 5
+#: For whole near copies: shared shingles, words of such a shingle.
+SIMILARITY, SIMILAR_WORDS = 0.8, 5
+#: Shingles counted at a time, and those known as frequent at most. Both only order the shingles of a text: any order
+#: finds the same pairs, one by rarity tries fewer.
+COUNTED, FREQUENT = 1 << 20, 500_000
 _CHUNK = 1 << 15
 
 
@@ -108,73 +111,130 @@ def hex_digits(value: Column) -> Column:
     return F.lower(F.lpad(F.hex(value), 16, "0"))
 
 
-def sketches_of(text: bytes, sketches: int, bits: int = SKETCH_BITS) -> list[int]:
-    """Further SimHashes of the distinct words of a text, each with hashes of its own."""
-    words = set(text.lower().split())
-    if not words:
-        return [0] * sketches
-    plain = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-    found = []
-    for k in range(sketches):
-        mixed = (plain ^ np.uint64(0x9E3779B97F4A7C15 * (k + 1) & (1 << 64) - 1)) * np.uint64(0xBF58476D1CE4E5B9)
-        mixed = (mixed ^ mixed >> np.uint64(29)) * np.uint64(0x94D049BB133111EB)
-        mixed ^= mixed >> np.uint64(32)
-        ones = np.zeros(64, np.int64)
-        for at in range(0, len(mixed), _CHUNK):
-            part = mixed[at : at + _CHUNK].astype("<u8").view(np.uint8).reshape(-1, 8)
-            ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int32)
-        found.append(int(np.packbits(ones * 2 > len(mixed), bitorder="little").view("<u8")[0]) & (1 << bits) - 1)
-    return found
+def shingles_of(text: bytes, words: int = SIMILAR_WORDS) -> np.ndarray:
+    """Sorted hashes of the distinct word shingles of a text; a text with fewer words is one shingle."""
+    found = text.lower().split()
+    if len(found) < words:
+        return np.array([xxhash.xxh64_intdigest(b" ".join(found))], np.uint64)
+    plain = np.fromiter(map(xxhash.xxh64_intdigest, found), np.uint64, len(found))
+    n = len(found) - words + 1
+    mixed = np.zeros(n, np.uint64)
+    for i in range(words):
+        mixed = mixed * np.uint64(0x9E3779B97F4A7C15) + plain[i : i + n]
+    mixed = (mixed ^ mixed >> np.uint64(29)) * np.uint64(0x94D049BB133111EB)
+    return np.unique(mixed ^ mixed >> np.uint64(32))
 
 
 def shingle_hashes(text: Column, words: int) -> Column:
-    """Hashes of the distinct word shingles of a text; a text with fewer words is one shingle."""
+    """``shingles_of`` for a column, as signed longs; null text counts as empty."""
 
     @F.arrow_udf("array<long>")
     def of(texts: pa.Array) -> pa.Array:
-        out = []
-        for t in texts.cast(pa.large_binary()):
-            found = t.as_buffer().to_pybytes().lower().split()
-            grams = zip(*[found[i:] for i in range(words)]) if len(found) >= words else [found]
-            hashes = {xxhash.xxh64_intdigest(b" ".join(g)) for g in grams}
-            out.append(np.fromiter(hashes, np.uint64, len(hashes)).view(np.int64))
-        return pa.array(out, pa.list_(pa.int64()))
+        rows = [shingles_of(t.as_buffer().to_pybytes(), words).view(np.int64) for t in texts.cast(pa.large_binary())]
+        return pa.array(rows, pa.list_(pa.int64()))
 
     return of(F.coalesce(text, F.lit("")))
 
 
-def _all_prints(text: Column, shingle_words: int, seed: int, sketches: int) -> Column:
-    @F.arrow_udf("array<long>")
+def _frequent(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted shingles that are frequent, and the binary logarithm of their counts.
+
+    Counted are those that occur again among ``COUNTED`` shingles of a task, so rare ones are never shuffled.
+    """
+
+    def repeated(batches):
+        def of(kept):
+            found, n = np.unique(np.concatenate(kept), return_counts=True)
+            found, n = found[n > 1], n[n > 1]
+            return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], ["shingle", "n"])
+
+        kept, size = [], 0
+        for batch in batches:
+            for t in batch.column(0).cast(pa.large_binary()):
+                kept.append(shingles_of(t.as_buffer().to_pybytes(), words))
+                size += len(kept[-1])
+                if size >= COUNTED:
+                    yield of(kept)
+                    kept, size = [], 0
+        if kept:
+            yield of(kept)
+
+    counts = docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(repeated, "shingle long, n long")
+    counts = counts.groupBy("shingle").agg(F.sum("n").alias("n"))
+    table = counts.orderBy(F.desc("n"), "shingle").limit(FREQUENT).toArrow()
+    shingles, n = table["shingle"].to_numpy().view(np.uint64), table["n"].to_numpy()
+    order = np.argsort(shingles)
+    return shingles[order], np.log2(n[order]).astype(np.uint8) if len(n) else np.zeros(0, np.uint8)
+
+
+def prefix_of(shingles: np.ndarray, similarity: float, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The rarest of the distinct ``shingles`` of a text: so many that two texts of ``similarity`` share one of them.
+
+    Such texts share at least ``similarity`` of the shingles of either, so in one order for all texts the
+    first shared one comes before as many as are left.
+    """
+    known, level = frequent
+    at = np.minimum(np.searchsorted(known, shingles), max(len(known) - 1, 0))
+    rank = np.where(known[at] == shingles, level[at] + 1, 0) if len(known) else np.zeros(len(shingles))
+    length = len(shingles) - max(math.ceil(similarity * len(shingles) - 1e-9), 1) + 1
+    return shingles[np.lexsort((shingles, rank))[:length]]
+
+
+def _all_prints(text: Column, shingle_words: int, seed: int, similarity: float, words: int, frequent) -> Column:
+    """``struct<fingerprint, prefix, size>``: the SimHash, the rarest and the number of shingles of a text."""
+    kind = pa.struct([("fingerprint", pa.int64()), ("prefix", pa.list_(pa.int64())), ("size", pa.int32())])
+
+    @F.arrow_udf("struct<fingerprint: long, prefix: array<long>, size: int>")
     def of(texts: pa.Array) -> pa.Array:
         data = [t.as_buffer().to_pybytes() for t in texts.cast(pa.large_binary())]
-        rows = [[fingerprint_of(t, shingle_words, seed), *sketches_of(t, sketches)] for t in data]
-        return pa.array(list(np.array(rows, np.uint64).reshape(len(data), sketches + 1).view(np.int64)), pa.list_(pa.int64()))
+        prints = np.fromiter((fingerprint_of(t, shingle_words, seed) for t in data), np.uint64, len(data)).view(np.int64)
+        found = [shingles_of(t, words) for t in data]
+        prefixes = [prefix_of(x, similarity, frequent).view(np.int64) for x in found]
+        columns = [pa.array(prints), pa.array(prefixes, pa.list_(pa.int64())), pa.array([len(x) for x in found], pa.int32())]
+        return pa.StructArray.from_arrays(columns, fields=list(kind))
 
     return of(F.coalesce(text, F.lit("")))
 
 
-def _links(prints: DataFrame, radius: int, bits: int = 64) -> DataFrame:
+def _links(prints: DataFrame, radius: int) -> DataFrame:
     """Links ``(a, b)`` of ids over ``(doc_id, fingerprint)``: to the first id of the own and of near fingerprints."""
     groups = stored(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first"), F.count("*").alias("_n")), "groups")
     own = salted_lookup(prints, groups, "fingerprint", "_n").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
-    near = near_fingerprints(groups.select("fingerprint"), radius, bits)
+    near = near_fingerprints(groups.select("fingerprint"), radius)
     for side in ("a", "b"):
         firsts = groups.select(F.col("fingerprint").alias(side), F.col("first").alias(f"_{side}"))
         near = near.join(firsts, side)
     return own.where("a <> b").unionByName(near.select(F.col("_a").alias("a"), F.col("_b").alias("b")))
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, similarity: float, words: int) -> DataFrame:
-    """The pairs whose word shingles have at least ``similarity`` in common."""
+def _verified(pairs: DataFrame, grams: DataFrame, similarity: float) -> DataFrame:
+    """The pairs that have at least ``similarity`` of their shingles in common."""
     pairs = stored(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "pairs")
     wanted = pairs.select(F.col("a").alias("_id")).union(pairs.select("b")).distinct()
-    found = _semi_or_anti(docs, wanted, "left_semi").select("doc_id", shingle_hashes(F.col("text"), words).alias("grams"))
-    found = stored(found, "shingles")
+    grams = _semi_or_anti(grams, wanted, "left_semi")
     for side in ("a", "b"):
-        table = found.select(F.col("doc_id").alias(side), F.col("grams").alias(f"_{side}"))
+        table = grams.select(F.col("doc_id").alias(side), F.col("grams").alias(f"_{side}"))
         pairs = lookup_join(pairs, table, [side], ["a", "b"], how="inner")
     shared = F.size(F.array_intersect("_a", "_b"))
-    return pairs.where(shared >= similarity * (F.size("_a") + F.size("_b") - shared)).select("a", "b")
+    alike = pairs.where(shared >= similarity * (F.size("_a") + F.size("_b") - shared) - 1e-9)
+    return stored(alike.select("a", "b"), "alike")
+
+
+def _similar_links(rows: DataFrame, docs: DataFrame, similarity: float, words: int) -> DataFrame:
+    """Links between texts that share a shingle of their prefixes and ``similarity`` of all."""
+    members = rows.where("doc_id is not null").select("doc_id", "size", F.explode("prefix").alias("key"))
+    groups = members.groupBy("key").agg(F.min(F.struct("doc_id", "size")).alias("centre"), F.count("*").alias("_n"))
+    groups = stored(groups.where("_n > 1"), "groups")
+    members = stored(salted_lookup(members, groups, "key", "_n").where("centre is not null").drop("_n"), "members")
+    ids = members.select(F.col("doc_id").alias("_id")).distinct()
+    grams = _semi_or_anti(docs, ids, "left_semi").select("doc_id", shingle_hashes(F.col("text"), words).alias("grams"))
+    grams = stored(grams, "shingles")
+    pairs = members.where("doc_id <> centre.doc_id").where(_sizes_fit("size", "centre.size", similarity))
+    return _verified(pairs.select(F.col("doc_id").alias("a"), F.col("centre.doc_id").alias("b")), grams, similarity)
+
+
+def _sizes_fit(a: str, b: str, similarity: float) -> Column:
+    return F.least(a, b) >= similarity * F.greatest(a, b) - 1e-9
 
 
 def _semi_or_anti(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
@@ -192,24 +252,21 @@ def near_groups(
     shingle_words: int = SHINGLE_WORDS,
     radius: int = RADIUS,
     seed: int = SEED,
-    sketches: int = SKETCHES,
     similarity: float = SIMILARITY,
     similar_words: int = SIMILAR_WORDS,
 ) -> DataFrame:
     """``(node, root)`` for the ids that have a near copy; ``root`` is the smallest id of the group.
 
     Linked are fingerprints in ``radius``, as in ``near_duplicates``, and texts that share ``similarity`` of
-    their ``similar_words`` shingles. Texts that similar often differ in more bits, so they are searched by
-    ``sketches`` further fingerprints, of words, in the same ball, and what meets there is verified on the texts.
+    their ``similar_words`` shingles. Texts that similar often differ in more bits, so they are searched by the
+    rarest of these shingles, of which they share at least one, and what meets there is verified on the rest.
     Rows without id are left out.
     """
     docs = small_batches(docs).select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).where("doc_id is not null")
-    rows = stored(docs.select("doc_id", _all_prints(F.col("text"), shingle_words, seed, sketches).alias("prints")), "fingerprints")
-    one = lambda k: rows.select("doc_id", F.get("prints", k).alias("fingerprint"))
-    links = stored(_links(one(0), radius), "links")
-    if sketches:
-        met = [stored(_links(one(k + 1), radius, SKETCH_BITS), "met") for k in range(sketches)]
-        links = links.unionByName(_verified(reduce(DataFrame.unionByName, met), docs, similarity, similar_words))
+    prints = _all_prints(F.col("text"), shingle_words, seed, similarity, similar_words, _frequent(docs, similar_words))
+    rows = stored(docs.select("doc_id", prints.alias("prints")).select("doc_id", "prints.*"), "fingerprints")
+    links = stored(_links(rows.select("doc_id", "fingerprint"), radius), "links")
+    links = links.unionByName(_similar_links(rows, docs, similarity, similar_words))
     return components(links)
 
 

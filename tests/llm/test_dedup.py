@@ -174,3 +174,22 @@ def test_near_groups_hold_linked_texts_only_and_most_similar_ones(spark):
     gone = {n for n, r in root.items() if n != r}
     assert sorted(r["doc_id"] for r in one_of_each(df).where("doc_id is not null").collect()) == sorted(set(dict(texts)) - gone)
     assert one_of_each(df).where("doc_id is null").count() == 2
+
+
+def test_near_groups_find_similar_texts_wherever_they_differ(spark):
+    draw = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    words = lambda n: draw.choices(vocabulary, k=n)
+    texts, common = [], words(25)
+    for _ in range(12):
+        own = words(draw.randint(150, 400))
+        block = words(len(own) // 10)
+        at = draw.randrange(len(own) - len(block))
+        texts += [own, own + block, block + own, own[:at] + words(len(own) // 12) + own[at + len(own) // 12 :], common + words(200)]
+    texts += [common, common[:3], []]
+    df = spark.createDataFrame(list(enumerate(map(" ".join, texts))), "doc_id long, text string")
+    root = {r["node"]: r["root"] for r in near_groups(df).collect()}
+    grams = [{tuple(w[j : j + 5]) for j in range(max(len(w) - 4, 1))} for w in texts]
+    similar = [(i, j) for i, a in enumerate(grams) for j in range(i) if len(a & grams[j]) >= 0.8 * len(a | grams[j])]
+    assert len(similar) > 30
+    assert [p for p in similar if root.get(p[0], -1) != root.get(p[1], -2)] == []
