@@ -24,6 +24,8 @@ SIMILARITY, SIMILAR_WORDS = 0.8, 5
 #: Shingles counted at a time, and those known as frequent at most. Both only order the shingles of a text: any order
 #: finds the same pairs, one by rarity tries fewer.
 COUNTED, FREQUENT = 1 << 20, 500_000
+#: Members of a group tried against all others before pairs are.
+STARS = 2
 _CHUNK = 1 << 15
 
 
@@ -220,17 +222,43 @@ def _verified(pairs: DataFrame, grams: DataFrame, similarity: float) -> DataFram
     return stored(alike.select("a", "b"), "alike")
 
 
-def _similar_links(rows: DataFrame, docs: DataFrame, similarity: float, words: int) -> DataFrame:
-    """Links between texts that share a shingle of their prefixes and ``similarity`` of all."""
+def _open(members: DataFrame, links: DataFrame, salt: int) -> DataFrame:
+    """``members`` of the keys that hold more than one component of ``links``, with ``root`` and the ``centre`` of the key."""
+    members = members.select("key", "doc_id", "size")
+    members = members.join(components(links).withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    members = stored(members.withColumn("root", F.coalesce("root", "doc_id")), "rooted")
+    one = F.min_by(F.struct("doc_id", "size", "root"), F.struct(F.xxhash64("doc_id", F.lit(salt)), F.col("doc_id")))
+    groups = members.groupBy("key").agg(one.alias("centre"), F.count("*").alias("_n"), F.min("root").alias("_a"), F.max("root").alias("_b"))
+    groups = stored(groups.where("_a <> _b").drop("_a", "_b"), "groups")
+    return stored(salted_lookup(members, groups, "key", "_n").where("centre is not null").drop("_n"), "open")
+
+
+def _similar_links(rows: DataFrame, docs: DataFrame, links: DataFrame, similarity: float, words: int) -> DataFrame:
+    """``links`` with those between texts that share a shingle of their prefixes and ``similarity`` of all.
+
+    A key first tries its members against one of them, then those of other components against another, so a
+    large group of near copies costs one pair a member. What is still apart then is tried pair by pair: a pair with a
+    common key is left out only if it is linked already.
+    """
     members = rows.where("doc_id is not null").select("doc_id", "size", F.explode("prefix").alias("key"))
-    groups = members.groupBy("key").agg(F.min(F.struct("doc_id", "size")).alias("centre"), F.count("*").alias("_n"))
-    groups = stored(groups.where("_n > 1"), "groups")
-    members = stored(salted_lookup(members, groups, "key", "_n").where("centre is not null").drop("_n"), "members")
+    # Near copies share most keys, and keys with the same members say the same: one of them is kept.
+    same = (F.bit_xor(F.xxhash64("doc_id")).alias("_x"), F.min("doc_id").alias("_least"), F.count("*").alias("_n"))
+    groups = members.groupBy("key").agg(*same).where("_n > 1").groupBy("_x", "_least", "_n").agg(F.min("key").alias("key"))
+    groups = stored(groups.select("key", "_n", F.lit(True).alias("many")), "groups")
+    members = stored(salted_lookup(members, groups, "key", "_n").where("many").drop("_n", "many"), "members")
     ids = members.select(F.col("doc_id").alias("_id")).distinct()
     grams = _semi_or_anti(docs, ids, "left_semi").select("doc_id", shingle_hashes(F.col("text"), words).alias("grams"))
     grams = stored(grams, "shingles")
-    pairs = members.where("doc_id <> centre.doc_id").where(_sizes_fit("size", "centre.size", similarity))
-    return _verified(pairs.select(F.col("doc_id").alias("a"), F.col("centre.doc_id").alias("b")), grams, similarity)
+    for salt in range(STARS):
+        members = _open(members, links, salt)
+        pairs = members.where("root <> centre.root").where(_sizes_fit("size", "centre.size", similarity))
+        pairs = pairs.select(F.col("doc_id").alias("a"), F.col("centre.doc_id").alias("b"))
+        links = links.unionByName(_verified(pairs, grams, similarity))
+    members = _open(members, links, STARS)
+    side = lambda x: members.select("key", F.col("doc_id").alias(x), F.col("size").alias(f"_{x}"), F.col("root").alias(f"_root_{x}"))
+    pairs = lookup_join(side("a"), side("b"), ["key"], ["a"], how="inner")
+    pairs = pairs.where("a > b and _root_a <> _root_b").where(_sizes_fit("_a", "_b", similarity)).select("a", "b")
+    return links.unionByName(_verified(pairs, grams, similarity))
 
 
 def _sizes_fit(a: str, b: str, similarity: float) -> Column:
@@ -266,8 +294,7 @@ def near_groups(
     prints = _all_prints(F.col("text"), shingle_words, seed, similarity, similar_words, _frequent(docs, similar_words))
     rows = stored(docs.select("doc_id", prints.alias("prints")).select("doc_id", "prints.*"), "fingerprints")
     links = stored(_links(rows.select("doc_id", "fingerprint"), radius), "links")
-    links = links.unionByName(_similar_links(rows, docs, similarity, similar_words))
-    return components(links)
+    return components(_similar_links(rows, docs, links, similarity, similar_words))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:

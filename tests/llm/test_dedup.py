@@ -193,3 +193,18 @@ def test_near_groups_find_similar_texts_wherever_they_differ(spark):
     similar = [(i, j) for i, a in enumerate(grams) for j in range(i) if len(a & grams[j]) >= 0.8 * len(a | grams[j])]
     assert len(similar) > 30
     assert [p for p in similar if root.get(p[0], -1) != root.get(p[1], -2)] == []
+
+
+def test_near_groups_test_every_pair_that_meets(spark):
+    draw = random.Random(8)
+    words = lambda n: [f"w{draw.randrange(5000)}" for _ in range(n)]
+    texts = []
+    for _ in range(8):  # unlike texts with smaller ids hold each part of two near copies
+        own = words(200)
+        texts += [own[at : at + 60] + words(140) for at in range(0, 200, 40)] + [own[at + 20 : at + 80] + words(140) for at in range(0, 160, 40)]
+        texts += [own, own[:190] + words(10)]
+    df = spark.createDataFrame(list(enumerate(map(" ".join, texts))), "doc_id long, text string")
+    root = {r["node"]: r["root"] for r in near_groups(df).collect()}
+    grams = [{tuple(w[j : j + 5]) for j in range(len(w) - 4)} for w in texts]
+    similar = {(j, i) for i, a in enumerate(grams) for j in range(i) if len(a & grams[j]) >= 0.8 * len(a | grams[j])}
+    assert len(similar) == 8 and {(r, n) for n, r in root.items() if n != r} == similar
