@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from reviewlens.llm.common import hash_sample, small_batches, text_or_empty
 from reviewlens.session import stored
 
-ROUNDS, SURE, PSEUDO_WEIGHT, MAX_POOL = 3, 0.95, 0.3, 50_000
+ROUNDS, SURE, PSEUDO_WEIGHT = 3, 0.95, 0.3
 LANGS, SOURCES = 8, 32
 LETTERS, UPPER, DIGITS, MARKS = re.compile(r"[^\W\d_]+"), re.compile(r"[A-ZÀ-ÖØ-Þ]"), re.compile(r"\d"), re.compile(r"[#$%&*|!@<>{}=~^_]")
 
@@ -136,11 +136,11 @@ def co_train(labelled: DataFrame, pool: DataFrame, rounds: int = ROUNDS, sure: f
     return QualityModel(text, meta, both if both.weights else Linear(0.0, (1.0, 1.0)))
 
 
-def quality(docs: DataFrame, labels: DataFrame, held_out: Column, max_labelled: int = 20_000, max_pool: int = MAX_POOL) -> DataFrame:
+def quality(docs: DataFrame, labels: DataFrame, held_out: Column, max_labelled: int = 20_000) -> DataFrame:
     """``(doc_id, held_out, score, predicted, text_score, meta_score)`` for every row of ``docs``.
 
-    ``labels`` has ``doc_id`` and ``quality``. About ``max_labelled`` labelled and ``max_pool`` unlabelled rows
-    outside ``held_out`` are used for fitting at most, chosen by the hash of the id; everything is scored.
+    ``labels`` has ``doc_id`` and ``quality``. About ``max_labelled`` labelled rows outside ``held_out`` are used for
+    fitting at most, chosen by the hash of the id, and all others there are the unlabelled pool; everything is scored.
     Rows are scored by their own columns, so repeated rows and null ids are no special case.
     """
     rows = small_batches(docs).select("doc_id", held_out.alias("held_out"), views(docs).alias("views"))
@@ -150,8 +150,7 @@ def quality(docs: DataFrame, labels: DataFrame, held_out: Column, max_labelled:
     ids = stored(hash_sample(ids, F.col("doc_id"), max_labelled / max(ids.count(), 1)), "labels")
     free = rows.where("not held_out and doc_id is not null").select("doc_id", "views.text", "views.meta")
     gold = stored(free.join(F.broadcast(ids), "doc_id"), "labelled")
-    pool = hash_sample(free, F.col("doc_id"), max_pool / max(free.count(), 1))
-    pool = stored(pool.join(F.broadcast(ids), "doc_id", "left_anti"), "pool")
+    pool = stored(free.join(F.broadcast(ids), "doc_id", "left_anti"), "pool")
     model = co_train(gold, pool)
     score = model.score(F.col("views"))
     scored = rows.select(

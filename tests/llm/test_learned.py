@@ -13,7 +13,7 @@ from reviewlens.llm import brown_lm
 from reviewlens.llm.common import labelled_sample
 from reviewlens.llm.language_id import classify, dictionaries
 from reviewlens.llm.mixing import mix, mix_rows
-from reviewlens.llm.quality import quality
+from reviewlens.llm.quality import co_train, quality
 from reviewlens.llm.queries import QUERIES
 from reviewlens.llm.toxicity import INSULTS, SYMBOLS, ClauseScorer, compose, fit_toxicity, grammar, insult, threat
 
@@ -156,6 +156,15 @@ def test_quality(spark, docs, odd, none, sf_dir):
         assert len(scored) == df.count() and all(0 <= r["score"] <= 1 for r in scored)
 
 
+def test_quality_learns_from_every_unlabelled_row(spark, monkeypatch):
+    pools = []
+    monkeypatch.setattr("reviewlens.llm.quality.co_train", lambda gold, pool: pools.append(pool) or co_train(gold, pool, 0))
+    docs = spark.range(60_000).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"), F.lit("en").alias("lang"), F.lit("s").alias("source"), F.lit(3).alias("n_chars"))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(100)], "doc_id long, quality int")
+    quality(docs, labels, F.pmod("doc_id", F.lit(10)) == 9)
+    assert pools[0].count() == 54_000 - 90
+
+
 def targets_by_hand(sizes, weights=(3, 1, 2), share=1.5, cap=2.0):
     order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
     weight = {s: weights[i % 3] for i, s in enumerate(order)}
