@@ -11,6 +11,7 @@ from reviewlens.llm.common import documents, id_bucket, labelled_sample, text_or
 from reviewlens.llm.decontamination import contaminated
 from reviewlens.llm.exact_dedup import exact_groups
 from reviewlens.llm.language_id import classify, dictionaries
+from reviewlens.llm.lexical_search import search
 from reviewlens.llm.mixing import mix
 from reviewlens.llm.quality import quality
 from reviewlens.llm.secrets import KINDS, listed, secrets
@@ -61,12 +62,6 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(documents(spark, sf_dir))
 
 
-def trained_toxicity(spark: SparkSession, sf_dir: str, max_labelled: int = 20_000) -> ToxicityModel:
-    """Fitted on at most about ``max_labelled`` labelled documents outside the held-out quarter."""
-    wanted = id_bucket(F.col("doc_id"), 4) != 2
-    return fit_toxicity(labelled_sample(documents(spark, sf_dir), labels(spark, sf_dir), "toxic", wanted, max_labelled))
-
-
 @register()
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     marks = near_duplicates(documents(spark, sf_dir))
@@ -163,3 +158,34 @@ def op3_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register()
 def op5_quality_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(documents(spark, sf_dir), labels(spark, sf_dir), id_bucket(F.col("doc_id"), 5) == 2)
+
+
+@register(
+    r"""
+    WITH texts AS (
+        SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents
+    ), counts AS (
+        SELECT doc_id, term, count(*) AS tf FROM texts GROUP BY ALL
+    ), lengths AS (
+        SELECT doc_id, count(*) AS n FROM texts GROUP BY ALL
+    ), totals AS (
+        SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM lengths
+    ), weights AS (
+        SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w
+        FROM (SELECT term, count(*) AS df FROM counts GROUP BY ALL), totals
+    ), asked AS (
+        SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark WHERE item_id IS NOT NULL
+    ), scored AS (
+        SELECT item_id, doc_id,
+               CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+        FROM asked JOIN weights USING (term) JOIN counts USING (term) JOIN lengths USING (doc_id), totals GROUP BY ALL
+    )
+    SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score
+    FROM scored WHERE score > 0 QUALIFY rank <= 50
+    """
+)
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    return search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))

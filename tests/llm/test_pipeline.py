@@ -8,7 +8,8 @@ import corpus_pipeline
 from reviewlens.llm.queries import ORACLES, QUERIES, trained_toxicity
 
 NUMBERS = {"op1_toxicity", "op2_exact_dedup", "op3_brown_lm", "op4_decontamination", "op5_quality_cotraining", "op6_secret_scan",
-           "op7_language_id", "op8_mixing", "op9_url_filter", "op10_simhash"}
+           "op7_language_id", "op8_mixing", "op9_url_filter", "op10_simhash", "op11_hard_negatives", "op12_packing",
+           "op13_lexical_search"}
 
 
 def test_one_query_per_operator():
