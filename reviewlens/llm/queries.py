@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reviewlens.llm import brown_lm
@@ -13,6 +14,7 @@ from reviewlens.llm.exact_dedup import exact_groups
 from reviewlens.llm.language_id import classify, dictionaries
 from reviewlens.llm.lexical_search import search
 from reviewlens.llm.mixing import mix
+from reviewlens.llm.packing import pack
 from reviewlens.llm.quality import quality
 from reviewlens.llm.secrets import KINDS, listed, secrets
 from reviewlens.llm.simhash import hex_digits, near_duplicates
@@ -189,3 +191,11 @@ def op5_quality_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 50 best documents of every benchmark item."""
     return search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@register()
+def op12_packing(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    """All documents in sequences of 1024 ids; ``tokenizer`` is the path of a vocabulary file."""
+    packed = pack(documents(spark, sf_dir), tokenizer or public_tokenizers.path("byte_bpe_50k.json"))
+    checksum = F.crc32("ids").alias("ids_crc32")
+    return packed.select("doc_id", "start", "length", checksum, "doc_tokens", "sequence_id", "offset")
