@@ -11,6 +11,7 @@ from reviewlens.llm import brown_lm
 from reviewlens.llm.common import documents, id_bucket, labelled_sample, text_or_empty
 from reviewlens.llm.decontamination import contaminated
 from reviewlens.llm.exact_dedup import exact_groups
+from reviewlens.llm.hard_negatives import hard_negatives
 from reviewlens.llm.language_id import classify, dictionaries
 from reviewlens.llm.lexical_search import search
 from reviewlens.llm.mixing import mix
@@ -193,6 +194,35 @@ def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+@register(
+    """
+    WITH clean AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), scored AS (
+        SELECT a.vec_id AS anchor_id, c.vec_id AS other_id, a.label = c.label AS same,
+               CAST(list_inner_product(a.x, c.x) AS BIGINT) AS score
+        FROM clean a, clean c WHERE a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id
+    ), positives AS (
+        SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+    )
+    SELECT anchor_id, positive_id, row_number() OVER best AS rank, other_id AS negative_id, positive_score,
+           score AS negative_score
+    FROM positives JOIN scored USING (anchor_id)
+    WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+    WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)
+    QUALIFY row_number() OVER best <= 10
+    """
+)
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Negatives for every hundredth vector and its positives."""
+    return hard_negatives(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 @register()
 def op12_packing(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
     """All documents in sequences of 1024 ids; ``tokenizer`` is the path of a vocabulary file."""
