@@ -62,4 +62,14 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     """
     path = shared_dir(df.sparkSession, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    table = df.sparkSession.read.parquet(path)
+    table._stored_at = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``stored`` returned; call it once all that reads them is stored itself."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(table._stored_at)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
