@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from reviewlens.operators.joins import salted_lookup
-from reviewlens.session import stored
+from reviewlens.session import discard, stored
 
 
 def _star(edges: DataFrame) -> DataFrame:
@@ -22,14 +22,15 @@ def components(edges: DataFrame) -> DataFrame:
     executors cost no earlier round. No edges give no rows.
     """
     edges = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    edges, seen = stored(edges, "edges"), None
+    edges = stored(edges, "edges")
     while True:
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == seen or not state[0]:
-            return edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root")).unionByName(
+        ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+        ends = ends.unionByName(edges.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+        nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+        if not nodes.where("up > 1 or up + down > 1").take(1):  # each node is the centre of a star or points to one
+            return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
                 edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
             )
-        seen = state
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         large = _star(both).where("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct()
         large = stored(large, "edges")
@@ -37,4 +38,6 @@ def components(edges: DataFrame) -> DataFrame:
         small = small.select("a", F.col("m").alias("b")).unionByName(
             small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         )
-        edges = stored(small.distinct(), "edges")
+        small = stored(small.distinct(), "edges")
+        discard(edges, large)
+        edges = small

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from reviewlens.llm.common import small_batches
 from reviewlens.llm.components import components
 from reviewlens.operators.joins import bounded, lookup_join, salted_lookup
-from reviewlens.session import stored
+from reviewlens.session import discard, stored
 
 SHINGLE_WORDS = 3
 RADIUS = 2
@@ -24,8 +24,12 @@ SIMILARITY, SIMILAR_WORDS = 0.8, 5
 #: Shingles counted at a time, and those known as frequent at most. Both only order the shingles of a text: any order
 #: finds the same pairs, one by rarity tries fewer.
 COUNTED, FREQUENT = 1 << 20, 500_000
-#: Members of a group tried against all others before pairs are.
-STARS = 2
+#: Level from which a shingle is frequent enough to be dealt to parts: one more than the logarithm of its count.
+HOT_LEVEL = 16
+#: Longs of parities of a text.
+MARKS = 16
+#: Members of a key are tried against one of them, again and again, while this share of these pairs is alike.
+LEAST_ALIKE = 0.1
 _CHUNK = 1 << 15
 
 
@@ -169,31 +173,68 @@ def _frequent(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
     return shingles[order], np.log2(n[order]).astype(np.uint8) if len(n) else np.zeros(0, np.uint8)
 
 
-def prefix_of(shingles: np.ndarray, similarity: float, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """The rarest of the distinct ``shingles`` of a text: so many that two texts of ``similarity`` share one of them.
+def rarest_first(shingles: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ``shingles`` of a text, frequent ones last, and their levels: 0, or one more than the logarithm of the count."""
+    known, level = frequent
+    if not len(known):
+        return shingles, np.zeros(len(shingles), np.uint8)
+    at = np.minimum(np.searchsorted(known, shingles), len(known) - 1)
+    found = np.where(known[at] == shingles, level[at] + 1, 0).astype(np.uint8)
+    order = np.lexsort((shingles, found))
+    return shingles[order], found[order]
+
+
+def prefix_length(size: int, similarity: float) -> int:
+    """So many of its first shingles hold one of any text of ``similarity``.
 
     Such texts share at least ``similarity`` of the shingles of either, so in one order for all texts the
     first shared one comes before as many as are left.
     """
-    known, level = frequent
-    at = np.minimum(np.searchsorted(known, shingles), max(len(known) - 1, 0))
-    rank = np.where(known[at] == shingles, level[at] + 1, 0) if len(known) else np.zeros(len(shingles))
-    length = len(shingles) - max(math.ceil(similarity * len(shingles) - 1e-9), 1) + 1
-    return shingles[np.lexsort((shingles, rank))[:length]]
+    return size - max(math.ceil(similarity * size - 1e-9), 1) + 1
+
+
+def _keys(text: Column, similarity: float, words: int, frequent) -> Column:
+    """``struct<size, keys>``: the number of shingles of a text, and the rarest of them in order, with their levels."""
+    pair = pa.struct([("key", pa.int64()), ("level", pa.int32())])
+    kind = [pa.field("size", pa.int32()), pa.field("keys", pa.list_(pair))]
+
+    @F.arrow_udf("struct<size: int, keys: array<struct<key: long, level: int>>>")
+    def of(texts: pa.Array) -> pa.Array:
+        sizes, ends, keys, levels = [], [0], [np.zeros(0, np.uint64)], [np.zeros(0, np.int32)]
+        for t in texts.cast(pa.large_binary()):
+            found, level = rarest_first(shingles_of(t.as_buffer().to_pybytes(), words), frequent)
+            n = prefix_length(len(found), similarity)
+            keys.append(found[:n])
+            levels.append(level[:n].astype(np.int32))
+            sizes.append(len(found))
+            ends.append(ends[-1] + n)
+        pairs = pa.StructArray.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(levels))], fields=list(pair))
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)
+        return pa.StructArray.from_arrays([pa.array(sizes, pa.int32()), lists], fields=kind)
+
+    return of(F.coalesce(text, F.lit("")))
+
+
+def marks_of(shingles: np.ndarray) -> np.ndarray:
+    """Parities of the numbers of ``shingles`` in each of ``64 * MARKS`` classes.
+
+    Two sets that differ in ``n`` shingles differ in at most ``n`` parities.
+    """
+    odd = np.bincount(((shingles >> np.uint64(7)) % np.uint64(64 * MARKS)).astype(np.int64), minlength=64 * MARKS).astype(np.uint8) & 1
+    return np.packbits(odd, bitorder="little").view("<i8")
 
 
-def _all_prints(text: Column, shingle_words: int, seed: int, similarity: float, words: int, frequent) -> Column:
-    """``struct<fingerprint, prefix, size>``: the SimHash, the rarest and the number of shingles of a text."""
-    kind = pa.struct([("fingerprint", pa.int64()), ("prefix", pa.list_(pa.int64())), ("size", pa.int32())])
+def _all_prints(text: Column, shingle_words: int, seed: int, words: int) -> Column:
+    """``struct<fingerprint, size, marks>``: the SimHash, the number of shingles, and their parities."""
+    kind = pa.struct([("fingerprint", pa.int64()), ("size", pa.int32()), ("marks", pa.list_(pa.int64()))])
 
-    @F.arrow_udf("struct<fingerprint: long, prefix: array<long>, size: int>")
+    @F.arrow_udf("struct<fingerprint: long, size: int, marks: array<long>>")
     def of(texts: pa.Array) -> pa.Array:
         data = [t.as_buffer().to_pybytes() for t in texts.cast(pa.large_binary())]
         prints = np.fromiter((fingerprint_of(t, shingle_words, seed) for t in data), np.uint64, len(data)).view(np.int64)
         found = [shingles_of(t, words) for t in data]
-        prefixes = [prefix_of(x, similarity, frequent).view(np.int64) for x in found]
-        columns = [pa.array(prints), pa.array(prefixes, pa.list_(pa.int64())), pa.array([len(x) for x in found], pa.int32())]
-        return pa.StructArray.from_arrays(columns, fields=list(kind))
+        marks = pa.array([marks_of(x) for x in found], pa.list_(pa.int64()))
+        return pa.StructArray.from_arrays([pa.array(prints), pa.array([len(x) for x in found], pa.int32()), marks], fields=list(kind))
 
     return of(F.coalesce(text, F.lit("")))
 
@@ -209,60 +250,122 @@ def _links(prints: DataFrame, radius: int) -> DataFrame:
     return own.where("a <> b").unionByName(near.select(F.col("_a").alias("a"), F.col("_b").alias("b")))
 
 
-def _verified(pairs: DataFrame, grams: DataFrame, similarity: float) -> DataFrame:
-    """The pairs that have at least ``similarity`` of their shingles in common."""
+def _overlap(size_a: str, size_b: str, similarity: float) -> Column:
+    """So many shingles two texts of ``similarity`` share at least."""
+    return F.ceil(similarity / (1 + similarity) * (F.col(size_a) + F.col(size_b)) - 1e-9)
+
+
+def _may_be_alike(similarity: float) -> Column:
+    """Whether two texts, ``a`` and ``b``, that share the shingle at ``pos`` of either order can be similar.
+
+    Their sizes must fit; what is left of the shorter rest must be enough to share, if this is the first they share; and no
+    more parities may differ than shingles can.
+    """
+    enough = _overlap("a.size", "b.size", similarity)
+    rest = F.least(F.col("a.size") - F.col("a.pos"), F.col("b.size") - F.col("b.pos"))
+    sizes = F.least("a.size", "b.size") >= similarity * F.greatest("a.size", "b.size") - 1e-9
+    apart = F.aggregate(F.zip_with("a.marks", "b.marks", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, n: s + n)
+    return sizes & (rest >= enough) & (apart <= F.col("a.size") + F.col("b.size") - 2 * enough)
+
+
+def _alike(words: int, similarity: float, a: str, b: str) -> Column:
+    """Whether two texts share ``similarity`` of their distinct shingles."""
+
+    @F.arrow_udf("boolean")
+    def of(left: pa.Array, right: pa.Array) -> pa.Array:
+        out = []
+        for x, y in zip(left.cast(pa.large_binary()).to_pylist(), right.cast(pa.large_binary()).to_pylist()):
+            x, y = shingles_of(x, words), shingles_of(y, words)
+            shared = len(np.intersect1d(x, y, assume_unique=True))
+            out.append(shared >= similarity * (len(x) + len(y) - shared) - 1e-9)
+        return pa.array(out, pa.bool_())
+
+    return of(F.coalesce(a, F.lit("")), F.coalesce(b, F.lit("")))
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, similarity: float, words: int) -> tuple[DataFrame, float]:
+    """The stored pairs of similar texts, each once, and their share of ``pairs``."""
     pairs = stored(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "pairs")
-    wanted = pairs.select(F.col("a").alias("_id")).union(pairs.select("b")).distinct()
-    grams = _semi_or_anti(grams, wanted, "left_semi")
+    texts = stored(_semi_or_anti(docs, pairs.select(F.col("a").alias("_id")).union(pairs.select("b")).distinct(), "left_semi"), "texts")
+    joined = pairs
     for side in ("a", "b"):
-        table = grams.select(F.col("doc_id").alias(side), F.col("grams").alias(f"_{side}"))
-        pairs = lookup_join(pairs, table, [side], ["a", "b"], how="inner")
-    shared = F.size(F.array_intersect("_a", "_b"))
-    alike = pairs.where(shared >= similarity * (F.size("_a") + F.size("_b") - shared) - 1e-9)
-    return stored(alike.select("a", "b"), "alike")
+        table = texts.select(F.col("doc_id").alias(side), F.col("text").alias(f"_{side}"))
+        joined = lookup_join(joined, table, [side], ["a", "b"], how="inner")
+    alike = stored(joined.where(_alike(words, similarity, "_a", "_b")).select("a", "b"), "alike")
+    share = alike.count() / max(pairs.count(), 1)
+    discard(texts, pairs)
+    return alike, share
+
+
+def _members(docs: DataFrame, similarity: float, words: int) -> DataFrame:
+    """Stored ``(key, doc_id, size, pos)`` for the keys at which two texts can meet: rare shingles that occur twice.
+
+    One shuffle drops the shingles of a single text, that is nearly all. Keys known to be frequent are dealt to parts of
+    bounded size and kept as they are.
+    """
+    found = docs.select("doc_id", _keys(F.col("text"), similarity, words, _frequent(docs, words)).alias("_found"))
+    keys = found.select("doc_id", F.col("_found.size").alias("size"), F.posexplode("_found.keys").alias("pos", "_key"))
+    parts = F.expr(f"shiftleft(1L, _key.level - {HOT_LEVEL})")
+    part = F.when(F.col("_key.level") > HOT_LEVEL, F.pmod(F.xxhash64("doc_id"), parts) + 1).otherwise(F.lit(0))
+    keys = keys.select("doc_id", "size", "pos", "_key.key", part.alias("part"))
+    same = Window.partitionBy("key", "part")
+    first = F.col("size") - F.col("pos") >= F.ceil(2 * similarity / (1 + similarity) * F.col("size") - 1e-9)
+    kept = keys.select("*", F.count("*").over(same).alias("_n"), F.max(first).over(same).alias("_first"))
+    return stored(kept.where("part > 0 or (_n > 1 and _first)").select("key", "doc_id", "size", "pos"), "members")
 
 
 def _open(members: DataFrame, links: DataFrame, salt: int) -> DataFrame:
-    """``members`` of the keys that hold more than one component of ``links``, with ``root`` and the ``centre`` of the key."""
-    members = members.select("key", "doc_id", "size")
+    """Stored ``members`` of the keys that hold more than one component of ``links``, with ``root`` and the ``centre`` of the key."""
+    members = members.select("key", "doc_id", "size", "pos")
     members = members.join(components(links).withColumnRenamed("node", "doc_id"), "doc_id", "left")
     members = stored(members.withColumn("root", F.coalesce("root", "doc_id")), "rooted")
-    one = F.min_by(F.struct("doc_id", "size", "root"), F.struct(F.xxhash64("doc_id", F.lit(salt)), F.col("doc_id")))
+    one = F.min_by(F.struct("doc_id", "size", "pos", "root"), F.struct(F.xxhash64("doc_id", F.lit(salt)), F.col("doc_id")))
     groups = members.groupBy("key").agg(one.alias("centre"), F.count("*").alias("_n"), F.min("root").alias("_a"), F.max("root").alias("_b"))
     groups = stored(groups.where("_a <> _b").drop("_a", "_b"), "groups")
-    return stored(salted_lookup(members, groups, "key", "_n").where("centre is not null").drop("_n"), "open")
+    found = stored(salted_lookup(members, groups, "key", "_n").where("centre is not null").drop("_n"), "open")
+    discard(members, groups)
+    return found
 
 
-def _similar_links(rows: DataFrame, docs: DataFrame, links: DataFrame, similarity: float, words: int) -> DataFrame:
+def _similar_links(docs: DataFrame, prints: DataFrame, links: DataFrame, similarity: float, words: int) -> DataFrame:
     """``links`` with those between texts that share a shingle of their prefixes and ``similarity`` of all.
 
-    A key first tries its members against one of them, then those of other components against another, so a
-    large group of near copies costs one pair a member. What is still apart then is tried pair by pair: a pair with a
-    common key is left out only if it is linked already.
+    As long as that links enough of them, the members of a key are tried against one of them, so a large group of near copies
+    costs a few pairs a member. What is still apart then is tried pair by pair: a pair that can be similar is left out only if
+    it is linked already.
     """
-    members = rows.where("doc_id is not null").select("doc_id", "size", F.explode("prefix").alias("key"))
-    # Near copies share most keys, and keys with the same members say the same: one of them is kept.
-    same = (F.bit_xor(F.xxhash64("doc_id")).alias("_x"), F.min("doc_id").alias("_least"), F.count("*").alias("_n"))
-    groups = members.groupBy("key").agg(*same).where("_n > 1").groupBy("_x", "_least", "_n").agg(F.min("key").alias("key"))
-    groups = stored(groups.select("key", "_n", F.lit(True).alias("many")), "groups")
-    members = stored(salted_lookup(members, groups, "key", "_n").where("many").drop("_n", "many"), "members")
-    ids = members.select(F.col("doc_id").alias("_id")).distinct()
-    grams = _semi_or_anti(docs, ids, "left_semi").select("doc_id", shingle_hashes(F.col("text"), words).alias("grams"))
-    grams = stored(grams, "shingles")
-    for salt in range(STARS):
-        members = _open(members, links, salt)
-        pairs = members.where("root <> centre.root").where(_sizes_fit("size", "centre.size", similarity))
-        pairs = pairs.select(F.col("doc_id").alias("a"), F.col("centre.doc_id").alias("b"))
-        links = links.unionByName(_verified(pairs, grams, similarity))
-    members = _open(members, links, STARS)
-    side = lambda x: members.select("key", F.col("doc_id").alias(x), F.col("size").alias(f"_{x}"), F.col("root").alias(f"_root_{x}"))
-    pairs = lookup_join(side("a"), side("b"), ["key"], ["a"], how="inner")
-    pairs = pairs.where("a > b and _root_a <> _root_b").where(_sizes_fit("_a", "_b", similarity)).select("a", "b")
-    return links.unionByName(_verified(pairs, grams, similarity))
-
-
-def _sizes_fit(a: str, b: str, similarity: float) -> Column:
-    return F.least(a, b) >= similarity * F.greatest(a, b) - 1e-9
+    members, share, rounds = _members(docs, similarity, words), 1.0, 0
+    marks = prints.select("doc_id", "marks")
+    while True:
+        found = _open(members, links, rounds)
+        discard(members)
+        members = found
+        if not members.take(1):
+            return links
+        if share < LEAST_ALIKE:
+            break
+        star = members.where("root <> centre.root").select("doc_id", "size", "pos", "centre")
+        star = star.select(F.struct("doc_id", "size", "pos").alias("a"), F.col("centre").alias("b"))
+        pairs = _with_marks(star, marks).where(_may_be_alike(similarity)).select(F.col("a.doc_id").alias("a"), F.col("b.doc_id").alias("b"))
+        alike, share = _verified(pairs, docs, similarity, words)
+        links, rounds = stored(links.unionByName(alike), "links"), rounds + 1
+        discard(alike)
+    rows = stored(members.join(marks, "doc_id"), "marked")
+    side = lambda x: rows.select("key", F.struct("doc_id", "size", "pos", "root", "marks").alias(x))
+    pairs = lookup_join(side("a"), side("b"), ["key"], ["a"], how="inner").where("a.doc_id > b.doc_id and a.root <> b.root")
+    pairs = pairs.where(_may_be_alike(similarity)).select(F.col("a.doc_id").alias("a"), F.col("b.doc_id").alias("b"))
+    alike, _ = _verified(pairs, docs, similarity, words)
+    discard(rows, members)
+    return links.unionByName(alike)
+
+
+def _with_marks(pairs: DataFrame, marks: DataFrame) -> DataFrame:
+    """Pairs ``(a, b)`` of structs with a ``doc_id``, each once, with the ``marks`` of both."""
+    pairs = pairs.groupBy("a.doc_id", F.col("b.doc_id").alias("_other")).agg(F.min("a").alias("a"), F.min("b").alias("b"))
+    for side, key in (("a", "doc_id"), ("b", "_other")):
+        pairs = lookup_join(pairs, marks.select(F.col("doc_id").alias(key), F.col("marks").alias("_marks")), [key], ["doc_id", "_other"], "inner")
+        pairs = pairs.withColumn(side, F.struct(f"{side}.size", f"{side}.pos", f"{side}.doc_id", F.col("_marks").alias("marks"))).drop("_marks")
+    return pairs
 
 
 def _semi_or_anti(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
@@ -287,14 +390,15 @@ def near_groups(
 
     Linked are fingerprints in ``radius``, as in ``near_duplicates``, and texts that share ``similarity`` of
     their ``similar_words`` shingles. Texts that similar often differ in more bits, so they are searched by the
-    rarest of these shingles, of which they share at least one, and what meets there is verified on the rest.
-    Rows without id are left out.
+    rarest of these shingles, of which they share at least one, and what meets there is verified on the texts.
+    Rows without id are left out; rows with the same id count as one document. Null and empty texts are alike, texts of any
+    length are read whole, other columns are not read, and an empty table has no groups.
     """
     docs = small_batches(docs).select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).where("doc_id is not null")
-    prints = _all_prints(F.col("text"), shingle_words, seed, similarity, similar_words, _frequent(docs, similar_words))
-    rows = stored(docs.select("doc_id", prints.alias("prints")).select("doc_id", "prints.*"), "fingerprints")
-    links = stored(_links(rows.select("doc_id", "fingerprint"), radius), "links")
-    return components(_similar_links(rows, docs, links, similarity, similar_words))
+    prints = docs.select("doc_id", _all_prints(F.col("text"), shingle_words, seed, similar_words).alias("prints"))
+    prints = stored(prints.select("doc_id", "prints.*"), "fingerprints")
+    links = stored(_links(prints.select("doc_id", "fingerprint"), radius), "links")
+    return components(_similar_links(docs, prints, links, similarity, similar_words))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
