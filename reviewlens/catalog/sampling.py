@@ -53,6 +53,12 @@ def shuffle_head(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.shuffle_rows(table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id", 7).limit(50)
 
 
+@register(f"SELECT doc_id, lang, row_number() OVER (ORDER BY {Q.first_of('doc_id', 7)}) AS position FROM documents")
+def shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their place in the shuffled table."""
+    return sampling.shuffled_positions(table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id", 7)
+
+
 _CHOICES = ["Semarang", "Solo", "Bali", "Kuta", "Ubud"]
 
 

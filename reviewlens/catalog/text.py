@@ -198,17 +198,19 @@ def _nearest_sql(vocabulary: str) -> str:
       vx AS MATERIALIZED (SELECT *, length(b) + unnest([-2, -1, 0, 1, 2]) AS len FROM v),
       near AS MATERIALIZED (SELECT * FROM (SELECT w.word, corrected, rank, levenshtein(w.b, vx.b) AS distance
                FROM w JOIN vx ON length(w.b) = vx.len) WHERE distance <= 2),
-      best AS (SELECT *, row_number() OVER (PARTITION BY word ORDER BY distance, rank) AS k FROM near)
+      best AS MATERIALIZED (SELECT word, arg_min(corrected, (distance, rank)) AS corrected, min(distance) AS distance FROM near GROUP BY word)
       """
 
 
+#: Cosine from which texts are similar.
+SIMILAR = 0.45
 _VOCABULARY = [*INSULTS, "other", "then", "station", "letter", "elle", "keiten", "erlich"]
 _VOCABULARY_SQL = "SELECT * FROM (VALUES " + ", ".join(f"({i}, '{w}')" for i, w in enumerate(_VOCABULARY)) + ") x(rank, word)"
 
 
 @register(
     f"""WITH {_nearest_sql(_VOCABULARY_SQL)}
-    SELECT w.word, coalesce(corrected, w.word) AS corrected, distance FROM words w LEFT JOIN best b ON w.word = b.word AND k = 1"""
+    SELECT word, coalesce(corrected, word) AS corrected, distance FROM words w LEFT JOIN best b USING (word)"""
 )
 def typo(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct words of the documents against a short word list."""
@@ -220,7 +222,7 @@ def typo(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     f"""WITH {_nearest_sql(f"SELECT word AS rank, word FROM ({_WORDS} benchmark)")}
-    SELECT w.word, coalesce(corrected, w.word) AS corrected, distance FROM words w LEFT JOIN best b ON w.word = b.word AND k = 1"""
+    SELECT word, coalesce(corrected, word) AS corrected, distance FROM words w LEFT JOIN best b USING (word)"""
 )
 def typo_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct words of the documents against all words of the benchmark texts."""
@@ -236,7 +238,7 @@ def typo_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     f"""WITH {_nearest_sql(_VOCABULARY_SQL)},
-      fixes AS (SELECT word, corrected FROM best WHERE k = 1 AND word <> corrected),
+      fixes AS (SELECT word, corrected FROM best WHERE word <> corrected),
       t AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS pos FROM
              (SELECT doc_id, regexp_extract_all(lower(text), '[{Q.WORD}]+') AS w FROM documents)),
       fixed AS (SELECT doc_id, pos, coalesce(corrected, w[pos]) AS word FROM t LEFT JOIN fixes f ON f.word = w[pos])
@@ -292,6 +294,25 @@ def cosine_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select("conv_id", "turn", F.round("cosine", 6).alias("cosine"))
 
 
+@register(
+    f"""WITH words AS (SELECT 'i' AS side, item_id AS id, unnest({Q.words('lower(text)')}) AS term FROM benchmark
+                       UNION ALL SELECT 'd', doc_id, unnest({Q.words('lower(text)')}) FROM documents),
+      tf AS (SELECT side, id, term, count(*) AS tf FROM words GROUP BY ALL),
+      norms AS (SELECT side, id, sqrt(sum(tf * tf)) AS norm FROM tf GROUP BY ALL),
+      dots AS (SELECT a.id AS item_id, b.id AS doc_id, sum(a.tf * b.tf) AS dot FROM tf a JOIN tf b
+               ON a.side = 'i' AND b.side = 'd' AND a.term = b.term GROUP BY ALL)
+    SELECT item_id, doc_id, round(dot / (x.norm * y.norm), 6) AS cosine
+    FROM dots JOIN norms x ON x.side = 'i' AND x.id = item_id JOIN norms y ON y.side = 'd' AND y.id = doc_id
+    WHERE dot / (x.norm * y.norm) >= {SIMILAR} - {similarity.ROUNDING}"""
+)
+def cosine_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose words resemble those of a benchmark item."""
+    side = lambda name, key: table(spark, sf_dir, name).select(key, T.split_words(F.lower("text")).alias("w"))
+    items, docs = side("benchmark", "item_id"), side("documents", "doc_id")
+    found = similarity.cosine_join(items, docs, SIMILAR, "item_id", "doc_id", "w", "w")
+    return found.select("item_id", "doc_id", F.round("cosine", 6).alias("cosine"))
+
+
 def keyword_labels_sql(source: str, key: str, aspect: str, keywords: dict[str, list[str]], tokens: str) -> str:
     """CTEs that end in ``kw (key, t, labels)``."""
     cases = " ".join(f"WHEN '{a}' THEN {['' + w for w in ws]}" for a, ws in keywords.items())

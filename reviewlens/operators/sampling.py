@@ -143,6 +143,24 @@ def shuffle_rows(df: DataFrame, id_col: str, seed: int | str) -> DataFrame:
     return df.orderBy(order_hash(seed, F.col(id_col)), id_col)
 
 
+def shuffled_positions(
+    df: DataFrame, id_col: str, seed: int | str, out: str = "position", bucket_rows: int = BUCKET_ROWS
+) -> DataFrame:
+    """``df`` with the place of each row, from 1, in the order of ``shuffle_rows``; ids must be unique.
+
+    Rows are placed inside a bucket of the hash, about ``bucket_rows`` in each whatever their number, and the counts of the
+    buckets before it are added. One window task sees a row per bucket, none sees all rows.
+    """
+    digits = max(math.ceil(math.log(max(df.count() / bucket_rows, 1), 16)), 1)
+    hashed = df.withColumn("_h", order_hash(seed, F.col(id_col))).withColumn("_bucket", F.substring("_h", 1, digits))
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    counts = hashed.groupBy("_bucket").agg(F.count("*").alias("_n"))
+    offsets = stored(counts.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")), "offsets")
+    own = F.row_number().over(Window.partitionBy("_bucket").orderBy("_h", id_col))
+    placed = null_safe_join(hashed.withColumn("_own", own), _small(offsets), ["_bucket"], "inner")
+    return placed.withColumn(out, F.col("_own") + F.col("_before")).drop("_h", "_bucket", "_own", "_before")
+
+
 def pick_index(seed: int | str, key: Column, n: int | Column) -> Column:
     """Repeatable independent choice of ``0 .. n-1`` per row."""
     number = F.conv(F.substring(order_hash(seed, key), 1, 8), 16, 10).cast("long")

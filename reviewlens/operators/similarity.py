@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from reviewlens.functions.arrays import cosine_similarity, term_counts
 from reviewlens.operators.joins import lookup_join, replace_words
 from reviewlens.session import stored
 
-
+#: Cosines this little below a threshold count as equal to it: products of square roots are not exact.
+ROUNDING = 1e-12
 
 def _piece(length: Column, number: int, pieces: int) -> tuple[Column, Column]:
     """Start (from 0) and length of a piece when ``length`` characters are cut evenly, longer pieces last."""
@@ -33,15 +34,16 @@ def index_keys(word: Column, distance: int) -> Column:
 def probe_keys(word: Column, distance: int) -> Column:
     """The keys that a vocabulary word within ``distance`` edits of ``word`` can have.
 
-    Edits touch at most ``distance`` of the pieces, so one piece is found unchanged in ``word``, shifted by
-    ``distance`` at most. The number of keys does not depend on the length of the word.
+    Edits touch at most ``distance`` of the pieces, so some piece is found unchanged in ``word``, and there is one with at most
+    as many edits before it as pieces, and with no more after it than are left. So piece ``i`` is shifted by ``i`` at most from
+    the left, and by ``distance - i`` from the right. That makes 19 keys for a distance of 2, whatever the word's length.
     """
     size, keys = F.char_length(word), []
     for other in range(-distance, distance + 1):
         length = size + other
         for i in range(distance + 1):
             at, n = _piece(length, i, distance + 1)
-            for shift in range(-distance, distance + 1):
+            for shift in range(max(-i, -other - distance + i), min(i, -other + distance - i) + 1):
                 begin = at + shift
                 piece = F.substring(word, (begin + 1).cast("int"), n.cast("int"))
                 keys.append(F.when((length > 0) & (begin >= 0) & (begin + n <= size), _key(length, i, piece)))
@@ -90,3 +92,49 @@ def correct_typos(
 def pair_cosine(pairs: DataFrame, words_a: str, words_b: str, out: str = "cosine") -> DataFrame:
     """Cosine of the bags of words of two array columns; each pair is one row."""
     return pairs.withColumn(out, cosine_similarity(term_counts(F.col(words_a)), term_counts(F.col(words_b))))
+
+
+def _terms(side: DataFrame, id_col: str, words_col: str) -> DataFrame:
+    """``(id, term, tf, square)``: the bag of words of every text, and the sum of the squares of its counts."""
+    bags = side.where(F.col(f"`{id_col}`").isNotNull()).select(F.col(f"`{id_col}`").alias("id"), term_counts(F.col(f"`{words_col}`")).alias("bag"))
+    square = F.aggregate("bag", F.lit(0).cast("long"), lambda s, e: s + e["tf"].cast("long") * e["tf"].cast("long"))
+    rows = bags.select("id", square.alias("square"), F.explode("bag").alias("e"))
+    return rows.select("id", "e.term", F.col("e.tf").cast("long").alias("tf"), "square")
+
+
+def _prefix(terms: DataFrame, frequency: DataFrame, threshold: float) -> DataFrame:
+    """The rarest terms of each text, with ``rest``, the squares of a term and all more frequent ones.
+
+    What follows the last kept term is too short for the threshold, whatever the other text holds of it.
+    """
+    ranked = lookup_join(terms, frequency, ["term"], ["id"], how="inner")
+    later = Window.partitionBy("id").orderBy("df", "term").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    ranked = ranked.withColumn("rest", F.sum(F.col("tf") * F.col("tf")).over(later))
+    return ranked.where(F.col("rest") >= threshold**2 * F.col("square") * (1 - 1e-9)).select("id", "term", "square", "rest")
+
+
+def cosine_join(
+    left: DataFrame, right: DataFrame, threshold: float, left_id: str, right_id: str, words_a: str, words_b: str
+) -> DataFrame:
+    """``(left_id, right_id, cosine)`` of all pairs whose bags of words have at least the cosine ``threshold``.
+
+    ``words_a`` and ``words_b`` are arrays; ids must be unique. Terms are ordered by rarity in both tables. Two texts that are
+    similar enough share one of the rarest terms of either, namely of those without which the rest of the text is too short
+    for the threshold. Texts meet on these only, hot terms are split, and at the first term they share what is left of both
+    bounds the product, so few pairs reach the comparison. No pair is missed. Null ids, null and empty texts match nothing.
+    """
+    if not 0 < threshold <= 1:
+        raise ValueError("threshold must be in (0, 1]")
+    terms = [stored(_terms(left, left_id, words_a), "terms"), stored(_terms(right, right_id, words_b), "terms")]
+    frequency = stored(terms[0].unionByName(terms[1]).groupBy("term").agg(F.count("*").alias("df")), "frequency")
+    one, other = (_prefix(t, frequency, threshold).select("term", F.struct("id", "square", "rest").alias(x)) for t, x in zip(terms, "ab"))
+    met = lookup_join(other, one, ["term"], ["b"], how="inner")
+    product = lambda name: F.col(f"a.{name}").cast("double") * F.col(f"b.{name}")
+    met = met.where(product("rest") >= threshold**2 * product("square") * (1 - 1e-9))
+    pairs = met.select(F.col("a.id").alias(left_id), F.col("b.id").alias("_other")).distinct()
+    for side, key, words, own in ((left, left_id, words_a, "_a"), (right, "_other", words_b, "_b")):
+        source = left_id if key == left_id else right_id
+        bags = side.select(F.col(f"`{source}`").alias(key), F.col(f"`{words}`").alias(own)).where(F.col(key).isNotNull())
+        pairs = lookup_join(pairs, bags, [key], [left_id, "_other"], how="inner")
+    found = pair_cosine(pairs, "_a", "_b").where(F.col("cosine") >= threshold - ROUNDING)
+    return found.select(left_id, F.col("_other").alias(right_id), "cosine")

@@ -1,6 +1,7 @@
 import hashlib
 import math
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -277,3 +278,68 @@ def test_both_targets_are_trained_stored_and_reported(spark, tmp_path):
     assert report.where("is_best AND label = 'accuracy'").count() == 2 and matrices.count() == 16 and errors.count() == 0
     again = load_models(str(tmp_path / "models"), "aspect", "sentiment")
     assert again["aspect"].transform(df).where("predicted <> aspect").count() == 0 and set(done) == set(again)
+
+
+@pytest.mark.parametrize("k", [1, 2, 3])
+def test_probe_keys_miss_no_near_word(spark, k):
+    draw = random.Random(k)
+    pairs = []
+    for _ in range(600):
+        word = "".join(draw.choices("ab", k=draw.randint(1, 9)))
+        other = list(word)
+        for _ in range(draw.randint(0, k)):
+            at = draw.randint(0, len(other))
+            kind = draw.randrange(3)
+            if kind == 0:
+                other.insert(at, draw.choice("ab"))
+            elif at < len(other):
+                other[at : at + 1] = [] if kind == 1 else [draw.choice("ab")]
+        pairs.append((word, "".join(other)))
+    df = spark.createDataFrame(pairs, "known string, word string").where("length(known) > 0 and length(word) > 0")
+    met = F.arrays_overlap(similarity.index_keys(F.col("known"), k), similarity.probe_keys(F.col("word"), k))
+    assert df.where(F.levenshtein("known", "word") <= k).where(~met).count() == 0
+
+
+def bags(n, seed):
+    """Texts of few frequent and many rare words, with near copies, empty ones and a null."""
+    draw = random.Random(seed)
+    words = [f"w{k}" for k in range(200)]
+    rows = [(i, draw.choices(words, [1 / (k + 1) for k in range(200)], k=draw.randint(1, 25))) for i in range(n)]
+    rows += [(n + i, rows[i][1][: draw.randint(1, 25)] + draw.choices(words, k=2)) for i in range(n // 4)]
+    return rows + [(5000, []), (5001, None), (None, ["w0"])]
+
+
+def cosine_by_hand(a, b):
+    x, y = Counter(a), Counter(b)
+    dot = sum(x[w] * y[w] for w in x)
+    return dot / math.sqrt(sum(v * v for v in x.values()) * sum(v * v for v in y.values())) if dot else 0.0
+
+
+@pytest.mark.parametrize("threshold", [0.2, 0.6, 0.9])
+def test_cosine_join_equals_all_pairs(spark, threshold):
+    left, right = bags(80, 1), bags(80, 2) + bags(80, 1)[:20]
+    right = [(None if i is None else 100 + n, w) for n, (i, w) in enumerate(right)]
+    want = {(i, j): cosine_by_hand(a, b) for i, a in left for j, b in right if a and b and i is not None and j is not None}
+    want = {p: c for p, c in want.items() if c >= threshold - similarity.ROUNDING}
+    one = spark.createDataFrame([(*r, 1) for r in left], "a_id long, words array<string>, term int")
+    other = spark.createDataFrame([(*r, 1) for r in right], "b_id long, words array<string>, df int")
+    got = similarity.cosine_join(one, other, threshold, "a_id", "b_id", "words", "words")
+    assert got.columns == ["a_id", "b_id", "cosine"]
+    found = {(r["a_id"], r["b_id"]): r["cosine"] for r in got.collect()}
+    assert set(found) == set(want) and len(want) > 10 and all(abs(found[p] - want[p]) < 1e-9 for p in want)
+    assert similarity.cosine_join(one.limit(0), other, threshold, "a_id", "b_id", "words", "words").count() == 0
+
+
+def test_cosine_join_refuses_thresholds_without_a_bound(spark):
+    df = spark.createDataFrame([(1, ["a"])], "id long, w array<string>")
+    with pytest.raises(ValueError):
+        similarity.cosine_join(df, df, 0.0, "id", "id", "w", "w")
+
+
+@pytest.mark.parametrize("bucket_rows", [10_000, 3])
+def test_shuffled_positions(spark, bucket_rows):
+    df = spark.range(500).withColumnRenamed("id", "doc_id")
+    placed = sampling.shuffled_positions(df, "doc_id", 7, bucket_rows=bucket_rows).orderBy("position").collect()
+    want = sorted(range(500), key=lambda i: (hashlib.md5(f"7:{i}".encode()).hexdigest(), i))
+    assert [(r["doc_id"], r["position"]) for r in placed] == [(i, n) for n, i in enumerate(want, 1)]
+    assert sampling.shuffled_positions(df.limit(0), "doc_id", 7).count() == 0
