@@ -290,7 +290,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, similarity: float, words: int)
     joined = pairs
     for side in ("a", "b"):
         table = texts.select(F.col("doc_id").alias(side), F.col("text").alias(f"_{side}"))
-        joined = lookup_join(joined, table, [side], ["a", "b"], how="inner")
+        joined = lookup_join(joined, table, [side], ["a", "b"], how="inner", max_rows=0)  # texts: no need to measure them
     alike = stored(joined.where(_alike(words, similarity, "_a", "_b")).select("a", "b"), "alike")
     share = alike.count() / max(pairs.count(), 1)
     discard(texts, pairs)

@@ -11,8 +11,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from reviewlens.functions.arrays import let
 from reviewlens.operators.joins import salted_lookup
 
-#: Days per bin of the interval join.
-BIN_DAYS = 32
 HOST = r"^(?i:[a-z][a-z0-9+.-]*)://(?:[^/?#@]*@)?([^/:?#]+)"
 PATH = r"^[^/?#]*//[^/?#]*/([^?#]*)"
 
@@ -62,24 +60,19 @@ def intervals(entries: DataFrame) -> DataFrame:
     return rows.where("action <> 'remove'")
 
 
-def active_on(wanted: DataFrame, valid: DataFrame, bin_days: int = BIN_DAYS) -> DataFrame:
+def active_on(wanted: DataFrame, valid: DataFrame) -> DataFrame:
     """As-of join: rows of ``wanted`` (``key``, ``day``, ...) with the interval of ``valid`` that holds that day.
 
-    Intervals are cut into bins, so a day meets those of its bin only and not all of its key.
+    Both sides in the order of the days, each day takes the last interval that has begun, if that has not ended. Rows of
+    ``wanted`` must be distinct by key and day: then a key has at most two rows per day of the calendar, however often it is
+    captured, and a date far off adds one row.
     """
-    number = lambda day: F.floor(F.unix_date(day) / bin_days)
-    span = wanted.agg(F.min("day").alias("first"), F.max("day").alias("last")).first()
-    if span["last"] is None:
-        valid = valid.limit(0)
-    first, last = F.lit(span["first"]).cast("date"), F.lit(span["last"]).cast("date")
-    ends = F.least(F.date_sub("until", 1), last)
-    valid = valid.where((F.col("since") <= last) & (F.col("until").isNull() | (F.col("until") > first)))
-    begins = F.greatest("since", first)
-    valid = valid.withColumn("_bin", F.explode(F.sequence(number(begins), number(ends)))).withColumnRenamed("key", "_key")
-    wanted = wanted.withColumn("_bin_w", number(F.col("day")))
-    within = (F.col("day") >= F.col("since")) & (F.col("until").isNull() | (F.col("day") < F.col("until")))
-    joined = wanted.join(valid, (F.col("key") == F.col("_key")) & (F.col("_bin_w") == F.col("_bin")) & within)
-    return joined.drop("_key", "_bin", "_bin_w", "until")
+    begun = valid.select("key", F.col("since").alias("day"), F.lit(0).alias("_turn"), F.struct("since", "until", "action", "category").alias("_own"))
+    both = wanted.withColumn("_turn", F.lit(1)).unionByName(begun, allowMissingColumns=True)
+    so_far = Window.partitionBy("key").orderBy("day", "_turn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = both.withColumn("_entry", F.last("_own", ignorenulls=True).over(so_far)).where("_turn = 1 and _entry is not null")
+    found = found.where("_entry.until is null or day < _entry.until")
+    return found.select(*wanted.columns, "_entry.since", "_entry.action", "_entry.category")
 
 
 def judge_urls(captures: DataFrame, entries: DataFrame, url_col: str = "url", day_col: str = "day") -> DataFrame:

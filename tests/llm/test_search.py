@@ -161,3 +161,16 @@ def test_entries_active_on_the_day_decide(spark, seed):
     assert judge_urls(pages.limit(0), list_df).count() == 0
     assert judge_urls(pages, list_df.limit(0)).where("blocked").count() == 0
     assert derived_entries(pages).where("day is null").count() == 0
+
+
+def test_a_capture_far_off_changes_nothing_else(spark):
+    day = datetime.date
+    keys = [f"h{n}.example.com" for n in range(400)]
+    entries = spark.createDataFrame([(k, day(2024, 1, 1 + n % 28), "block", "a") for n, k in enumerate(keys)], "key string, day date, action string, category string")
+    rows = [(f"https://{k}/x", day(2024, 1, 15)) for k in keys]
+    far = [("https://h1.example.com/x", day(9999, 12, 31)), ("https://h1.example.com/x", day(1, 1, 1))]
+    judged = lambda r: sorted(tuple(x) for x in judge_urls(spark.createDataFrame(r, "url string, day date"), entries).collect())
+    with_far = judged(rows + far)
+    assert [x for x in with_far if x[1].year == 2024] == judged(rows)
+    assert sorted((x[1].year, x[2]) for x in with_far if x[1].year != 2024) == [(1, False), (9999, True)]
+    assert sum(x[2] for x in judged(rows)) == sum(1 + n % 28 <= 15 for n in range(400))
