@@ -154,6 +154,12 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def whole_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The token corpus of every turn."""
+    return plans.label_sentences(_wrapped(spark, sf_dir), "doc_id", "text", "role", TURN_KEYWORDS)
+
+
+TOKEN_LABELS = _corpus_sql(TURNS)
 SAMPLED = f"(SELECT * FROM {TURNS} ORDER BY {Q.first_of('doc_id')} LIMIT 400)"
 
 

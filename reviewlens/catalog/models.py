@@ -7,16 +7,17 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reviewlens.catalog import sql as Q
-from reviewlens.catalog.corpora import corpus
+from reviewlens.catalog.corpora import TOKEN_LABELS, corpus, whole_corpus
 from reviewlens.catalog.registry import SEED, SLANG, STOPWORDS, labelled, register, table, turns
 from reviewlens.functions import bio as B, text as T
 from reviewlens.operators.classifier import fit_classifier, logistic_regression
 from reviewlens.operators.features import TfidfStages, class_weights
+from reviewlens.operators.joint_tagger import certificate, fit_joint_tagger
 from reviewlens.operators.sampling import stratified_split
 from reviewlens.operators.tagger import Tagger, decode_paths, fit_tagger, tag_tokens, token_probabilities
 from reviewlens.plans.scoring import analyse_reviews, prediction_counts, score_reviews, tag_reviews
 from reviewlens.plans.training import train_and_evaluate, train_tagger
-from reviewlens.session import shared_dir
+from reviewlens.session import shared_dir, stored
 from reviewlens.sources.writers import load_models, save_models, write_tagger_report
 from reviewlens.streaming.scoring import read_arriving, score_stream
 
@@ -215,6 +216,22 @@ def tagger_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entities.unionByName(whole)
 
 
+@register()
+def joint_tagger_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``tagger_report``, with emissions and transitions trained as one model."""
+    return train_tagger(corpus(spark, sf_dir), "doc_id", fit=fit_joint_tagger).report
+
+
+@register(f"SELECT label, count(*) AS tokens, 0.0::DOUBLE AS largest FROM ({TOKEN_LABELS}) GROUP BY label")
+def tagger_certificate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The jointly trained tagger is at its optimum: no subgradient of a label's weights over the whole corpus is above 0."""
+    sentences = stored(whole_corpus(spark, sf_dir), "corpus")
+    tagger = fit_joint_tagger(sentences, c1=0.1, c2=0.1, tol=2e-4, max_iter=300)
+    proof = certificate(sentences, tagger, 0.1, 0.1)
+    # Adding 0 turns a rounded -0.0 into 0.0.
+    return proof.select("label", "tokens", (F.round("largest", 3) + 0.0).alias("largest"))
+
+
 @register()
 def analysed_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes and entities of every turn from one call."""

@@ -63,6 +63,9 @@ class Tagger:
         state = json.loads(spark.read.text(f"{path}/labels").first()["value"])
         return cls(PipelineModel.load(f"{path}/emissions"), **state)
 
+    def tag(self, df: DataFrame, id_col: str, tokens: str) -> DataFrame:
+        return tag_tokens(df, id_col, tokens, self)
+
 
 def fit_tagger(
     sentences: DataFrame,

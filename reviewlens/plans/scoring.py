@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, functions as F
 from reviewlens.functions import bio, text as T
 from reviewlens.functions.fixed_values import SLANG, STOPWORDS
 from reviewlens.operators.labels import require_columns
-from reviewlens.operators.tagger import Tagger, tag_tokens
+from reviewlens.operators.joint_tagger import JointTagger
+from reviewlens.operators.tagger import Tagger
 
 
 def score_reviews(
@@ -41,17 +42,17 @@ def prediction_counts(scored: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def analyse_reviews(
-    df: DataFrame, id_col: str, models: Mapping[str, PipelineModel], tagger: Tagger, text: str = "text", **options
+    df: DataFrame, id_col: str, models: Mapping[str, PipelineModel], tagger: Tagger | JointTagger, text: str = "text", **options
 ) -> DataFrame:
     """Classes and entities of every review in one table; ids must be unique."""
     tagged = tag_reviews(df, id_col, tagger, text)
     return score_reviews(df, models, text, **options).join(tagged, id_col, "left")
 
 
-def tag_reviews(df: DataFrame, id_col: str, tagger: Tagger, text: str = "text") -> DataFrame:
+def tag_reviews(df: DataFrame, id_col: str, tagger: Tagger | JointTagger, text: str = "text") -> DataFrame:
     """``(id, tokens, labels, entities, highlighted)`` of the raw text."""
     tokens = df.select(id_col, bio.ner_tokenize(F.col(text)).alias("tokens"))
-    tagged = tag_tokens(tokens, id_col, "tokens", tagger)
+    tagged = tagger.tag(tokens, id_col, "tokens")
     return tagged.withColumn("entities", bio.bio_decode(F.col("tokens"), F.col("labels"))).withColumn(
         "highlighted", bio.highlight(F.col("tokens"), F.col("labels"))
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -14,7 +14,8 @@ from reviewlens.operators import evaluation as ev
 from reviewlens.operators.classifier import LEARNERS, fit_classifier, quoted
 from reviewlens.operators.features import TfidfStages
 from reviewlens.operators.sampling import random_split, stratified_split
-from reviewlens.operators.tagger import Tagger, fit_tagger, tag_tokens
+from reviewlens.operators.joint_tagger import JointTagger
+from reviewlens.operators.tagger import Tagger, fit_tagger
 from reviewlens.session import stored
 from reviewlens.sources.writers import save_models, write_evaluation
 
@@ -119,20 +120,26 @@ def train_both(
 
 @dataclass(frozen=True)
 class TrainedTagger:
-    tagger: Tagger
+    tagger: Tagger | JointTagger
     report: DataFrame
     accuracy: DataFrame
     errors: DataFrame
 
 
 def train_tagger(
-    corpus: DataFrame, id_col: str, fraction: float = TEST_FRACTION, seed: int = SEED, n_errors: int = 5, **fit_options
+    corpus: DataFrame,
+    id_col: str,
+    fraction: float = TEST_FRACTION,
+    seed: int = SEED,
+    n_errors: int = 5,
+    fit: Callable[..., Tagger | JointTagger] = fit_tagger,
+    **fit_options,
 ) -> TrainedTagger:
-    """Split by sentence, fit, and report entity labels without ``O``."""
+    """Split by sentence, fit (``fit_joint_tagger`` trains emissions and transitions as one), and report entity labels without ``O``."""
     split = stored(random_split(stored(corpus, "corpus"), fraction, id_col, seed), "split")
     train, test = split.where("NOT is_test"), split.where("is_test")
-    tagger = fit_tagger(train, **fit_options)
-    predicted = tag_tokens(test, id_col, "tokens", tagger).select(id_col, F.col("labels").alias("predicted"))
+    tagger = fit(train, **fit_options)
+    predicted = tagger.tag(test, id_col, "tokens").select(id_col, F.col("labels").alias("predicted"))
     tokens = ev.token_pairs(test.join(predicted, id_col), id_col, "tokens", "labels", "predicted")
     tokens = stored(tokens, "tokens")
     counts = ev.confusion_counts(tokens, "actual", "predicted")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from reviewlens.operators.joint_tagger import JointTagger
 from reviewlens.operators.tagger import Tagger
 from reviewlens.plans.scoring import score_reviews, tag_reviews
 
@@ -52,7 +53,7 @@ def score_stream(
 
 
 def tag_stream(
-    stream: DataFrame, id_col: str, tagger: Tagger, sink: str, checkpoint: str, text: str = "text"
+    stream: DataFrame, id_col: str, tagger: Tagger | JointTagger, sink: str, checkpoint: str, text: str = "text"
 ) -> StreamingQuery:
     """Append token labels, entities and highlighted texts to Parquet; stateless as well."""
     return _append(tag_reviews(stream, id_col, tagger, text), sink, checkpoint)
