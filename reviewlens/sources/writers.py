@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -47,10 +49,36 @@ def write_tagger_report(path: str, report: DataFrame, accuracy: DataFrame) -> No
     accuracy.write.mode("overwrite").json(f"{path}/accuracy")
 
 
+_MANIFEST = "version long, folder string, names array<string>"
+
+
+def _saved(spark: SparkSession, path: str) -> DataFrame:
+    spark.createDataFrame([], _MANIFEST).write.mode("append").json(f"{path}/manifest")  # makes the folder, adds no row
+    return spark.read.schema(_MANIFEST).json(f"{path}/manifest")
+
+
 def save_models(path: str, **models: PipelineModel) -> None:
+    """All models as one new version below ``path``, all or none.
+
+    Every version has a folder of its own. The manifest names it once all its models are written, by the move of one file,
+    so a job that dies half-way leaves the version before it in use. Older versions stay until they are deleted.
+    """
+    spark = SparkSession.active()
+    folder = f"versions/{uuid.uuid4().hex}"
     for name, model in models.items():
-        model.write().overwrite().save(f"{path}/{name}")
+        model.write().save(f"{path}/{folder}/{name}")
+    last = _saved(spark, path).agg(F.max("version")).first()[0] or 0
+    row = spark.createDataFrame([(last + 1, folder, list(models))], _MANIFEST)
+    row.coalesce(1).write.mode("append").json(f"{path}/manifest")
 
 
 def load_models(path: str, *names: str) -> dict[str, PipelineModel]:
-    return {name: PipelineModel.load(f"{path}/{name}") for name in names}
+    """The named models, or all, of the last whole version that ``save_models`` left."""
+    versions = _saved(SparkSession.active(), path).orderBy(F.desc("version"), F.desc("folder"))
+    last = versions.first()
+    if last is None:
+        raise FileNotFoundError(f"no whole version of models below {path}")
+    missing = sorted(set(names) - set(last["names"]))
+    if missing:
+        raise KeyError(f"models not in the last version: {', '.join(missing)}")
+    return {name: PipelineModel.load(f"{path}/{last['folder']}/{name}") for name in names or last["names"]}

@@ -88,6 +88,34 @@ def test_models_survive_storage_and_streams(spark, tmp_path):
     assert os.path.isdir(tmp_path / "state")
 
 
+def test_a_bundle_is_whole_or_not_there(spark):
+    def model(word):
+        train = spark.createDataFrame([(word, "p"), ("kotor", "n")] * 4, "t string, y string")
+        return fit_classifier(train, "y", text="t", out="found")
+
+    class Broken:
+        def write(self):
+            raise OSError("disk full")
+
+    def labels(models):
+        texts = spark.createDataFrame([("bersih",), ("wangi",)], "t string")
+        return {name: [r["found"] for r in m.transform(texts).collect()] for name, m in models.items()}
+
+    path, old, new = shared_dir(spark, "models"), model("bersih"), model("wangi")
+    with pytest.raises(OSError):
+        W.save_models(path, a=old, b=Broken())
+    with pytest.raises(FileNotFoundError):
+        W.load_models(path)
+    W.save_models(path, a=old, b=old)
+    with pytest.raises(OSError):
+        W.save_models(path, a=new, b=Broken())
+    assert labels(W.load_models(path)) == labels({"a": old, "b": old})
+    W.save_models(path, a=new, b=old)
+    assert labels(W.load_models(path, "a", "b")) == labels({"a": new, "b": old})
+    with pytest.raises(KeyError):
+        W.load_models(path, "c")
+
+
 def R_load(path):
     return W.load_models(path, "sentiment")
 
