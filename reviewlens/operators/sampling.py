@@ -38,8 +38,9 @@ def mark_first(
 ) -> DataFrame:
     """Add a boolean column: is the row among the first ``quota`` rows of its group.
 
-    ``quota`` is a number or a table of ``groups`` and ``take``. Ids must be unique. Prefixes grow by ``digits``
-    until the bucket of every group that holds the cut has at most ``bucket_rows`` rows.
+    ``quota`` is a number or a table of ``groups`` and ``take``. Prefixes grow by ``digits`` until the bucket of
+    every group that holds the cut has at most ``bucket_rows`` rows. Where rows repeat the id at the cut, as many of them as
+    the quota leaves are taken, in the order of their content; only these are looked at again.
     """
     groups = list(groups)
     ranked = df.select(id_col, *groups, order_hash(seed, F.col(id_col)).alias("_h"))
@@ -64,22 +65,50 @@ def mark_first(
         if length == HASH_DIGITS or not (cut.agg(F.max("_n")).first()[0] or 0) > bucket_rows:
             break
 
+    # One row per id, however often it occurs.
     in_bucket = Window.partitionBy(*(groups or [F.lit(0)])).orderBy("_h", id_col)
+    ids = near.groupBy(*groups, "_h", id_col).agg(F.count("*").alias("_n")).withColumn("_upto", F.sum("_n").over(in_bucket))
+    at_cut = (F.col("_upto") >= F.col("_need")) & (F.col("_upto") - F.col("_n") < F.col("_need"))
     limits = (
-        null_safe_join(near.withColumn("_rank", F.row_number().over(in_bucket)), _small(cut.select(*groups, "_need")), groups, "inner")
-        .where(F.col("_rank") == F.col("_need"))
-        .select(*groups, F.struct(F.col("_h"), F.col(id_col).alias("_id")).alias("_limit"))
+        null_safe_join(ids, _small(cut.select(*groups, "_need")), groups, "inner")
+        .where(at_cut)
+        .select(
+            *groups,
+            F.struct(F.col("_h"), F.col(id_col).alias("_id")).alias("_limit"),
+            (F.col("_need") - F.col("_upto") + F.col("_n")).alias("take"),
+            (F.col("_upto") - F.col("_need")).alias("_over"),
+        )
     )
+    limits = stored(limits, "limits")
+    torn = limits.where("_over > 0").limit(1).count() > 0
     own = F.struct(order_hash(seed, F.col(id_col)).alias("_h"), F.col(id_col).alias("_id"))
     if groups:
-        df, limit = lookup_join(df, stored(limits, "limits"), groups, [id_col]), F.col("_limit")
+        df, limit = lookup_join(df, limits.drop("take", "_over"), groups, [id_col]), F.col("_limit")
     else:
         found = limits.first()
         limit = F.lit(None)
         if found:
             last = F.lit(found["_limit"]["_id"]).cast(df.schema[id_col].dataType)
             limit = F.struct(F.lit(found["_limit"]["_h"]).alias("_h"), last.alias("_id"))
-    return df.withColumn(flag, F.coalesce(own <= limit, F.lit(False))).drop("_limit")
+    if not torn:
+        return df.withColumn(flag, F.coalesce(own <= limit, F.lit(False))).drop("_limit")
+    here = F.coalesce(own == limit, F.lit(False))
+    others = df.where(~here).withColumn(flag, F.coalesce(own < limit, F.lit(False))).drop("_limit")
+    return others.unionByName(_mark_copies(df.where(here).drop("_limit"), groups, limits, seed, flag))
+
+
+def _mark_copies(rows: DataFrame, groups: list[str], limits: DataFrame, seed: int | str, flag: str) -> DataFrame:
+    """Mark the first ``take`` rows of each group, whose rows share an id, by their content.
+
+    Rows of equal content can only be told apart by their place in a stored copy, which is then as good as any.
+    """
+    if "_content" in rows.columns:
+        key, added = "_place", F.monotonically_increasing_id()
+    else:
+        key, added = "_content", F.md5(F.to_json(F.struct(*rows.columns)))
+    held = stored(stored(rows, "copies").withColumn(key, added), "copies")
+    take = limits.select(*groups, "take") if groups else int(limits.first()["take"])
+    return mark_first(held, key, groups, take, seed, flag).drop(key)
 
 
 def _small(table: DataFrame) -> DataFrame:

@@ -343,3 +343,21 @@ def test_shuffled_positions(spark, bucket_rows):
     want = sorted(range(500), key=lambda i: (hashlib.md5(f"7:{i}".encode()).hexdigest(), i))
     assert [(r["doc_id"], r["position"]) for r in placed] == [(i, n) for n, i in enumerate(want, 1)]
     assert sampling.shuffled_positions(df.limit(0), "doc_id", 7).count() == 0
+
+
+def test_exact_sizes_with_repeated_ids(spark, monkeypatch):
+    """Ids occur up to 900 times, some rows are the same in every column, and one id is null."""
+    rows = [(7, "hot", i % 450) for i in range(900)] + [(i % 5, "cold", i) for i in range(40)] + [(None, "hot", 1), (3, None, 1)]
+    df = spark.createDataFrame(rows, "id long, g string, v long").coalesce(1)
+    for n in (3, 500):
+        assert sampling.sample_exact(df, n, "id", 1).count() == n
+    split = sampling.random_split(df, 0.2, "id", 1)
+    assert split.columns == [*df.columns, "is_test"]
+    found = sorted(map(repr, split.collect()))
+    assert sum("is_test=True" in r for r in found) == math.ceil(942 * 0.2)
+    assert sorted(map(repr, split.drop("is_test").collect())) == sorted(map(repr, df.collect()))
+    assert sorted(map(repr, sampling.random_split(df.repartition(3), 0.2, "id", 1).collect())) == found
+    for module in (joins, sampling):
+        monkeypatch.setattr(module, "bounded", lambda *_: None)
+    capped = sampling.cap_per_group(df, ["g"], 25, "id", 7)
+    assert {r["g"]: r["count"] for r in capped.groupBy("g").count().collect()} == {"hot": 25, "cold": 25, None: 1}
