@@ -160,6 +160,19 @@ def whole_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 TOKEN_LABELS = _corpus_sql(TURNS)
+
+
+@register(
+    f"""SELECT doc_id, string_agg(token, ' ' ORDER BY pos) AS tokens, string_agg(label, ' ' ORDER BY pos) AS labels
+    FROM ({TOKEN_LABELS}) GROUP BY doc_id"""
+)
+def sentence_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token rows gathered into sentences, and the tokens and labels of each."""
+    found = sentences(plans.bio_table(whole_corpus(spark, sf_dir), "doc_id"))
+    lists = {"tokens": B.tokens_of(F.col("sentence")), "labels": B.labels_of(F.col("sentence"))}
+    return found.select("doc_id", *[F.array_join(x, " ").alias(name) for name, x in lists.items()])
+
+
 SAMPLED = f"(SELECT * FROM {TURNS} ORDER BY {Q.first_of('doc_id')} LIMIT 400)"
 
 

@@ -33,6 +33,16 @@ def sample_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.sample_exact(table(spark, sf_dir, "documents").select("doc_id", "lang"), 400, "doc_id", SEED)
 
 
+@register(
+    f"""SELECT l_orderkey, count(*) AS n FROM (SELECT l_orderkey FROM lineitem ORDER BY {Q.first_of('l_orderkey')} LIMIT 1001)
+    GROUP BY l_orderkey"""
+)
+def sample_repeated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exactly 1,001 lines although lines share the id of their order: the last order is taken in part."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    return sampling.sample_exact(lines, 1001, "l_orderkey", SEED).groupBy("l_orderkey").agg(F.count("*").alias("n"))
+
+
 @register(f"WITH {Q.stratified('documents', 'lang', 'doc_id')} SELECT doc_id, lang, is_test FROM split")
 def stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
