@@ -10,8 +10,8 @@ from reviewlens.catalog.text import keyword_labels_sql
 from reviewlens.functions import bio as B
 from reviewlens.plans.corpora import bio_table
 from reviewlens.session import shared_dir
-from reviewlens.sources.readers import read_bio_tsv, read_labelled_raw, read_reviews
-from reviewlens.sources.writers import write_bio_tsv, write_csv
+from reviewlens.sources.readers import read_bio_sentences, read_bio_tsv, read_labelled_raw, read_reviews, sentences
+from reviewlens.sources.writers import write_bio_sentences, write_bio_tsv, write_csv
 
 
 @register(
@@ -49,3 +49,19 @@ def bio_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "bio-roundtrip")
     write_bio_tsv(bio_table(tagged, "doc_id"), path)
     return read_bio_tsv(spark, path).withColumn("pos", F.col("pos").cast("long"))
+
+
+@register(
+    f"""WITH {keyword_labels_sql('documents', 'doc_id', 'lang', KEYWORDS, Q.tokens('text'))}
+    SELECT array_to_string(t, ' ') AS tokens, array_to_string(labels, ' ') AS labels, count(*) AS sentences
+    FROM kw WHERE len(t) > 0 GROUP BY ALL"""
+)
+def bio_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The token table in files whose sentences use the same ten ids again and again; blank lines tell them apart."""
+    docs = table(spark, sf_dir, "documents").withColumn("tokens", B.ner_tokenize(F.col("text")))
+    tagged = docs.withColumn("labels", B.keyword_bio_tag(F.col("tokens"), F.col("lang"), KEYWORDS))
+    path = shared_dir(spark, "bio-sentences")
+    write_bio_sentences(tagged.withColumn("doc_id", F.col("doc_id") % 10), path)
+    found = sentences(read_bio_sentences(spark, path)).select("sentence.token", "sentence.label")
+    found = found.select(F.array_join("token", " ").alias("tokens"), F.array_join("label", " ").alias("labels"))
+    return found.groupBy("tokens", "labels").agg(F.count("*").alias("sentences"))

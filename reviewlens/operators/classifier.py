@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, NaiveBayes, NaiveBayesModel
 from pyspark.ml.feature import IndexToString, SQLTransformer, StringIndexerModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from reviewlens.functions.text import WORD
@@ -109,3 +111,54 @@ def fit_classifier(
         f"THEN {quoted(f'{out}_name')} END AS {quoted(out)} FROM __THIS__"
     )
     return PipelineModel([*features.stages, model, names, finish])
+
+
+def certificate(train: DataFrame, label: str, model: PipelineModel, out: str = "prediction", c: float = 1.0) -> DataFrame:
+    """``(label, n, start, largest)``: whether a fitted logistic regression ended at its optimum.
+
+    The gradient of the penalised loss is computed over all of ``train`` for every class and weight, the intercepts
+    included. ``start`` is its largest entry at weights of zero, ``largest`` what is left of it at the fitted weights;
+    at the optimum of this convex problem that is zero. One aggregation, over at most classes times features groups.
+    """
+    train = train.where(F.col(label).isNotNull())
+    fitted, names = model.stages[-3], model.stages[-2].getLabels()
+    n = {str(r[label]): (r["n"], r["weight"]) for r in class_weights(train, label).limit(MAX_CLASSES).collect()}  # as many as were fitted
+    total = sum(rows * weight for rows, weight in n.values())
+    penalty = 1.0 / (c * max(sum(rows for rows, _ in n.values()), 1))
+    scored = PipelineModel(model.stages[:-2]).transform(train)
+    n_classes = len(names)
+    weight_of = F.create_map(*[F.lit(x) for name, (_, weight) in n.items() for x in (name, weight)])
+    actual = F.col(label).cast("string")
+    vector = F.unwrap_udt(f"{out}_features")  # sparse vectors carry the places of their values
+    slots = F.coalesce(vector["indices"], F.sequence(F.lit(0), F.size(vector["values"]) - 1))
+    cells = F.concat(  # slot -1 is the intercept
+        F.array(F.struct(F.lit(-1).alias("slot"), F.lit(1.0).alias("x"))),
+        F.arrays_zip(slots.alias("slot"), vector["values"].alias("x")),
+    )
+    rows = scored.select(
+        vector_to_array(F.col(f"{out}_prob")).alias("_p"),
+        F.array(*[(actual == name).cast("double") for name in names]).alias("_y"),
+        F.element_at(weight_of, actual).alias("_w"),
+        F.inline(cells),
+    )
+    error = lambda p: F.sum(F.col("_w") * F.col("x") * p) / total
+    sums = rows.groupBy("slot").agg(
+        *[error(F.get("_p", F.lit(k)) - F.get("_y", F.lit(k))).alias(f"g{k}") for k in range(n_classes)],
+        *[error(F.lit(1.0 / n_classes) - F.get("_y", F.lit(k))).alias(f"s{k}") for k in range(n_classes)],
+    )
+    matrix = fitted.coefficientMatrix.toArray()
+    if len(matrix) < n_classes:  # two classes share one row of weights, with opposite signs
+        matrix = np.vstack([-matrix[0], matrix[0]])
+    fields = ", ".join(f"w{k} double" for k in range(n_classes))
+    numbers = [(slot, *map(float, column)) for slot, column in enumerate(matrix.T)]
+    spark = train.sparkSession
+    weights = spark.createDataFrame([(-1, *[0.0] * n_classes), *numbers], f"slot int, {fields}")
+    left = weights.join(sums, "slot", "left").agg(
+        *[F.max(F.abs(F.coalesce(f"g{k}", F.lit(0.0)) + penalty * F.col(f"w{k}"))).alias(f"g{k}") for k in range(n_classes)],
+        *[F.max(F.abs(f"s{k}")).alias(f"s{k}") for k in range(n_classes)],
+    )
+    per_class = [
+        F.struct(F.lit(name).alias("label"), F.lit(n[name][0]).cast("long").alias("n"), F.col(f"s{k}").alias("start"), F.col(f"g{k}").alias("largest"))
+        for k, name in enumerate(names)
+    ]
+    return left.select(F.inline(F.array(*per_class)))

@@ -86,6 +86,43 @@ def read_bio_tsv(spark: SparkSession, path: str, with_pos: bool = True) -> DataF
     return rows.select("doc_id", (F.row_number().over(in_sentence) - 1).alias("pos"), "token", "label")
 
 
+def read_bio_sentences(spark: SparkSession, path: str) -> DataFrame:
+    """Token table ``(doc_id, pos, token, label)`` of files whose blank lines end the sentences.
+
+    The ids in the files are ignored, so files that use the same ids can be read together: ``doc_id`` numbers
+    the sentences in the order of the files' paths, with gaps where blank lines follow each other. The end of a file ends its last sentence. Lines of other
+    than three fields, the header among them, are skipped and end nothing.
+
+    A file is read in blocks. The blank lines of every block are counted first; what the blocks before it hold is
+    added to the running count inside a block, so no file is gathered or sorted as a whole.
+    """
+    block = ("file", "start")
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("row"),
+        F.split(strip_spaces(F.col("value")), "\t").alias("_f"),
+    )
+    lines = lines.withColumn("_blank", (F.array_join("_f", "") == "").cast("long"))
+    by_block = lines.groupBy(*block).agg(F.sum("_blank").alias("_blanks"))
+    # One row per block, then one per file: small whatever the files hold.
+    before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    by_file = by_block.groupBy("file").agg((F.sum("_blanks") + 1).alias("_ends"))
+    earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    by_file = by_file.select("file", F.coalesce(F.sum("_ends").over(earlier), F.lit(0)).alias("_first"))
+    offsets = by_block.withColumn("_before", F.coalesce(F.sum("_blanks").over(before), F.lit(0)))
+    offsets = offsets.join(by_file, "file").select(*block, (F.col("_first") + F.col("_before")).alias("_offset"))
+    in_block = Window.partitionBy(*block).orderBy("row")
+    kept = lines.withColumn("_ended", F.sum("_blank").over(in_block.rowsBetween(Window.unboundedPreceding, 0)))
+    kept = kept.where((F.size("_f") == 3) & (F.get("_f", F.lit(0)) != "sentence_id")).join(offsets, list(block))
+    rows = kept.select(
+        (F.col("_offset") + F.col("_ended")).alias("_n"), *block, "row",
+        F.get("_f", F.lit(1)).alias("token"), F.get("_f", F.lit(2)).alias("label"),
+    )
+    in_sentence = Window.partitionBy("_n").orderBy("start", "row")
+    return rows.select(F.col("_n").alias("doc_id"), (F.row_number().over(in_sentence) - 1).alias("pos"), "token", "label")
+
+
 def sentences(rows: DataFrame) -> DataFrame:
     """``(doc_id, sentence)`` with the ordered ``array<struct<pos,token,label>>`` of each sentence."""
     return rows.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("pos", "token", "label"))).alias("sentence"))

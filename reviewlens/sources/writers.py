@@ -31,6 +31,18 @@ def write_bio_tsv(rows: DataFrame, path: str) -> None:
     )
 
 
+def write_bio_sentences(sentences: DataFrame, path: str) -> None:
+    """Rows ``(doc_id, tokens, labels)`` as lines ``id, token, label`` with a blank line after every sentence.
+
+    Sentences stay where they are; nothing is shuffled or sorted. A null id
+    is written as ``-``. A sentence without tokens writes one blank line.
+    """
+    sentence = F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))
+    line = lambda t, y: F.concat_ws("\t", sentence, t, y)
+    lines = F.transform(F.zip_with("tokens", "labels", line), lambda x: F.concat(x, F.lit("\n")))
+    sentences.select(F.array_join(lines, "").alias("value")).write.mode("overwrite").text(path)
+
+
 def write_report(report: DataFrame, path: str) -> None:
     """Metric rows of every candidate as JSON lines."""
     report.write.mode("overwrite").json(path)

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from reviewlens.operators.joint_tagger import JointTagger
 from reviewlens.operators.tagger import Tagger
-from reviewlens.plans.scoring import score_reviews, tag_reviews
+from reviewlens.plans.scoring import prediction_counts, score_reviews, tag_reviews
 
 
 def read_arriving(
@@ -57,3 +57,28 @@ def tag_stream(
 ) -> StreamingQuery:
     """Append token labels, entities and highlighted texts to Parquet; stateless as well."""
     return _append(tag_reviews(stream, id_col, tagger, text), sink, checkpoint)
+
+
+def count_stream(scored: DataFrame, columns: Sequence[str], sink: str, checkpoint: str) -> StreamingQuery:
+    """Running totals of every predicted value, kept as state: one row per target and value, whatever arrives.
+
+    Each micro-batch writes the totals it changed to a folder named by its number. A batch that is run again after
+    a failure replaces its own folder, so nothing is counted twice.
+    """
+
+    def write(totals: DataFrame, batch: int) -> None:
+        totals.write.mode("overwrite").parquet(f"{sink}/batch={batch}")
+
+    return (
+        prediction_counts(scored, columns).writeStream.outputMode("update")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .foreachBatch(write)
+        .start()
+    )
+
+
+def read_totals(spark: SparkSession, sink: str) -> DataFrame:
+    """``(target, value, count)`` after the last batch that ``count_stream`` wrote."""
+    changes = spark.read.schema("target string, value string, count long, batch long").parquet(sink)
+    return changes.groupBy("target", "value").agg(F.max_by("count", "batch").alias("count"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from reviewlens.functions import fixed_values as V
 from reviewlens.operators import evaluation as ev, features, joins, labels, sampling, similarity
-from reviewlens.operators.classifier import fit_classifier
+from reviewlens.operators.classifier import certificate, fit_classifier
 from reviewlens.plans.corpora import build_review_corpus
 from reviewlens.plans.training import train_and_evaluate, train_both
 from reviewlens.sources.readers import read_evaluation
@@ -361,3 +361,17 @@ def test_exact_sizes_with_repeated_ids(spark, monkeypatch):
         monkeypatch.setattr(module, "bounded", lambda *_: None)
     capped = sampling.cap_per_group(df, ["g"], 25, "id", 7)
     assert {r["g"]: r["count"] for r in capped.groupBy("g").count().collect()} == {"hot": 25, "cold": 25, None: 1}
+
+
+@pytest.mark.parametrize("classes", [2, 3])
+def test_certificate_tells_a_finished_fit_from_an_unfinished_one(spark, classes):
+    draw = random.Random(classes)
+    words = ["kamar", "bersih", "kotor", "wifi", "lambat", "ramah", "mahal"]
+    rows = [(" ".join(draw.choices(words, k=draw.randint(0, 6))), draw.choice("abc"[:classes])) for _ in range(120)]
+    train = spark.createDataFrame([*rows, (None, "a"), ("kamar wifi", None)], "text string, y string")
+    done = fit_classifier(train, "y", "logistic_regression", tol=1e-13)
+    half = fit_classifier(train, "y", "logistic_regression", max_iter=1)
+    proof = {r["label"]: r for r in certificate(train, "y", done).collect()}
+    assert {k: r["n"] for k, r in proof.items()} == Counter(y for _, y in [*rows, (None, "a")])
+    assert all(r["start"] > 1e-3 and r["largest"] < 1e-4 * r["start"] for r in proof.values())
+    assert max(r["largest"] / r["start"] for r in certificate(train, "y", half).collect()) > 0.01

@@ -10,7 +10,7 @@ from reviewlens.plans.training import metric_rows
 from reviewlens.operators.evaluation import confusion_counts
 from reviewlens.session import shared_dir
 from reviewlens.sources import readers as R, writers as W
-from reviewlens.streaming.scoring import read_arriving, score_stream
+from reviewlens.streaming.scoring import count_stream, read_arriving, read_totals, score_stream
 
 
 def test_csv_keeps_quotes_lines_and_spaces(spark):
@@ -55,6 +55,78 @@ def test_bio_files(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def sentences_by_hand(text):
+    """Blank lines close a sentence, lines of other than three fields are skipped, ids are ignored."""
+    found, now = [], []
+    for line in map(str.strip, text.splitlines()):
+        parts = line.split("\t")
+        if not line:
+            found, now = [*found, now], []
+        elif len(parts) == 3 and parts[0] != "sentence_id":
+            now.append((parts[1], parts[2]))
+    return [s for s in [*found, now] if s]
+
+
+@pytest.mark.parametrize("split_bytes", [300, 4000, 1 << 20])
+def test_blank_lines_end_sentences(spark, tmp_path, split_bytes):
+    header, folder = "sentence_id\ttoken\tlabel\n", tmp_path / "bio"
+    folder.mkdir()
+    long = "".join(f"1\tt{i}\tO\n" for i in range(200))
+    texts = {
+        "a.tsv": header + "".join("".join(f"{s % 3}\tt{s}_{i}\tB-X\n" for i in range(s % 7)) + "\n" * (s % 3) for s in range(120)),
+        "b.tsv": header + long + "broken line\n" + long + " \t \n\n\n1\tlast\tO",
+        "c.tsv": "1\tno\tO\n1\theader\tO\n",
+        "d.tsv": "\n\n" + header,
+        "e.tsv": "",
+    }
+    for name, text in texts.items():
+        (folder / name).write_text(text, encoding="utf-8")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        read = R.sentences(R.read_bio_sentences(spark, str(folder))).orderBy("doc_id").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    want = [s for name in sorted(texts) for s in sentences_by_hand(texts[name])]
+    assert [[(t["token"], t["label"]) for t in r["sentence"]] for r in read] == want
+
+
+def test_written_sentences_come_back(spark):
+    rows = [(1, ["a", "b"], ["O", "B-X"]), (1, [], []), (1, ["c"], ["O"]), (None, ["d"], ["O"])]
+    path = shared_dir(spark, "bio")
+    W.write_bio_sentences(spark.createDataFrame(rows, "doc_id long, tokens array<string>, labels array<string>"), path)
+    back = R.sentences(R.read_bio_sentences(spark, path)).collect()
+    assert sorted([t["token"] for t in r["sentence"]] for r in back) == [["a", "b"], ["c"], ["d"]]
+
+
+def test_stream_totals_survive_a_restart(spark, tmp_path):
+    source, sink, state = (str(tmp_path / n) for n in ("in", "totals", "state"))
+    schema = "a string, b string"
+
+    def deliver(*rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+
+    def run():
+        stream = read_arriving(spark, source, spark.createDataFrame([], schema).schema, max_files=1)
+        count_stream(stream, ["a", "b"], sink, state).awaitTermination()
+        return sorted(map(tuple, read_totals(spark, sink).collect()))
+
+    deliver(("x", "p"), ("y", None))
+    deliver(("x", "p"))
+    assert run() == [("a", "x", 2), ("a", "y", 1), ("b", "p", 2)]
+    assert run() == [("a", "x", 2), ("a", "y", 1), ("b", "p", 2)]
+    deliver(("y", "q"), ("x", "p"))
+    first = run()
+    assert first == [("a", "x", 3), ("a", "y", 2), ("b", "p", 3), ("b", "q", 1)]
+    # A job that dies after its rows are written but before the batch is marked as done runs the batch again.
+    commits = sorted(p for p in os.listdir(f"{state}/commits") if p.isdigit())
+    for name in (commits[-1], f".{commits[-1]}.crc"):
+        if os.path.exists(f"{state}/commits/{name}"):
+            os.remove(f"{state}/commits/{name}")
+    assert run() == first
+
+
 def test_report_table(spark):
     pairs = spark.createDataFrame([("a", "a"), ("b", "a")], "y string, p string")
     counts = confusion_counts(pairs, "y", "p")
