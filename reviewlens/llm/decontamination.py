@@ -20,7 +20,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from reviewlens.llm.common import small_batches, text_or_empty
 
 WORDS = re.compile(r"\w+")
-PASSAGE, THRESHOLD, OVERLAP, GRAM = 64, 0.6, 0.8, 5
+PASSAGE, THRESHOLD, OVERLAP = 64, 0.6, 0.8
+#: A stretch of text compared with ``n`` words has ``n // SLACK`` words more, room for words that were put in.
+SLACK = 4
 K1, B, BLOCK = 1.2, 0.75, 8
 #: Items of this many characters make one index; more items make more of them.
 INDEX_CHARS = 16 << 20
@@ -38,14 +40,42 @@ def question_and_answer(text: str) -> tuple[list[str], list[str]]:
     return words[:cut], words[cut:]
 
 
-def grams(words: list[str], n: int = GRAM) -> set[tuple[str, ...]]:
-    if not words:
-        return set()
-    return {tuple(words[i : i + n]) for i in range(max(len(words) - n + 1, 1))}
+def aligned(wanted: list[str], words: list[str], least: float = 0.0) -> float:
+    """Share of ``wanted`` that stands in ``words`` in the same order, best over all stretches as long as ``wanted``.
+
+    The longest common subsequence with the stretch that starts at a word, so an edited word costs one word, and the
+    words of an item scattered over a long text are none of it. Stretches start at words of ``wanted`` only.
+    A part without words counts as found. Shares below ``least`` may be given as 0.
+    """
+    if not wanted:
+        return 1.0
+    size = len(wanted) + max(len(wanted) // SLACK, 1)
+    known = {w: sum(1 << i for i, x in enumerate(wanted) if x == w) for w in set(wanted)}
+    masks = [known.get(w, 0) for w in words]
+    whole, last = (1 << len(wanted)) - 1, len(words)
+    best = max(math.ceil(least * len(wanted) - 1e-9) - 1, 0)  # only more than this many words are of interest
+    found = 0
+    hits = np.concatenate([[0], np.cumsum(np.fromiter((m != 0 for m in masks), np.int64, last))]).tolist()
+    for start, mask in enumerate(masks):
+        stop = min(start + size, last)
+        if not mask or hits[stop] - hits[start] <= best:
+            continue
+        # One bit per word of ``wanted``, zero where a common subsequence got longer (Hyyrö 2004).
+        row = whole
+        for m in masks[start:stop]:
+            if m:
+                met = row & m
+                row = ((row + met) | (row - met)) & whole
+        length = len(wanted) - row.bit_count()
+        if length > best:
+            best = found = length
+        if found == len(wanted):
+            break
+    return found / len(wanted)
 
 
 class ItemIndex:
-    """Inverted index of item passages with a maximum per block, and the word n-grams of the items.
+    """Inverted index of item passages with a maximum per block, and the words of the items.
 
     An item longer than ``passage`` words is indexed in pieces. ``statistics`` are the document
     frequencies, number and mean length of the pieces of *all* items, so scores do not depend on how
@@ -54,7 +84,7 @@ class ItemIndex:
 
     def __init__(self, items: list[tuple[int, list[str], list[str]]], statistics, passage: int):
         frequency, pieces, mean = statistics
-        self.items = [(i, grams(q), grams(a), min(GRAM, len(q) or 1), min(GRAM, len(a) or 1)) for i, q, a in items]
+        self.items = items
         postings = defaultdict(list)
         self.owner: list[int] = []
         for n, (_, question, answer) in enumerate(items):
@@ -143,21 +173,20 @@ class ItemIndex:
             terms = set(ids[start : start + 2 * passage].tolist()) - {-1}
             for piece, score in self.search(list(terms), threshold - 1e-9):
                 n = self.owner[piece]
-                item, question, answer, qn, an = self.items[n]
-                size = len(question) + len(answer) + 2 * GRAM
+                item, question, answer = self.items[n]
+                if item in best and best[item]["score"] >= score:
+                    continue
+                size = (len(question) + len(answer)) * (SLACK + 1) // SLACK + 1
                 around = words[max(start - size, 0) : start + 2 * passage + size]
-                q, a = _share(question, around, qn), _share(answer, around, an)
-                if min(q, a) >= overlap and (item not in best or best[item]["score"] < score):
+                q = aligned(question, around, overlap)
+                a = aligned(answer, around, overlap) if q >= overlap else 0.0
+                if min(q, a) >= overlap:
                     best[item] = {
                         "item_id": item, "score": float(score), "question_overlap": q, "answer_overlap": a, "word": start,
                     }
         return [best[i] for i in sorted(best)]
 
 
-def _share(wanted: set, words: list[str], n: int) -> float:
-    return len(wanted & grams(words, n)) / len(wanted) if wanted else 1.0
-
-
 def split(words: list[str], passage: int) -> list[list[str]]:
     return [words[i : i + passage] for i in range(0, len(words), passage)]
 
@@ -174,8 +203,8 @@ def leaks(
 
     ``items`` has ``item_id`` and ``text``, or ``question`` and ``answer``. A passage is
     ``2 * passage`` words and starts every ``passage`` words. An item hits if BM25 reaches ``threshold``
-    of its own score and at least ``overlap`` of its question's and of its answer's five-word grams occur
-    there (shorter parts count whole). Items without a word or an id never hit; of repeated ids each
+    of its own score and at least ``overlap`` of its question's and of its answer's words stand around there in
+    their order, close together (``aligned``). Items without a word or an id never hit; of repeated ids each
     version is tried. The items are read in indexes of at most ``index_chars`` characters each, so what
     is sent to the executors at once is bounded; further indexes are searched in turn.
     """

@@ -8,6 +8,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -43,11 +44,63 @@ def test_block_max_wand_finds_all_above_the_threshold():
             assert all(abs(scores[p] - s) < 1e-9 for p, s in hits.items())
 
 
+def common_by_hand(a, b):
+    """Length of the longest common subsequence, by the table."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        last = row
+        row = [0]
+        for j, y in enumerate(b):
+            row.append(last[j] + 1 if x == y else max(last[j + 1], row[j]))
+    return row[-1]
+
+
+def aligned_by_hand(part, words):
+    size = len(part) + max(len(part) // 4, 1)
+    return max((common_by_hand(part, words[i : i + size]) for i in range(len(words))), default=0) / len(part)
+
+
 def leaked_by_hand(text, item):
     words = dc.words_of(text)
-    question, answer = dc.question_and_answer(item)
-    share = lambda part: len(dc.grams(part, min(5, len(part))) & dc.grams(words, min(5, len(part)))) / len(dc.grams(part, min(5, len(part))))
-    return all(share(p) >= 0.8 for p in (question, answer) if p)
+    there = Counter(words)
+    parts = [p for p in dc.question_and_answer(item) if p]
+    if any(sum((Counter(p) & there).values()) < 0.8 * len(p) for p in parts):
+        return False
+    return all(aligned_by_hand(p, words) >= 0.8 for p in parts)
+
+
+def test_alignment_equals_the_table():
+    draw = random.Random(5)
+    for _ in range(300):
+        part, words = draw.choices("abcdef", k=draw.randint(1, 12)), draw.choices("abcdefgh", k=draw.randint(0, 40))
+        want = aligned_by_hand(part, words)
+        assert dc.aligned(part, words) == want
+        assert dc.aligned(part, words, 0.8) == (want if want >= 0.8 else 0.0)
+    assert dc.aligned([], ["a"]) == 1.0 and dc.aligned(["a"], []) == 0.0
+
+
+@pytest.mark.parametrize("edits, least", [(0, 1.0), (1, 0.9), (2, 0.9)])
+def test_items_with_substituted_words_are_found(sf_dir, rows, edits, least):
+    items = pq.read_table(f"{sf_dir}/benchmark.parquet").to_pylist()
+    index, draw = index_of([(r["item_id"], r["text"]) for r in items]), random.Random(edits)
+    texts = [r["text"] for r in rows if r["text"] and not any(leaked_by_hand(r["text"], i["text"]) for i in items)][:60]
+    found = 0
+    for n, item in enumerate(items):
+        words, base = item["text"].split(), texts[n % len(texts)].split()
+        for place in draw.sample(range(len(words)), edits):
+            words[place] = "another"
+        at = draw.randint(0, len(base))
+        text = " ".join([*base[:at], *words, *base[at:]])
+        found += item["item_id"] in {h["item_id"] for h in index.hits(text, dc.PASSAGE, dc.THRESHOLD, dc.OVERLAP)}
+    assert found >= least * len(items)
+    assert not any(index.hits(t, dc.PASSAGE, dc.THRESHOLD, dc.OVERLAP) for t in texts)
+
+
+def test_very_long_texts_and_items():
+    long = " ".join(f"w{i}" for i in range(3000))
+    index = index_of([(1, long), (2, "one two three four five six")])
+    text = "start " * 20_000 + long + " end" * 20_000 + " one two three four five six"
+    assert [h["item_id"] for h in index.hits(text, dc.PASSAGE, dc.THRESHOLD, dc.OVERLAP)] == [1, 2]
 
 
 @pytest.mark.parametrize("index_chars", [dc.INDEX_CHARS, 2000])
