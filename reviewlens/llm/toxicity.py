@@ -1,8 +1,9 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
-Five small transducers read a clause: insults and threats carry a weight, reported speech and negation
-weaken what follows, a person addressed strengthens it. They are composed once into a single machine;
-a clause scores the sum of its weights times the factors on its path. Isolated words score nothing by
+Seven small transducers read a clause: insults and threats carry a weight, reported speech and negation
+weaken what follows, a person addressed strengthens it. Two of them read from right to left and mark hits
+with somebody addressed after them and those before a closing negation; the other five read the marked
+clause from left to right. Each direction is composed once into a single machine; a clause scores the sum of its weights times the factors on its path. Isolated words score nothing by
 themselves: only clauses with an insult or a threat are read, and a document is judged by its clauses.
 """
 
@@ -69,14 +70,17 @@ def compose(first: Transducer, second: Transducer, symbols: set[str]) -> Transdu
     return Transducer(arcs, (first.start, second.start))
 
 
-SYMBOLS = {"word", "insult", "threat", "target", "negation", "report", "quote"}
-HITS = ("insult", "threat")
+#: Hits with somebody addressed after them, as the pass from the right marks them.
+AHEAD = {"insult": "aimed insult", "threat": "aimed threat"}
+HITS = (*AHEAD, *AHEAD.values())
+SYMBOLS = {"word", "target", "negation", "report", "quote", *HITS}
 
 
 def reported_speech() -> Transducer:
     """After a verb of saying, or between quotation marks, hits are somebody else's."""
-    arcs = {(0, "report"): (1, "word", 1.0), (0, "quote"): (1, "word", 1.0), (1, "quote"): (0, "word", 1.0)}
-    return Transducer(arcs | {(1, hit): (1, hit, REPORTED) for hit in HITS})
+    arcs = {(n, "report"): (2, "word", 1.0) for n in range(2)}
+    arcs |= {(0, "quote"): (1, "word", 1.0), (1, "quote"): (0, "word", 1.0), (2, "quote"): (2, "word", 1.0)}
+    return Transducer(arcs | {(n, hit): (n, hit, REPORTED) for n in (1, 2) for hit in HITS})
 
 
 def negation() -> Transducer:
@@ -88,18 +92,37 @@ def negation() -> Transducer:
 
 
 def target() -> Transducer:
-    """Once somebody is addressed, hits in the clause weigh more."""
-    return Transducer({(0, "target"): (1, "word", 1.0)} | {(1, hit): (1, hit, AIMED) for hit in HITS})
+    """Hits weigh more where somebody is addressed in the clause, before them or, as marked, after them."""
+    arcs = {(0, "target"): (1, "word", 1.0)} | {(1, hit): (1, hit, AIMED) for hit in HITS}
+    return Transducer(arcs | {(0, hit): (0, hit, AIMED) for hit in AHEAD.values()})
 
 
 def threat() -> Transducer:
-    """A threat counts when somebody is addressed before it; alone it is an ordinary verb."""
+    """A threat counts when somebody is addressed before or, as marked, after it; alone it is an ordinary verb."""
     return Transducer({(0, "target"): (1, "target", 1.0), (0, "threat"): (0, "word", 0.0)})
 
 
 def insult() -> Transducer:
     """Every further insult of a clause weighs a little less."""
-    return Transducer({(n, "insult"): (min(n + 1, 3), "insult", 0.8**n) for n in range(4)})
+    return Transducer({(n, hit): (min(n + 1, 3), "insult", 0.8**n) for n in range(4) for hit in ("insult", AHEAD["insult"])})
+
+
+def addressed_ahead() -> Transducer:
+    """From right to left: marks the hits that somebody addressed follows."""
+    return Transducer({(0, "target"): (1, "target", 1.0)} | {(1, hit): (1, mark, 1.0) for hit, mark in AHEAD.items()})
+
+
+def closing_negation() -> Transducer:
+    """From right to left: a negation that ends the clause weakens hits among the ``SCOPE`` words before it."""
+    arcs: dict = {(-1, s): (0, s, 1.0) for s in SYMBOLS} | {(-1, "quote"): (-1, "quote", 1.0)}
+    arcs[-1, "negation"] = (SCOPE, "word", 1.0)
+    for n in range(1, SCOPE + 1):
+        arcs |= {(n, s): (n - 1, s, NEGATED if s in HITS else 1.0) for s in SYMBOLS}
+    return Transducer(arcs, -1)
+
+
+def grammar_from_right() -> Transducer:
+    return compose(closing_negation(), addressed_ahead(), SYMBOLS)
 
 
 def grammar() -> Transducer:
@@ -113,10 +136,11 @@ class ClauseScorer:
     """Finds lexicon stems in a text and runs the grammar over the clauses around them."""
 
     def __init__(self, stems: dict[str, float]):
-        self.machine, self.weights = grammar(), {**stems}
+        self.machine, self.from_right, self.weights = grammar(), grammar_from_right(), {**stems}
         self.kinds = {w: k for k, ws in (("target", TARGETS), ("negation", NEGATIONS), ("report", REPORTS)) for w in ws}
         for word in THREATS:
             self.weights.setdefault(word, 2.0)
+        self.longest_kind = max(map(len, self.kinds))
         self.threats = set(THREATS)
         self.search = ahocorasick.Automaton()
         for stem in self.weights:
@@ -127,8 +151,9 @@ class ClauseScorer:
     def stem_of(self, word: str) -> str | None:
         return next((word[:n] for n in range(min(len(word), self.longest), 0, -1) if word[:n] in self.weights), None)
 
-    def clause(self, text: str) -> float:
-        state, total = self.machine.start, 0.0
+    def read(self, text: str) -> list[tuple[str, float]]:
+        """Symbol and weight of every token."""
+        found = []
         for token in TOKEN.findall(text):
             kind, weight = self.kinds.get(token), 0.0
             if kind is None:
@@ -137,10 +162,35 @@ class ClauseScorer:
                     kind, weight = "threat" if stem in self.threats else "insult", self.weights[stem]
                 else:
                     kind = "word" if token[0].isalpha() else "quote"
+            found.append((kind, weight))
+        return found
+
+    def clause(self, text: str, reported: bool = False) -> float:
+        """Sum of the weights times their factors; ``reported`` if a verb of saying introduces the clause."""
+        marked, state = [], self.from_right.start
+        for kind, weight in reversed(self.read(text)):
+            state, kind, factor = self.from_right.step(state, kind)
+            marked.append((kind, weight * factor))
+        state, total = self.machine.start, 0.0
+        if reported:
+            state, _, _ = self.machine.step(state, "report")
+        for kind, weight in reversed(marked):
             state, _, factor = self.machine.step(state, kind)
             total += weight * factor
         return total
 
+    def introduced(self, text: str, start: int) -> bool:
+        """Whether the clause that begins at ``start`` follows a verb of saying and a colon or comma."""
+        if start == 0 or text[start - 1] not in ":,":
+            return False
+        end = start - 1
+        while end and text[end - 1].isspace():
+            end -= 1
+        begin = end
+        while begin and end - begin <= self.longest_kind and text[begin - 1].isalpha():
+            begin -= 1
+        return self.kinds.get(text[begin:end]) == "report"
+
     def features(self, text: str) -> list[float]:
         """Of the matched clauses: log of the summed score, best score, log of their number; all 0 without one."""
         text, scores, end = text.lower(), [], -1
@@ -151,7 +201,8 @@ class ClauseScorer:
             found = CLAUSE.search(text, last + 1)
             stop = found.start() if found else len(text)
             start = max((text.rfind(mark, max(end, 0), begin) for mark in ".!?;:,\n|()")) + 1
-            scores.append(self.clause(text[max(start, end, 0) : stop]))
+            start = max(start, end, 0)
+            scores.append(self.clause(text[start:stop], self.introduced(text, start)))
             end = stop
         scores = [s for s in scores if s > 0]
         if not scores:

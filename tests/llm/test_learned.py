@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from hypothesis import given, strategies as st
 from pyspark.sql import functions as F
 
 from reviewlens.llm import brown_lm
@@ -15,7 +16,10 @@ from reviewlens.llm.language_id import classify, dictionaries
 from reviewlens.llm.mixing import mix, mix_rows
 from reviewlens.llm.quality import co_train, quality
 from reviewlens.llm.queries import QUERIES
-from reviewlens.llm.toxicity import INSULTS, SYMBOLS, ClauseScorer, compose, fit_toxicity, grammar, insult, threat
+from reviewlens.llm.toxicity import (
+    AHEAD, INSULTS, SYMBOLS, ClauseScorer, addressed_ahead, closing_negation, compose, fit_toxicity, grammar,
+    grammar_from_right, insult, negation, reported_speech, target, threat,
+)
 
 
 def collected(df):
@@ -34,21 +38,50 @@ def test_grammar_scores_clauses():
     assert aimed > plain > total("you are not an idiot") > 0
     assert total("she said you are an idiot") < aimed
     assert total('"you idiot" was shouted') < total("you idiot was shouted")
+    assert total("i will kill you") == total("you i will kill") > 0 < total("i will destroy you and your family")
+    assert total("what an idiot you are") == total("you are an idiot") > total("an idiot you are not") > 0
+    assert total("he said: you are an idiot") == total("he said, you are an idiot") == total("he said you are an idiot") < aimed
+    assert total('he said: "you idiot"') < total('he met: "you, idiot"')
+    assert total("he met: you are an idiot") == aimed
+    long = "some words " * 100_000
+    assert total(long + "you idiot " + long) == total("you idiot")
     assert total("they kill time") == 0 < total("i warn you: you kill")
     assert total("not today, idiot") == plain  # a comma ends the scope
     assert total("nothing to see") == total("") == 0 and total("idiotically") > 0 == total("nonidiot")
 
 
-def test_composition_runs_the_parts_in_turn():
-    draw, both = random.Random(2), compose(threat(), insult(), SYMBOLS)
-    for _ in range(50):
-        a, b, c = threat().start, insult().start, both.start
-        for s in draw.choices(sorted(SYMBOLS), k=8):
-            a, middle, f = threat().step(a, s)
-            b, out, g = insult().step(b, middle)
-            c, composed, h = both.step(c, s)
-            assert (composed, h) == (out, f * g)
-    assert len({s for s, _ in grammar().arcs}) < 200
+@pytest.mark.parametrize(
+    "parts, whole",
+    [((threat, insult), None), ((threat, reported_speech, negation, target, insult), grammar), ((closing_negation, addressed_ahead), grammar_from_right)],
+)
+def test_composition_runs_the_parts_in_turn(parts, whole):
+    draw, machine = random.Random(2), whole() if whole else compose(*(p() for p in parts), SYMBOLS)
+    for _ in range(200):
+        state, states = machine.start, [p().start for p in parts]
+        for symbol in draw.choices(sorted(SYMBOLS), k=10):
+            state, composed, factor = machine.step(state, symbol)
+            product = 1.0
+            for n, part in enumerate(parts):
+                states[n], symbol, f = part().step(states[n], symbol)
+                product *= f
+            assert composed == symbol and factor == pytest.approx(product)
+    assert len({s for s, _ in machine.arcs}) < 200
+
+
+@given(st.lists(st.sampled_from(["you", "idiot", "kill", "not", "said", "time", '"']), max_size=12))
+def test_hits_are_marked_by_what_follows(words):
+    """Against a reading of the clause by positions: a threat counts if and only if somebody is addressed in it."""
+    found = SCORER.read(" ".join(words))
+    kinds = [k for k, _ in found]
+    state, marked = SCORER.from_right.start, []
+    for kind in reversed(kinds):
+        state, kind, _ = SCORER.from_right.step(state, kind)
+        marked.insert(0, kind)
+    for n, kind in enumerate(kinds):
+        if kind in AHEAD:
+            assert marked[n] == (AHEAD[kind] if "target" in kinds[n + 1 :] else kind)
+    only_threats = [w for w in words if w != "idiot"]
+    assert (SCORER.clause(" ".join(only_threats)) > 0) == ("kill" in only_threats and "you" in only_threats)
 
 
 def test_toxicity_learns_words_it_does_not_know(spark, odd, none):
