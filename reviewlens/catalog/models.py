@@ -181,7 +181,8 @@ def joint_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As ``joint_score``, with the texts read as a stream of files."""
     schema = table(spark, sf_dir, "conversations").schema
-    arriving = read_arriving(spark, sf_dir, schema, name_pattern="conversations.parquet")
+    # A glob, for the table is one file or a folder of them, and a stream takes only folders by their plain name.
+    arriving = read_arriving(spark, f"{sf_dir}/{{conversations.parquet}}", schema)
     base = shared_dir(spark, "stream-score")
     query = score_stream(
         _numbered_turns(arriving), _models(spark, sf_dir), f"{base}/scored", f"{base}/checkpoint",
