@@ -2,16 +2,30 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from reviewlens.functions.arrays import cosine_similarity, term_counts
-from reviewlens.operators.joins import lookup_join, replace_words
+from reviewlens.operators.joins import BROADCAST_ROWS, bounded, lookup_join, replace_words
 from reviewlens.session import stored
 
+# The match function travels to the workers by value, so they need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: Cosines this little below a threshold count as equal to it: products of square roots are not exact.
 ROUNDING = 1e-12
+#: Pairs of texts, and products of their counts, that are held at once.
+PAIRS_AT_ONCE, PRODUCTS_AT_ONCE = 1 << 19, 1 << 21
+#: Words that are counted at once; a longer text stands alone.
+WORDS_AT_ONCE = 1 << 19
+
 
 def _piece(length: Column, number: int, pieces: int) -> tuple[Column, Column]:
     """Start (from 0) and length of a piece when ``length`` characters are cut evenly, longer pieces last."""
@@ -113,18 +127,115 @@ def _prefix(terms: DataFrame, frequency: DataFrame, threshold: float) -> DataFra
     return ranked.where(F.col("rest") >= threshold**2 * F.col("square") * (1 - 1e-9)).select("id", "term", "square", "rest")
 
 
+def _bags(words: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """Row, place in the returned dictionary and count of every distinct word of a row, in the order of the rows.
+
+    Null words count for nothing, as in ``term_counts``.
+    """
+    lengths = words.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    flat = words.flatten()
+    row = np.repeat(np.arange(len(lengths), dtype=np.int64), lengths)[flat.is_valid().to_numpy(zero_copy_only=False)]
+    coded = flat.drop_null().dictionary_encode()
+    size = max(len(coded.dictionary), 1)
+    cells, tf = np.unique(row * size + coded.indices.to_numpy(zero_copy_only=False), return_counts=True)
+    return cells // size, cells % size, tf.astype(np.float64), coded.dictionary
+
+
+def _matches(
+    ids: pa.Array, known: pa.ListArray, threshold: float, known_first: bool, names: list[str]
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Task function: the texts of a batch ``(id, words)`` against all ``known`` ones, through lists of the texts of each word.
+
+    Counts, squares and products are whole numbers, so the sums are exact in any order.
+    """
+    row, place, tf, vocabulary = _bags(known)
+    n = len(known)
+    norms = np.sqrt(np.bincount(row, weights=tf * tf, minlength=n))
+    order = np.argsort(place, kind="stable")
+    texts, counts = row[order], tf[order]
+    begins = np.searchsorted(place[order], np.arange(len(vocabulary) + 1))
+
+    def products(rows: np.ndarray, terms: np.ndarray, tf: np.ndarray, n_rows: int) -> np.ndarray:
+        dots, sizes = np.zeros(n_rows * n), begins[terms + 1] - begins[terms]
+        upto, at = np.cumsum(sizes), 0
+        while at < len(rows):
+            before = upto[at - 1] if at else 0
+            end = max(int(np.searchsorted(upto, before + PRODUCTS_AT_ONCE, side="right")), at + 1)
+            each = sizes[at:end]
+            own = np.arange(upto[end - 1] - before) + np.repeat(begins[terms[at:end]] - (upto[at:end] - each - before), each)
+            first = rows[at] * n
+            cell = np.repeat(rows[at:end] * n - first, each) + texts[own]
+            found = np.bincount(cell, weights=np.repeat(tf[at:end], each) * counts[own])
+            dots[first : first + len(found)] += found
+            at = end
+        return dots.reshape(n_rows, n)
+
+    def match_piece(piece: pa.RecordBatch) -> pa.RecordBatch:
+        rows, local, tf, words = _bags(piece.column(1))
+        norm = np.sqrt(np.bincount(rows, weights=tf * tf, minlength=piece.num_rows))
+        terms = pc.index_in(words, value_set=vocabulary).fill_null(-1).to_numpy(zero_copy_only=False)[local]
+        hit = terms >= 0
+        dots = products(rows[hit], terms[hit].astype(np.int64), tf[hit], piece.num_rows)
+        here, there = np.nonzero(dots)
+        cosine = dots[here, there] / (norm[here] * norms[there])
+        near = cosine >= threshold - ROUNDING
+        both = [ids.take(pa.array(there[near])), piece.column(0).take(pa.array(here[near]))]
+        return pa.RecordBatch.from_arrays([*(both if known_first else reversed(both)), pa.array(cosine[near])], names)
+
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        most = max(PAIRS_AT_ONCE // max(n, 1), 1)
+        for batch in batches:
+            upto = np.cumsum(batch.column(1).value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+            at = 0
+            while at < batch.num_rows:
+                before = upto[at - 1] if at else 0
+                end = int(np.searchsorted(upto, before + WORDS_AT_ONCE, side="right"))
+                end = min(max(end, at + 1), at + most)
+                yield match_piece(batch.slice(at, end - at))
+                at = end
+
+    return match
+
+
 def cosine_join(
-    left: DataFrame, right: DataFrame, threshold: float, left_id: str, right_id: str, words_a: str, words_b: str
+    left: DataFrame, right: DataFrame, threshold: float, left_id: str, right_id: str, words_a: str, words_b: str,
+    max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """``(left_id, right_id, cosine)`` of all pairs whose bags of words have at least the cosine ``threshold``.
 
-    ``words_a`` and ``words_b`` are arrays; ids must be unique. Terms are ordered by rarity in both tables. Two texts that are
-    similar enough share one of the rarest terms of either, namely of those without which the rest of the text is too short
-    for the threshold. Texts meet on these only, hot terms are split, and at the first term they share what is left of both
-    bounds the product, so few pairs reach the comparison. No pair is missed. Null ids, null and empty texts match nothing.
+    ``words_a`` and ``words_b`` are arrays; ids must be unique. No pair is missed. Null ids, null and empty texts match nothing.
+
+    A side of checked size goes to the tasks as lists of the texts of each word; the other side is read once and not
+    shuffled, and no pair below the threshold leaves its task. Two larger sides are joined on their rarest words.
     """
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be in (0, 1]")
+    sides = [
+        side.where(F.col(f"`{key}`").isNotNull() & F.col(f"`{words}`").isNotNull()).select(F.col(f"`{key}`"), F.col(f"`{words}`"))
+        for side, key, words in ((left, left_id, words_a), (right, right_id, words_b))
+    ]
+    for known, others in ((0, 1), (1, 0)):
+        small = bounded(sides[known], max_rows)
+        if small is None:
+            continue
+        held = small.toArrow().combine_chunks()
+        ids, words = (c.chunk(0) if c.num_chunks else pa.array([], c.type) for c in held.columns)
+        fields = [left.schema[left_id], right.schema[right_id], StructField("cosine", DoubleType())]
+        task = _matches(ids, words, threshold, known == 0, [left_id, right_id, "cosine"])
+        return sides[others].mapInArrow(task, StructType(fields))
+    return _rare_word_join(left, right, threshold, left_id, right_id, words_a, words_b)
+
+
+def _rare_word_join(
+    left: DataFrame, right: DataFrame, threshold: float, left_id: str, right_id: str, words_a: str, words_b: str
+) -> DataFrame:
+    """``cosine_join`` of two large sides.
+
+    Terms are ordered by rarity in both tables. Two texts that are
+    similar enough share one of the rarest terms of either, namely of those without which the rest of the text is too short
+    for the threshold. Texts meet on these only, hot terms are split, and at the first term they share what is left of both
+    bounds the product, so few pairs reach the comparison.
+    """
     terms = [stored(_terms(left, left_id, words_a), "terms"), stored(_terms(right, right_id, words_b), "terms")]
     frequency = stored(terms[0].unionByName(terms[1]).groupBy("term").agg(F.count("*").alias("df")), "frequency")
     one, other = (_prefix(t, frequency, threshold).select("term", F.struct("id", "square", "rest").alias(x)) for t, x in zip(terms, "ab"))
