@@ -11,7 +11,7 @@ from reviewlens.catalog.text import keyword_labels_sql
 from reviewlens.functions import bio as B, text as T
 from reviewlens.operators import evaluation as ev
 from reviewlens.plans.training import compare
-from reviewlens.session import shared_dir
+from reviewlens.session import shared_dir, stored
 from reviewlens.sources.readers import read_evaluation, report_table as best_rows
 from reviewlens.sources.writers import write_evaluation
 
@@ -162,13 +162,17 @@ def token_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _candidates(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Two rule-based candidates in order: the keyword predictor, and one that never says toxic."""
-    rows = keyword_predictions(spark, sf_dir)
-    never = rows.withColumn("predicted", F.lit("fine"))
-    return {
-        "never": ev.confusion_counts(never, "actual", "predicted"),
-        "keywords": ev.confusion_counts(rows, "actual", "predicted"),
-    }
+    """Two rule-based candidates in order: the keyword predictor, and one that never says toxic.
+
+    Every metric and matrix reads the counts again, so they are written once, and the texts are read once for both.
+    """
+    return _candidate_counts(keyword_predictions(spark, sf_dir))
+
+
+def _candidate_counts(rows: DataFrame) -> dict[str, DataFrame]:
+    counts = stored(ev.confusion_counts(rows, "actual", "predicted"), "confusion")
+    never = counts.groupBy("actual").agg(F.sum("n").alias("n")).select("actual", F.lit("fine").alias("predicted"), "n")
+    return {"never": never, "keywords": counts}
 
 
 _CANDIDATE_ROWS = f"""{_PREDICTED},
@@ -199,8 +203,9 @@ def best_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _evaluation(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Metrics, matrices and errors of the two candidates, through report files."""
-    rows = keyword_predictions(spark, sf_dir)
-    best, report, matrices = compare("toxic", _candidates(spark, sf_dir))
+    # The predictions are read for the counts and for the wrong rows; without texts they are short.
+    rows = stored(keyword_predictions(spark, sf_dir), "predictions")
+    best, report, matrices = compare("toxic", _candidate_counts(rows))
     wrong = rows if best == "keywords" else rows.withColumn("predicted", F.lit("fine"))
     errors = with_text(spark, sf_dir, ev.error_examples(wrong, "actual", "predicted", ["doc_id"], 5))
     path = shared_dir(spark, "evaluation")
