@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
+from reviewlens.functions.arrays import let
 from reviewlens.functions.fixed_values import MISSING_TEXTS
 from reviewlens.functions.text import strip_spaces
 from reviewlens.operators.labels import drop_incomplete, require_columns
+from reviewlens.session import stored
+
+# The functions on Arrow batches travel to the workers by value, so they need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def read_table(spark: SparkSession, path: str, format: str = "csv", multi_line: bool = True) -> DataFrame:
@@ -93,39 +104,141 @@ def read_bio_sentences(spark: SparkSession, path: str) -> DataFrame:
     the sentences in the order of the files' paths, with gaps where blank lines follow each other. The end of a file ends its last sentence. Lines of other
     than three fields, the header among them, are skipped and end nothing.
 
-    A file is read in blocks. The blank lines of every block are counted first; what the blocks before it hold is
-    added to the running count inside a block, so no file is gathered or sorted as a whole.
+    A file is read in blocks, and the lines of a block stay in order in one task, which counts its blank lines and the tokens
+    since the last. A first pass leaves one row per block; what the blocks before hold is then added to these counts. No line is shuffled.
     """
-    block = ("file", "start")
+    line = strip_spaces(F.col("value"))
+    fields = F.split(line, "\t")
+    kept = (F.size("_f") == 3) & (F.get("_f", F.lit(0)) != "sentence_id")
     lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("row"),
-        F.split(strip_spaces(F.col("value")), "\t").alias("_f"),
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), (line == "").alias("blank"), fields.alias("_f")
     )
-    lines = lines.withColumn("_blank", (F.array_join("_f", "") == "").cast("long"))
-    by_block = lines.groupBy(*block).agg(F.sum("_blank").alias("_blanks"))
+    lines = lines.select("file", "start", "blank", kept.alias("kept"), "_f")
+    by_block = lines.drop("_f").mapInArrow(_block_sums, "file string, start long, _blanks long, _tail long")
+    by_block = stored(by_block, "blocks")
     # One row per block, then one per file: small whatever the files hold.
-    before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    in_file = Window.partitionBy("file").orderBy("start")
     by_file = by_block.groupBy("file").agg((F.sum("_blanks") + 1).alias("_ends"))
     earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     by_file = by_file.select("file", F.coalesce(F.sum("_ends").over(earlier), F.lit(0)).alias("_first"))
-    offsets = by_block.withColumn("_before", F.coalesce(F.sum("_blanks").over(before), F.lit(0)))
-    offsets = offsets.join(by_file, "file").select(*block, (F.col("_first") + F.col("_before")).alias("_offset"))
-    in_block = Window.partitionBy(*block).orderBy("row")
-    kept = lines.withColumn("_ended", F.sum("_blank").over(in_block.rowsBetween(Window.unboundedPreceding, 0)))
-    kept = kept.where((F.size("_f") == 3) & (F.get("_f", F.lit(0)) != "sentence_id")).join(offsets, list(block))
-    rows = kept.select(
-        (F.col("_offset") + F.col("_ended")).alias("_n"), *block, "row",
-        F.get("_f", F.lit(1)).alias("token"), F.get("_f", F.lit(2)).alias("label"),
-    )
-    in_sentence = Window.partitionBy("_n").orderBy("start", "row")
-    return rows.select(F.col("_n").alias("doc_id"), (F.row_number().over(in_sentence) - 1).alias("pos"), "token", "label")
+    offsets = by_block.withColumn("_upto", F.sum("_blanks").over(in_file))
+    # Tokens of the sentence that a block leaves open, those of the blocks it began in included.
+    offsets = offsets.withColumn("_open", F.sum("_tail").over(Window.partitionBy("file", "_upto").orderBy("start")))
+    offsets = offsets.withColumn("_carried", F.lag("_open", 1, 0).over(in_file)).join(by_file, "file")
+    offsets = offsets.select("file", "start", (F.col("_first") + F.col("_upto") - F.col("_blanks")).alias("_offset"), "_carried")
+    before = {(r["file"], r["start"]): (r["_offset"], r["_carried"]) for r in offsets.collect()}
+    tokens = lines.select("file", "start", "blank", "kept", F.get("_f", F.lit(1)).alias("token"), F.get("_f", F.lit(2)).alias("label"))
+    return tokens.mapInArrow(_numbered(before), "doc_id long, pos int, token string, label string")
+
+
+def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[tuple[str, int], int, int]]:
+    """``(file, start)`` of the blocks in a batch of lines, with the first and the end of their rows."""
+    files, starts = batch.column(0), batch.column(1)
+    new = np.ones(batch.num_rows, dtype=bool)
+    if batch.num_rows > 1:
+        same = pc.and_(pc.equal(files[1:], files[:-1]), pc.equal(starts[1:], starts[:-1]))
+        new[1:] = ~same.to_numpy(zero_copy_only=False)
+    begins = np.flatnonzero(new).tolist()
+    for begin, end in zip(begins, [*begins[1:], batch.num_rows]):
+        yield (files[begin].as_py(), starts[begin].as_py()), begin, end
+
+
+def _flags(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    return (batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (2, 3))
+
+
+def _block_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From lines ``(file, start, blank, kept)`` one row per block: its blank lines, and the kept lines after the last of them."""
+    now, done = None, []
+    for batch in batches:
+        blank, kept = _flags(batch)
+        for block, begin, end in _blocks(batch):
+            if now is None or now[0] != block:
+                done += [now] if now else []
+                now = (block, 0, 0)
+            ends = np.flatnonzero(blank[begin:end])
+            tail = int(kept[begin + (ends[-1] if len(ends) else 0) : end].sum())
+            now = (block, now[1] + len(ends), tail if len(ends) else now[2] + tail)
+    done += [now] if now else []
+    columns = zip(*[(*block, blanks, tail) for block, blanks, tail in done]) if done else [[]] * 4
+    types = (pa.string(), pa.int64(), pa.int64(), pa.int64())
+    yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], ["file", "start", "_blanks", "_tail"])
+
+
+def _numbered(before: dict) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Task function: the kept ones of lines ``(file, start, blank, kept, token, label)`` with their sentence and place.
+
+    ``before`` has the sentences before every block, and the tokens before it of the sentence it goes on with.
+    """
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, ended, at = None, 0, 0
+        for batch in batches:
+            blank, kept = _flags(batch)
+            ids, places = np.zeros(batch.num_rows, dtype=np.int64), np.zeros(batch.num_rows, dtype=np.int32)
+            for block, begin, end in _blocks(batch):
+                if block != now:
+                    now, (ended, at) = block, before[block]
+                own, found = np.cumsum(blank[begin:end]), np.cumsum(kept[begin:end])
+                earlier = found - kept[begin:end]
+                # What was kept up to the last blank line; a blank line itself is never kept.
+                reset = np.maximum.accumulate(np.where(blank[begin:end] > 0, earlier, -at))
+                ids[begin:end], places[begin:end] = ended + own, earlier - reset
+                ended, at = ended + int(own[-1]), int(found[-1] - reset[-1])
+            rows = pa.RecordBatch.from_arrays([pa.array(ids), pa.array(places), *batch.columns[4:]], ["doc_id", "pos", "token", "label"])
+            yield rows.filter(batch.column(3))
+
+    return number
+
+
+#: Stands between the values of a packed run; runs with values that hold it are not packed.
+MARK = "\x1f"
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows ``(id, pos, token, label)`` of an id that follow each other become one row.
+
+    Where positions count up by one and no value is null, tokens and labels are packed into one string each, which
+    shuffles in a fifth of the bytes; else they become arrays.
+    """
+    for batch in batches:
+        runs = pc.run_end_encode(batch.column(0))
+        at = np.concatenate([[0], runs.run_ends.to_numpy(zero_copy_only=False)])
+        pos, n = batch.column(1), len(at) - 1
+        packed = not any(c.null_count for c in batch.columns[1:])
+        packed = packed and not any(pc.any(pc.match_substring(c, MARK)).as_py() for c in batch.columns[2:])
+        if packed:
+            steps = np.diff(pos.to_numpy(zero_copy_only=False)) == 1
+            steps[at[1:-1] - 1] = True
+            packed = steps.all()
+        bounds = pa.array(at, pa.int32())
+        lists = [pa.ListArray.from_arrays(bounds, c) for c in batch.columns[1:]]
+        first = pos.take(pa.array(at[:-1])) if packed else pa.nulls(n, pos.type)
+        joined = [pc.binary_join(x, MARK) if packed else pa.nulls(n, pa.string()) for x in lists[1:]]
+        kept = [pa.nulls(n, x.type) if packed else x for x in lists]
+        yield pa.RecordBatch.from_arrays([runs.values, first, *joined, *kept], ["doc_id", "first", "tokens", "labels", "pos", "token", "label"])
 
 
 def sentences(rows: DataFrame) -> DataFrame:
-    """``(doc_id, sentence)`` with the ordered ``array<struct<pos,token,label>>`` of each sentence."""
-    return rows.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("pos", "token", "label"))).alias("sentence"))
+    """``(doc_id, sentence)`` with the ordered ``array<struct<pos,token,label>>`` of each sentence.
+
+    Rows that follow each other are gathered before the shuffle, so a sentence is a few rows there and not one per token.
+    Tokens and labels are strings, positions whole numbers.
+    """
+    columns = ("pos", "token", "label")
+    pos = rows.schema["pos"].dataType
+    arrays = [StructField(c, ArrayType(rows.schema[c].dataType)) for c in columns]
+    packed = [StructField("first", pos), StructField("tokens", StringType()), StructField("labels", StringType())]
+    runs = rows.select("doc_id", *columns).mapInArrow(_runs, StructType([rows.schema["doc_id"], *packed, *arrays]))
+    gathered = runs.groupBy("doc_id").agg(F.collect_list(F.struct("first", "tokens", "labels", *columns)).alias("_runs"))
+    kind = ArrayType(StructType([StructField(c, rows.schema[c].dataType) for c in columns]))
+
+    def unpacked(r: Column) -> Column:
+        place = lambda t, i, labels: F.struct((r["first"] + i).alias("pos"), t.alias("token"), F.get(labels, i).alias("label"))
+        parts = let(F.split(r["labels"], MARK), lambda y: F.transform(F.split(r["tokens"], MARK), lambda t, i: place(t, i, y)))
+        return F.when(r["first"].isNotNull(), parts.cast(kind)).otherwise(F.arrays_zip(*[r[c].alias(c) for c in columns]).cast(kind))
+
+    return gathered.select("doc_id", F.sort_array(F.flatten(F.transform("_runs", unpacked))).alias("sentence"))
 
 
 def read_report(spark: SparkSession, path: str) -> DataFrame:
