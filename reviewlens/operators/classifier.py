@@ -88,20 +88,20 @@ def fit_classifier(
         [str(x) for x in labels], inputCol=label, outputCol=f"{out}_label"
     ).transform(features.transform(train))
     n_rows = sum(r["n"] for r in weights)
-    # Iterations are jobs over this table: a few rows in many partitions would cost more than they compute.
-    ready = indexed.select(
-        f"{out}_features", f"{out}_label", F.element_at(weight_of, F.col(label)).alias("weight")
-    ).coalesce(max(1, n_rows // ROWS_PER_TASK)).persist()
+    held = indexed.select(f"{out}_features", f"{out}_label", F.element_at(weight_of, F.col(label)).alias("weight")).persist()
     try:
-        if learner == "naive_bayes":
+        if learner == "naive_bayes":  # one pass, in the tasks that make the features
             estimator = NaiveBayes(modelType="multinomial", smoothing=1.0, labelCol=f"{out}_label", **columns)
-            model = unsmoothed_priors(estimator.fit(ready), [r["n"] for r in weights])
+            model = unsmoothed_priors(estimator.fit(held), [r["n"] for r in weights])
         else:
+            # Iterations are jobs over this table: a few rows in many partitions would cost more than they compute.
+            # It is made by all tasks first, for the few that iterate would make it alone.
+            held.count()
             estimator = logistic_regression(n_rows, max_iter=max_iter, tol=tol)
             estimator.setParams(labelCol=f"{out}_label", weightCol="weight", **columns)
-            model = estimator.fit(ready)
+            model = estimator.fit(held.coalesce(max(1, n_rows // ROWS_PER_TASK)))
     finally:
-        ready.unpersist()
+        held.unpersist()
     names = IndexToString(inputCol=f"{out}_index", outputCol=f"{out}_name", labels=[str(x) for x in labels])
     scratch = ", ".join(
         quoted(f"{out}_{s}") for s in ("terms", "features_tf", "features_tfidf", "features", "raw", "prob", "index", "name")

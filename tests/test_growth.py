@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reviewlens.catalog import evaluation, models
-from reviewlens.operators import similarity
+from reviewlens.operators import classifier, features, similarity
 from reviewlens.sources import readers as R, writers as W
 
 
@@ -101,3 +101,34 @@ def test_sentences_are_gathered_before_the_shuffle(spark):
     assert whole.schema["sentence"].dataType.elementType.names == ["pos", "token", "label"]
     plan = whole._sc._jvm.PythonSQLUtils.explainString(whole._jdf.queryExecution(), "simple")
     assert plan.index("Exchange hashpartitioning") < plan.index("MapInArrow")
+
+
+@pytest.mark.parametrize("learner", ["naive_bayes", "logistic_regression"])
+def test_features_are_made_by_all_tasks(spark, monkeypatch, learner):
+    seen = []
+
+    def spy(cls):
+        fit = cls.fit
+
+        def watched(self, rows, *args):
+            seen.append((rows.rdd.getNumPartitions(), rows.storageLevel.useMemory))
+            return fit(self, rows, *args)
+
+        monkeypatch.setattr(cls, "fit", watched)
+
+    spy(classifier.NaiveBayes if learner == "naive_bayes" else classifier.LogisticRegression)
+    counted = []
+    monkeypatch.setattr(classifier, "logistic_regression", lambda *a, **k: counted.append(1) or classifier.LogisticRegression(maxIter=5))
+    rows = spark.range(0, 60, 1, 6).select(
+        F.concat(F.lit("word"), F.col("id") % 5, F.lit(" other"), F.col("id") % 3).alias("text"), (F.col("id") % 2).cast("string").alias("label")
+    )
+    tfidf = features.TfidfStages(["word1", "word2", "other1"], [1.0, 1.0, 1.0])
+    model = classifier.fit_classifier(rows, "label", learner, tfidf=tfidf)
+    assert model.transform(rows).count() == 60
+    assert seen == ([(6, True)] if learner == "naive_bayes" else [(1, False)])
+
+
+def test_only_known_words_are_paired(spark):
+    df = spark.createDataFrame([(["a", "b", "c", "a", "b"],), (["a"],), ([],), (None,)], "w array<string>")
+    got = [r[0] for r in df.select(features._known_pairs(F.col("w"), ["a", "b"])).collect()]
+    assert got == [["a b", "a b"], [], [], None]
