@@ -2,7 +2,7 @@
 
 The weights maximise the summed log-likelihood less ``c1`` times their absolute and ``c2`` times their squared values.
 Every step of the fit is one job: tasks run forward-backward over their own sentences and give the gradient of the slots
-they saw, Spark adds these per slot, and only the sums reach the driver. Sentences never leave their tasks.
+they saw, Spark adds these in blocks of slots, and only the sums reach the driver. Sentences never leave their tasks.
 """
 
 from __future__ import annotations
@@ -23,7 +23,11 @@ from reviewlens.session import discard, stored
 
 HISTORY = 6
 #: Sentences with about this many tokens are worked through at once.
-TOKENS_AT_ONCE = 20_000
+TOKENS_AT_ONCE = 100_000
+#: Samples of an eighth, a 64th and so on are fitted first, the smallest of them with at least this many tokens.
+LEAST_SAMPLE = 250_000
+#: Places of a gradient that tasks hand on in one piece.
+BLOCK = 1 << 14
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -125,21 +129,26 @@ def expectations(scores: np.ndarray, lengths: np.ndarray, start: np.ndarray, ste
     return float(norm.sum()), np.exp(ahead + behind - of_token), pairs
 
 
-def _rows_of(slots: pa.ListArray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sentence lengths, features a token, and the weight row of every feature; unknown slots have row ``len(known)``."""
+def _row_table(slots: np.ndarray) -> np.ndarray:
+    """Row of every slot up to the last known one; the others, and all beyond, have row ``len(slots)``."""
+    table = np.full(int(slots[-1]) + 2 if len(slots) else 1, len(slots), dtype=np.int32)
+    table[slots] = np.arange(len(slots))
+    return table
+
+
+def _rows_of(slots: pa.ListArray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sentence lengths, features a token, and the weight row of every feature, see ``_row_table``."""
     lengths = slots.value_lengths().to_numpy(zero_copy_only=False)
     tokens = slots.flatten()
     sizes = tokens.value_lengths().to_numpy(zero_copy_only=False)
     flat = tokens.flatten().to_numpy(zero_copy_only=False)
-    at = np.searchsorted(known, flat)
-    found = known[np.minimum(at, len(known) - 1)] == flat if len(known) else np.zeros(len(flat), dtype=bool)
-    return lengths.astype(np.int64), sizes.astype(np.int64), np.where(found, at, len(known))
+    return lengths.astype(np.int64), sizes.astype(np.int64), table[np.minimum(flat, len(table) - 1)]
 
 
 def _emissions(rows: np.ndarray, sizes: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """Summed weights of the features of each token, label by label; the last row of ``weights`` is zero."""
     token = np.repeat(np.arange(len(sizes)), sizes)
-    columns = [np.bincount(token, weights=weights[rows, k], minlength=len(sizes)) for k in range(weights.shape[1])]
+    columns = [np.bincount(token, weights=column[rows], minlength=len(sizes)) for column in np.ascontiguousarray(weights.T)]
     return np.stack(columns, axis=1) if columns else np.zeros((len(sizes), 0))
 
 
@@ -162,10 +171,10 @@ def _path_tagger(tagger: JointTagger) -> Callable[[Iterator[pa.RecordBatch]], It
     names = pa.array(tagger.labels, pa.string())
 
     def tag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = _padded(tagger.weights)
+        weights, table = _padded(tagger.weights), _row_table(tagger.slots)
         for batch in batches:
             for piece in _pieces(batch, "slots"):
-                lengths, sizes, rows = _rows_of(piece.column("slots"), tagger.slots)
+                lengths, sizes, rows = _rows_of(piece.column("slots"), table)
                 path = best_paths(_emissions(rows, sizes, weights), lengths, tagger.start, tagger.step)
                 at = pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32())
                 labels = pa.ListArray.from_arrays(at, names.take(pa.array(path)))
@@ -175,16 +184,17 @@ def _path_tagger(tagger: JointTagger) -> Callable[[Iterator[pa.RecordBatch]], It
 
 
 def _gradient_of(point, slots: np.ndarray, n: int):
-    """Task function: per place of the weight vector the gradient of the task's sentences, and at place -1 their loss."""
+    """Task function: blocks ``(block, value)`` of the gradient of the task's sentences; the last place is their loss."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         x = point.value
         cells = len(slots) * n
         weights, start, step = _padded(x[:cells].reshape(-1, n)), x[cells : cells + n], x[cells + n :].reshape(n, n)
-        total, loss = np.zeros(len(x)), 0.0
+        table, by_label = _row_table(slots), np.zeros((n, len(slots) + 1))
+        total, loss = np.zeros(len(x) + 1), 0.0
         for batch in batches:
             for piece in _pieces(batch, "slots"):
-                lengths, sizes, rows = _rows_of(piece.column("slots"), slots)
+                lengths, sizes, rows = _rows_of(piece.column("slots"), table)
                 y = piece.column("y").flatten().to_numpy(zero_copy_only=False).astype(np.int64)
                 scores = _emissions(rows, sizes, weights)
                 norm, probs, pairs = expectations(scores, lengths, start, step)
@@ -195,18 +205,24 @@ def _gradient_of(point, slots: np.ndarray, n: int):
                 np.add.at(pairs, (y[later - 1], y[later]), -1.0)
                 probs[np.arange(len(y)), y] -= 1.0
                 for k in range(n):
-                    each = np.bincount(rows, weights=np.repeat(probs[:, k], sizes), minlength=len(slots) + 1)
-                    total[k:cells:n] += each[: len(slots)]
+                    by_label[k] += np.bincount(rows, weights=np.repeat(probs[:, k], sizes), minlength=len(slots) + 1)
                 total[cells : cells + n] += probs[first].sum(axis=0)
-                total[cells + n :] += pairs.ravel()
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.append(-1, at), pa.int64()), pa.array(np.append(loss, total[at]), pa.float64())], ["at", "value"]
-        )
+                total[cells + n : -1] += pairs.ravel()
+        total[:cells], total[-1] = by_label[:, :-1].T.ravel(), loss
+        parts = [(k, total[k * BLOCK : (k + 1) * BLOCK]) for k in range(-(-len(total) // BLOCK))]
+        for k, values in parts:
+            if values.any():
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([values.tobytes()], pa.binary())], ["block", "value"])
 
     return add
 
 
+def _summed(blocks: pa.Table) -> pa.Table:
+    """The blocks of one place added."""
+    total = sum(np.frombuffer(v.as_buffer(), dtype=np.float64) for v in blocks.column("value"))
+    return pa.table({"block": blocks.column("block").slice(0, 1), "value": pa.array([total.tobytes()], pa.binary())})
+
+
 def prepared(sentences: DataFrame, tokens: str, labels: str, num_features: int, names: list[str]) -> DataFrame:
     """``(slots, y)`` of sentences with tokens; ``y`` are places in ``names``."""
     places = F.transform(F.col(labels), lambda y: F.array_position(F.array(*[F.lit(x) for x in names]), y).cast("int") - 1)
@@ -214,17 +230,18 @@ def prepared(sentences: DataFrame, tokens: str, labels: str, num_features: int,
 
 
 def loss_and_gradient(ready: DataFrame, point: np.ndarray, slots: np.ndarray, n: int) -> tuple[float, np.ndarray]:
-    """Summed negative log-likelihood and its gradient, added over the tasks by one shuffle of the touched places."""
+    """Summed negative log-likelihood and its gradient, added over the tasks by one shuffle of blocks."""
     shared = ready.sparkSession.sparkContext.broadcast(point)
     try:
-        parts = ready.mapInArrow(_gradient_of(shared, slots, n), "at long, value double")
-        sums = parts.groupBy("at").agg(F.sum("value").alias("value")).toArrow()
+        parts = ready.mapInArrow(_gradient_of(shared, slots, n), "block int, value binary")
+        sums = parts.groupBy("block").applyInArrow(_summed, "block int, value binary").toArrow()
     finally:
         shared.destroy()
-    at, value = sums.column("at").to_numpy(), sums.column("value").to_numpy()
-    gradient = np.zeros(len(point))
-    gradient[at[at >= 0]] = value[at >= 0]
-    return float(value[at < 0].sum()), gradient
+    total = np.zeros(len(point) + 1)
+    for block, value in zip(sums.column("block").to_pylist(), sums.column("value").to_pylist()):
+        part = np.frombuffer(value, dtype=np.float64)
+        total[block * BLOCK : block * BLOCK + len(part)] = part
+    return float(total[-1]), total[:-1]
 
 
 def subgradient(x: np.ndarray, gradient: np.ndarray, c1: float) -> np.ndarray:
@@ -284,10 +301,12 @@ def minimise(evaluate, x: np.ndarray, c1: float, bar: float, max_iter: int, hist
     return x, float(np.abs(slope).max(initial=0.0))
 
 
-def _penalised(ready: DataFrame, slots: np.ndarray, n: int, c2: float):
+def _penalised(ready: DataFrame, slots: np.ndarray, n: int, c2: float, weight: float = 1.0):
+    """Loss and gradient with the square penalty; every sentence counts ``weight`` times."""
+
     def evaluate(x: np.ndarray) -> tuple[float, np.ndarray]:
         loss, gradient = loss_and_gradient(ready, x, slots, n)
-        return loss + c2 * (x @ x), gradient + 2 * c2 * x
+        return weight * loss + c2 * (x @ x), weight * gradient + 2 * c2 * x
 
     return evaluate
 
@@ -319,12 +338,22 @@ def fit_joint_tagger(
     n, total = len(names), sum(r["count"] for r in counts)
     if not n:
         raise ValueError("no sentence has tokens")
-    # Every step is a job over this table: a task should have tokens enough to be worth its gradient.
+    # Every step is a job over this table: a task should have tokens enough to be worth its gradient, and more tasks than
+    # run in a few waves only give more gradients to add.
+    tasks = max(1, min(total // TOKENS_PER_TASK, 3 * held.sparkSession.sparkContext.defaultParallelism))
     ready = prepared(held, "tokens", "labels", num_features, names)
-    ready = stored(ready.coalesce(max(1, total // TOKENS_PER_TASK)), "slots")
+    ready = stored(ready.coalesce(tasks), "slots")
     seen = ready.select(F.explode(F.flatten("slots")).alias("slot")).distinct().toArrow()
     slots = np.sort(seen.column("slot").to_numpy()).astype(np.int64)
-    x, largest = minimise(_penalised(ready, slots, n, c2), np.zeros(len(slots) * n + n + n * n), c1, tol * total, max_iter)
+    x = np.zeros(len(slots) * n + n + n * n)
+    # The optimum is unique, so where the steps begin only decides how many passes over all sentences are left.
+    shares = [8**k for k in range(1, 20) if total // 8**k >= LEAST_SAMPLE]
+    for share in reversed(shares):
+        sample = stored(ready.where(F.pmod(F.xxhash64("slots", "y"), F.lit(share)) == 0).coalesce(max(1, min(total // share // TOKENS_PER_TASK, tasks))), "sample")
+        # The sums of a sample are off by so much more than those of all sentences; going on would only fit its chance.
+        x, _ = minimise(_penalised(sample, slots, n, c2, share), x, c1, tol * total * share**0.5, max_iter)
+        discard(sample)
+    x, largest = minimise(_penalised(ready.coalesce(tasks), slots, n, c2), x, c1, tol * total, max_iter)
     discard(held, ready)
     cells = len(slots) * n
     return JointTagger(

@@ -104,6 +104,27 @@ def test_fit_is_optimal_and_learns_order(spark, corpus):
     assert "Exchange" not in plan.split("InMemoryRelation")[0]
 
 
+def test_samples_save_passes_over_all_sentences(spark, corpus, monkeypatch):
+    monkeypatch.setattr(J, "BLOCK", 7)
+    whole, passes = corpus.count(), []
+
+    def counted(ready, *rest, real=J.loss_and_gradient):
+        passes.append(ready.count())
+        return real(ready, *rest)
+
+    monkeypatch.setattr(J, "loss_and_gradient", counted)
+    taggers, counts = [], []
+    for least in (1 << 30, 50):
+        monkeypatch.setattr(J, "LEAST_SAMPLE", least, raising=False)
+        passes.clear()
+        taggers.append(J.fit_joint_tagger(corpus, c1=0.05, c2=0.05, num_features=1 << 10, max_iter=200, tol=1e-3))
+        counts.append(sum(n == whole for n in passes))
+    assert len(passes) > counts[1] and counts[1] < counts[0]
+    assert all(t.largest <= 1e-3 for t in taggers)
+    found = [{r["id"]: r["labels"] for r in t.tag(corpus.select("id", "tokens"), "id", "tokens").collect()} for t in taggers]
+    assert found[0] == found[1]
+
+
 def test_storage_report_and_blank_texts(spark, corpus):
     done = train_tagger(corpus, "id", fit=J.fit_joint_tagger, num_features=1 << 10, max_iter=60)
     assert done.accuracy.first()["accuracy"] > 0.9
