@@ -23,6 +23,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 ROUNDING = 1e-12
 #: Pairs of texts, and products of their counts, that are held at once.
 PAIRS_AT_ONCE, PRODUCTS_AT_ONCE = 1 << 19, 1 << 21
+#: Rows of a typo index that is sent to the tasks.
+INDEX_ROWS = 200_000
 #: Words that are counted at once; a longer text stands alone.
 WORDS_AT_ONCE = 1 << 19
 
@@ -78,7 +80,8 @@ def correct_words(words: DataFrame, vocabulary: DataFrame, max_distance: int = 2
     index = index.select("rank", "to", F.explode(index_keys(F.col("to"), max_distance)).alias("_key"))
     tried = distinct.where(F.char_length("word") <= longest + max_distance)
     tried = tried.select("word", F.explode(probe_keys(F.col("word"), max_distance)).alias("_key"))
-    met = lookup_join(tried, index, ["_key"], ["word"], how="inner")
+    # The keys of the words are many times the words, so an index that tasks can hold is worth sending; its bytes are checked.
+    met = lookup_join(tried, stored(index, "index"), ["_key"], ["word"], how="inner", max_rows=INDEX_ROWS)
     found = met.withColumn("distance", F.levenshtein(F.col("word"), F.col("to"), max_distance))
     best = found.where("distance >= 0").groupBy("word").agg(F.min(F.struct("distance", "rank", "to")).alias("_best"))
     return distinct.join(best, "word", "left").select(

@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from reviewlens.catalog import evaluation, models
-from reviewlens.operators import classifier, features, similarity
+from reviewlens.operators import classifier, features, joins, similarity
+from reviewlens.session import stored
 from reviewlens.sources import readers as R, writers as W
 
 
@@ -132,3 +133,31 @@ def test_only_known_words_are_paired(spark):
     df = spark.createDataFrame([(["a", "b", "c", "a", "b"],), (["a"],), ([],), (None,)], "w array<string>")
     got = [r[0] for r in df.select(features._known_pairs(F.col("w"), ["a", "b"])).collect()]
     assert got == [["a b", "a b"], [], [], None]
+
+
+def counting(spark, kind):
+    """A function for a column that passes values on, and the number of rows it has seen."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def passed(x):
+        seen.add(1)
+        return x
+
+    return F.udf(passed, kind), seen
+
+
+def test_lookup_join_counts_costly_rows_once(spark):
+    watch, seen = counting(spark, "string")
+    rows = spark.range(30).select("id", watch((F.col("id") % 4).cast("string")).alias("k"))
+    table = spark.createDataFrame([(str(k), k) for k in range(3)], "k string, v int")
+    got = joins.lookup_join(rows, table, ["k"], ["id"], max_rows=0)
+    assert seen.value == 30
+    assert sorted((r["id"], r["v"]) for r in got.where("v is not null").collect()) == [(i, i % 4) for i in range(30) if i % 4 < 3]
+
+
+def test_typos_of_a_middling_vocabulary_move_no_keys(spark):
+    known = spark.createDataFrame([(f"{k:05d}word", k) for k in range(4000)], "word string, rank int")
+    words = spark.createDataFrame([("00007wird",), ("zzz",)], "word string")
+    got = similarity.correct_words(words, known, 1)
+    assert not any("_key" in columns for columns in exchanged(spark, got))
+    assert {r["word"]: (r["corrected"], r["distance"]) for r in got.collect()} == {"00007wird": ("00007word", 1), "zzz": ("zzz", None)}
