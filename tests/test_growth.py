@@ -161,3 +161,15 @@ def test_typos_of_a_middling_vocabulary_move_no_keys(spark):
     got = similarity.correct_words(words, known, 1)
     assert not any("_key" in columns for columns in exchanged(spark, got))
     assert {r["word"]: (r["corrected"], r["distance"]) for r in got.collect()} == {"00007wird": ("00007word", 1), "zzz": ("zzz", None)}
+
+
+def test_small_dictionaries_move_no_texts(spark):
+    texts = [(1, ["a", None, "c", "a"]), (2, []), (3, None), (1, ["c"]), (None, ["a"])]
+    df = spark.createDataFrame(texts, "id long, w array<string>")
+    table = spark.createDataFrame([("a", "z"), ("a", "b"), (None, "n"), ("q", "r")], "word string, replacement string")
+    got = joins.replace_words(df, "id", "w", table, "o")
+    assert not exchanged(spark, got)
+    want = [(1, ["b", "n", "c", "b"]), (2, []), (3, None), (1, ["c"]), (None, ["a"])]
+    assert sorted(map(str, ((r["id"], r["o"]) for r in got.collect()))) == sorted(map(str, want))
+    none = joins.replace_words(df, "id", "w", table.limit(0), "o")
+    assert [r["o"] for r in none.collect()] == [w for _, w in texts]
