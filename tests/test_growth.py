@@ -155,6 +155,19 @@ def test_lookup_join_counts_costly_rows_once(spark):
     assert sorted((r["id"], r["v"]) for r in got.where("v is not null").collect()) == [(i, i % 4) for i in range(30) if i % 4 < 3]
 
 
+@pytest.mark.parametrize("preview", [False, True])
+def test_weights_of_all_words_read_the_texts_once(spark, preview):
+    watch, seen = counting(spark, "array<string>")
+    texts = spark.createDataFrame([(i, ["a", f"w{i}", "a"] if i else []) for i in range(9)], "id long, w array<string>")
+    idf = stored(features.with_idf(features.vocabulary(texts, F.col("w"), 1, None), 9), "idf")
+    if preview:
+        got = features.tfidf_preview(texts, "id", watch("w"), idf, {"a": "a"}, max_rows=0)
+    else:
+        got = features.tfidf_long(texts, "id", watch("w"), idf, max_rows=0)
+    rows = got.collect()
+    assert seen.value == 9 and len(rows) == (9 if preview else 16)
+
+
 def test_typos_of_a_middling_vocabulary_move_no_keys(spark):
     known = spark.createDataFrame([(f"{k:05d}word", k) for k in range(4000)], "word string, rank int")
     words = spark.createDataFrame([("00007wird",), ("zzz",)], "word string")
