@@ -64,7 +64,9 @@ def read_batch(spark: SparkSession, path: str, format: str = "csv", multi_line:
 
 def bio_rows(lines: DataFrame, fields: Column, with_pos: bool) -> DataFrame:
     width = 4 if with_pos else 3
-    kept = lines.withColumn("_f", fields).where((F.size("_f") == width) & (F.get("_f", F.lit(0)) != "sentence_id"))
+    # An explode of one line or none: a filter would take the line apart once more for each of its conditions.
+    known = lambda f: F.when((F.size(f) == width) & (F.get(f, F.lit(0)) != "sentence_id"), f)
+    kept = lines.select("*", F.explode(F.array_compact(F.transform(F.array(fields), known))).alias("_f"))
     return kept.select(
         "*",
         F.get("_f", F.lit(0)).cast("long").alias("doc_id"),

@@ -186,3 +186,13 @@ def test_small_dictionaries_move_no_texts(spark):
     assert sorted(map(str, ((r["id"], r["o"]) for r in got.collect()))) == sorted(map(str, want))
     none = joins.replace_words(df, "id", "w", table.limit(0), "o")
     assert [r["o"] for r in none.collect()] == [w for _, w in texts]
+
+
+@pytest.mark.parametrize("with_pos", [True, False])
+def test_token_lines_are_taken_apart_once(spark, tmp_path, with_pos):
+    lines = ["sentence_id\tpos\ttoken\tlabel", "3\t0\ta\tO", "", "3\t1\tb\tO", "bad\tline", "4\t0\tc\tB-X"]
+    lines = lines if with_pos else [line.replace("\t0\t", "\t").replace("\t1\t", "\t") for line in lines]
+    (tmp_path / "t.tsv").write_text("\n".join(lines))
+    got = R.read_bio_tsv(spark, str(tmp_path), with_pos)
+    assert got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("split(") == 1
+    assert sorted(map(tuple, got.collect())) == [(3, 0, "a", "O"), (3, 1, "b", "O"), (4, 0, "c", "B-X")]
