@@ -192,8 +192,37 @@ def token_probabilities(df: DataFrame, id_col: str, tokens: str, tagger: Tagger)
 
 def _probabilities(tokens: DataFrame, id_col: str, tagger: Tagger) -> DataFrame:
     features = F.coalesce("col.features", F.array().cast("array<string>")).alias("features")
-    scored = tagger.emissions.transform(tokens.select(id_col, "pos", "col.token", features))
-    return scored.select(id_col, "pos", "token", vector_to_array("probability").alias("probs"))
+    rows = tokens.select(id_col, "pos", "col.token", features)
+    hashing, counting, model = tagger.emissions.stages
+    intercepts = model.interceptVector.toArray()
+    if not np.isfinite(intercepts).all():  # MLlib's sign of a single label
+        scored = tagger.emissions.transform(rows)
+        return scored.select(id_col, "pos", "token", vector_to_array("probability").alias("probs"))
+    score = label_shares(np.array(counting.vocabulary, dtype=np.int64), model.coefficientMatrix.toArray(), intercepts)
+    slots = F.array_distinct(F.col("slots").cast("array<int>"))
+    return hashing.transform(rows).select(id_col, "pos", "token", F.arrow_udf(score, "array<double>")(slots).alias("probs"))
+
+
+def label_shares(slots: np.ndarray, coefficients: np.ndarray, intercepts: np.ndarray) -> Callable[[pa.Array], pa.Array]:
+    """Function on the lists of a token's slots: the label probabilities of the regression. Unknown slots weigh nothing.
+
+    The same as the vectors of the fitted stages would give, without making a vector of each token.
+    """
+    order, n = np.argsort(slots), len(intercepts)
+    known, weights = slots[order], np.hstack([coefficients[:, order], np.zeros((n, 1))])
+
+    def shares(lists: pa.Array) -> pa.Array:
+        sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
+        flat = lists.flatten().to_numpy(zero_copy_only=False)
+        at = np.searchsorted(known, flat)
+        at = np.where(known[np.minimum(at, len(known) - 1)] == flat, at, len(known))
+        token = np.repeat(np.arange(len(sizes)), sizes)
+        margins = np.stack([np.bincount(token, w[at], len(sizes)) + b for w, b in zip(weights, intercepts)], axis=1)
+        odds = np.exp(margins - margins.max(axis=1, keepdims=True))
+        odds /= odds.sum(axis=1, keepdims=True)
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(sizes) + 1) * n, pa.int32()), pa.array(odds.ravel()))
+
+    return shares
 
 
 def tag_tokens(df: DataFrame, id_col: str, tokens: str, tagger: Tagger) -> DataFrame:

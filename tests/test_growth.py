@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reviewlens.catalog import evaluation, models
-from reviewlens.operators import classifier, features, joins, similarity
+from reviewlens.operators import classifier, features, joins, similarity, tagger
 from reviewlens.session import stored
 from reviewlens.sources import readers as R, writers as W
 
@@ -196,3 +196,20 @@ def test_token_lines_are_taken_apart_once(spark, tmp_path, with_pos):
     got = R.read_bio_tsv(spark, str(tmp_path), with_pos)
     assert got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("split(") == 1
     assert sorted(map(tuple, got.collect())) == [(3, 0, "a", "O"), (3, 1, "b", "O"), (4, 0, "c", "B-X")]
+
+
+def test_token_scores_equal_the_stages_without_vectors(spark):
+    rows = [(1, ["Hotel", "A", "di", "Solo"], ["B", "I", "O", "L"]), (2, ["kamar", "di", "Hotel", "A"], ["O", "O", "B", "I"])]
+    corpus = spark.createDataFrame(rows, "id long, tokens array<string>, labels array<string>")
+    fitted = tagger.fit_tagger(corpus, num_features=16, max_iter=20)  # so few slots that features of a token share them
+    texts = spark.createDataFrame([(1, ["Solo", "zzz", "Hotel"]), (2, []), (3, None)], "id long, tokens array<string>")
+    got = tagger.token_probabilities(texts, "id", "tokens", fitted)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "ArrowEvalPython" in plan and "UDF(" not in plan
+    features = texts.where("id = 1").select(F.posexplode(tagger.feature_rows(F.col("tokens"))).alias("pos", "features"))
+    want = {r["pos"]: r["probability"].toArray() for r in fitted.emissions.transform(features).collect()}
+    found = {(r["id"], r["pos"]): r["probs"] for r in got.collect()}
+    assert set(found) == {(1, k) for k in want} and len(want) == 3
+    assert all(found[1, k] == pytest.approx(p, abs=1e-12) for k, p in want.items())
+    alone = tagger.fit_tagger(corpus.withColumn("labels", F.transform("tokens", lambda t: F.lit("O"))), num_features=16)
+    assert all(r["probs"] == [1.0] for r in tagger.token_probabilities(texts, "id", "tokens", alone).collect())
