@@ -350,8 +350,7 @@ def fit_joint_tagger(
     shares = [8**k for k in range(1, 20) if total // 8**k >= LEAST_SAMPLE]
     for share in reversed(shares):
         sample = stored(ready.where(F.pmod(F.xxhash64("slots", "y"), F.lit(share)) == 0).coalesce(max(1, min(total // share // TOKENS_PER_TASK, tasks))), "sample")
-        # The sums of a sample are off by so much more than those of all sentences; going on would only fit its chance.
-        x, _ = minimise(_penalised(sample, slots, n, c2, share), x, c1, tol * total * share**0.5, max_iter)
+        x, _ = minimise(_penalised(sample, slots, n, c2, share), x, c1, tol * total, max_iter)
         discard(sample)
     x, largest = minimise(_penalised(ready.coalesce(tasks), slots, n, c2), x, c1, tol * total, max_iter)
     discard(held, ready)
