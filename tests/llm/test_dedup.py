@@ -232,6 +232,29 @@ def test_templated_texts_make_few_pairs(spark, monkeypatch):
     assert tested[1] <= 40
 
 
+def test_near_copies_of_one_text_take_few_rounds(spark, monkeypatch):
+    """Edited at random places, copies first meet at many keys; the rounds must not go on for the few pairs each finds."""
+    draw, tested = random.Random(3), []
+    base = [f"w{draw.randrange(5000)}" for _ in range(300)]
+    texts = []
+    for _ in range(80):
+        text = list(base)
+        for _ in range(draw.randint(2, 5)):
+            text[draw.randrange(300)] = f"x{draw.randrange(10**6)}"
+        texts.append(" ".join(text))
+    verify = simhash._verified
+
+    def counted(pairs, *rest):
+        tested.append(pairs.distinct().count())
+        assert len(tested) <= 4
+        return verify(pairs, *rest)
+
+    monkeypatch.setattr(simhash, "_verified", counted)
+    root = {r["node"]: r["root"] for r in near_groups(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert root == dict.fromkeys(range(80), 0)
+    assert sum(tested) < 80 * 79 / 4
+
+
 def test_marks_bound_the_difference():
     draw = np.random.default_rng(2)
     for _ in range(200):
