@@ -47,7 +47,7 @@ def bio_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("tokens", B.ner_tokenize(F.col("text")))
     tagged = docs.withColumn("labels", B.keyword_bio_tag(F.col("tokens"), F.col("lang"), KEYWORDS))
     path = shared_dir(spark, "bio-roundtrip")
-    write_bio_tsv(bio_table(tagged, "doc_id"), path)
+    write_bio_tsv(bio_table(tagged, "doc_id"), path, compression="gzip")
     return read_bio_tsv(spark, path).withColumn("pos", F.col("pos").cast("long"))
 
 

@@ -197,16 +197,23 @@ def _numbered(before: dict) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
 MARK = "\x1f"
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _runs(batches: Iterator[pa.RecordBatch], in_steps: bool = False) -> Iterator[pa.RecordBatch]:
     """Rows ``(id, pos, token, label)`` of an id that follow each other become one row.
 
     Where positions count up by one and no value is null, tokens and labels are packed into one string each, which
-    shuffles in a fifth of the bytes; else they become arrays.
+    shuffles in a fifth of the bytes; else they become arrays. With ``in_steps`` a run also ends where positions do not
+    count up by one, and ``first`` is the place of every run.
     """
     for batch in batches:
+        if not batch.num_rows:
+            continue
         runs = pc.run_end_encode(batch.column(0))
         at = np.concatenate([[0], runs.run_ends.to_numpy(zero_copy_only=False)])
-        pos, n = batch.column(1), len(at) - 1
+        pos = batch.column(1)
+        if in_steps:
+            steps = pc.fill_null(pc.equal(pc.subtract(pos[1:], pos[:-1]), 1), False)
+            at = np.union1d(at, 1 + np.flatnonzero(~steps.to_numpy(zero_copy_only=False)))
+        n = len(at) - 1
         packed = not any(c.null_count for c in batch.columns[1:])
         packed = packed and not any(pc.any(pc.match_substring(c, MARK)).as_py() for c in batch.columns[2:])
         if packed:
@@ -215,10 +222,47 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             packed = steps.all()
         bounds = pa.array(at, pa.int32())
         lists = [pa.ListArray.from_arrays(bounds, c) for c in batch.columns[1:]]
-        first = pos.take(pa.array(at[:-1])) if packed else pa.nulls(n, pos.type)
+        begins = pa.array(at[:-1])
+        first = pos.take(begins) if packed or in_steps else pa.nulls(n, pos.type)
         joined = [pc.binary_join(x, MARK) if packed else pa.nulls(n, pa.string()) for x in lists[1:]]
         kept = [pa.nulls(n, x.type) if packed else x for x in lists]
-        yield pa.RecordBatch.from_arrays([runs.values, first, *joined, *kept], ["doc_id", "first", "tokens", "labels", "pos", "token", "label"])
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(begins), first, *joined, *kept], ["doc_id", "first", "tokens", "labels", "pos", "token", "label"])
+
+
+def _run_schema(rows: DataFrame) -> StructType:
+    arrays = [StructField(c, ArrayType(rows.schema[c].dataType)) for c in ("pos", "token", "label")]
+    packed = [StructField("first", rows.schema["pos"].dataType), StructField("tokens", StringType()), StructField("labels", StringType())]
+    return StructType([rows.schema["doc_id"], *packed, *arrays])
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows that ``_runs`` gathered, in the order of the runs."""
+    for batch in batches:
+        packed = batch.column(2).is_valid().to_numpy(zero_copy_only=False)
+        cuts = [0, *(1 + np.flatnonzero(np.diff(packed))).tolist(), batch.num_rows] if batch.num_rows else []
+        for begin, end in zip(cuts, cuts[1:]):
+            doc_id, first, tokens, labels, *arrays = batch.slice(begin, end - begin).columns
+            if packed[begin]:
+                token, label = (pc.split_pattern(c, MARK) for c in (tokens, labels))
+                sizes = pc.list_value_length(token).to_numpy()
+                run = np.repeat(np.arange(len(sizes)), sizes)
+                place = np.arange(len(run)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                pos = pa.array(first.to_numpy()[run] + place).cast(first.type)
+            else:
+                pos, token, label = arrays
+                run, pos = pc.list_parent_indices(pos), pos.flatten()
+            yield pa.RecordBatch.from_arrays([doc_id.take(pa.array(run)), pos, token.flatten(), label.flatten()], ["doc_id", "pos", "token", "label"])
+
+
+def ordered_rows(rows: DataFrame) -> DataFrame:
+    """Token rows in ranges of ``doc_id``, in the order of ids and places.
+
+    What is shuffled and sorted are runs of rows whose positions count up, packed, and not the rows. Runs that overlap, which
+    only sentences of the same id do, follow each other.
+    """
+    rows = rows.select("doc_id", "pos", F.col("token").cast("string").alias("token"), F.col("label").cast("string").alias("label"))
+    runs = rows.mapInArrow(lambda batches: _runs(batches, in_steps=True), _run_schema(rows))
+    return runs.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "first").mapInArrow(_unpacked, rows.schema)
 
 
 def sentences(rows: DataFrame) -> DataFrame:
@@ -228,10 +272,7 @@ def sentences(rows: DataFrame) -> DataFrame:
     Tokens and labels are strings, positions whole numbers.
     """
     columns = ("pos", "token", "label")
-    pos = rows.schema["pos"].dataType
-    arrays = [StructField(c, ArrayType(rows.schema[c].dataType)) for c in columns]
-    packed = [StructField("first", pos), StructField("tokens", StringType()), StructField("labels", StringType())]
-    runs = rows.select("doc_id", *columns).mapInArrow(_runs, StructType([rows.schema["doc_id"], *packed, *arrays]))
+    runs = rows.select("doc_id", *columns).mapInArrow(_runs, _run_schema(rows))
     gathered = runs.groupBy("doc_id").agg(F.collect_list(F.struct("first", "tokens", "labels", *columns)).alias("_runs"))
     kind = ArrayType(StructType([StructField(c, rows.schema[c].dataType) for c in columns]))
 

@@ -7,6 +7,8 @@ import uuid
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from reviewlens.sources.readers import ordered_rows
+
 
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with header, UTF-8, quotes doubled as spreadsheets expect."""
@@ -16,19 +18,17 @@ def write_csv(df: DataFrame, path: str) -> None:
     )
 
 
-def write_bio_tsv(rows: DataFrame, path: str) -> None:
+def write_bio_tsv(rows: DataFrame, path: str, compression: str = "none") -> None:
     """Token table to tab-separated files, whole sentences in order; nothing is quoted or escaped.
 
-    Range partitions keep equal ids together, so no sentence is torn.
+    Range partitions keep equal ids together, so no sentence is torn; sentences of the same id follow each other.
+    With ``compression="gzip"`` the files take a tenth of the disk; each is then read by one task, as it was written.
     """
-    ordered = rows.select(F.col("doc_id").alias("sentence_id"), "pos", "token", "label")
-    (
-        ordered.repartitionByRange("sentence_id")
-        .sortWithinPartitions("sentence_id", "pos")
-        .write.mode("overwrite")
-        .csv(path, sep="\t", header=True, quote="", escape="", ignoreLeadingWhiteSpace=False,
-             ignoreTrailingWhiteSpace=False)
-    )
+    ordered = ordered_rows(rows).withColumnRenamed("doc_id", "sentence_id")
+    ordered.write.mode("overwrite").csv(
+        path, sep="\t", header=True, quote="", escape="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+        compression=compression,
+    )
 
 
 def write_bio_sentences(sentences: DataFrame, path: str) -> None:

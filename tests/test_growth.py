@@ -1,5 +1,6 @@
 """Steps whose time, shuffle or memory must not grow faster than the tables."""
 
+import gzip
 import random
 from collections import Counter
 
@@ -90,6 +91,22 @@ def test_token_lines_are_not_shuffled_to_number_sentences(spark, tmp_path):
     assert sorted(r["token"] for r in read.collect()) == sorted(t for _, ts, _ in rows for t in ts)
 
 
+def test_token_files_shuffle_packed_runs(spark, tmp_path):
+    odd = [(None, 0, "n", "O"), (7, 3, None, "O"), (7, 0, "a\x1fb", "O"), (7, 1, "x", None), (8, None, "z", "O"), (9, 1, "twice", "O"), (9, 1, "twice", "O")]
+    rows = [(d, p, f"t{d}_{p}", "O") for d in range(20, 60) for p in range(d % 7)] + odd
+    table = spark.createDataFrame(rows, "doc_id long, pos int, token string, label string")
+    for name, source in (("whole", table.coalesce(1)), ("torn", table.repartition(5, F.rand(1)))):
+        path = str(tmp_path / name)
+        found = R.ordered_rows(source)
+        assert "tokens#" in exchanged(spark, found)[-1] or "tokens#" in exchanged(spark, found)[0]
+        assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, rows))
+        W.write_bio_tsv(source.where("doc_id >= 20"), path, compression="gzip")
+        files = [[line.split("\t") for line in gzip.open(f, "rt").read().splitlines()[1:]] for f in sorted((tmp_path / name).glob("*.gz"))]
+        lines = [(int(d), int(p)) for lines in files for d, p, *_ in lines]
+        assert lines == sorted((d, p) for d, p, *_ in rows if d and d >= 20)
+        assert sorted(map(tuple, R.read_bio_tsv(spark, path).collect())) == sorted(r for r in rows if r[0] and r[0] >= 20)
+
+
 def test_sentences_are_gathered_before_the_shuffle(spark):
     rows = spark.range(0, 4000, 1, 2).select(
         F.when(F.col("id") >= 100, F.floor(F.col("id") / 100)).alias("doc_id"), (F.col("id") % 100).cast("int").alias("pos"),
