@@ -14,7 +14,7 @@ from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from reviewlens.functions.arrays import let
 from reviewlens.functions.fixed_values import MISSING_TEXTS
-from reviewlens.functions.text import strip_spaces
+from reviewlens.functions.text import SPACE_CHARS, strip_spaces
 from reviewlens.operators.labels import drop_incomplete, require_columns
 from reviewlens.session import stored
 
@@ -106,17 +106,11 @@ def read_bio_sentences(spark: SparkSession, path: str) -> DataFrame:
     the sentences in the order of the files' paths, with gaps where blank lines follow each other. The end of a file ends its last sentence. Lines of other
     than three fields, the header among them, are skipped and end nothing.
 
-    A file is read in blocks, and the lines of a block stay in order in one task, which counts its blank lines and the tokens
-    since the last. A first pass leaves one row per block; what the blocks before hold is then added to these counts. No line is shuffled.
+    A file is read in blocks, and the lines of a block stay in order in one task, which takes them apart, counts its blank lines and the
+    tokens since the last. A first pass leaves one row per block; what the blocks before hold is then added to these counts. No line is shuffled.
     """
-    line = strip_spaces(F.col("value"))
-    fields = F.split(line, "\t")
-    kept = (F.size("_f") == 3) & (F.get("_f", F.lit(0)) != "sentence_id")
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), (line == "").alias("blank"), fields.alias("_f")
-    )
-    lines = lines.select("file", "start", "blank", kept.alias("kept"), "_f")
-    by_block = lines.drop("_f").mapInArrow(_block_sums, "file string, start long, _blanks long, _tail long")
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value")
+    by_block = lines.mapInArrow(_block_sums, "file string, start long, _blanks long, _tail long")
     by_block = stored(by_block, "blocks")
     # One row per block, then one per file: small whatever the files hold.
     in_file = Window.partitionBy("file").orderBy("start")
@@ -129,8 +123,7 @@ def read_bio_sentences(spark: SparkSession, path: str) -> DataFrame:
     offsets = offsets.withColumn("_carried", F.lag("_open", 1, 0).over(in_file)).join(by_file, "file")
     offsets = offsets.select("file", "start", (F.col("_first") + F.col("_upto") - F.col("_blanks")).alias("_offset"), "_carried")
     before = {(r["file"], r["start"]): (r["_offset"], r["_carried"]) for r in offsets.collect()}
-    tokens = lines.select("file", "start", "blank", "kept", F.get("_f", F.lit(1)).alias("token"), F.get("_f", F.lit(2)).alias("label"))
-    return tokens.mapInArrow(_numbered(before), "doc_id long, pos int, token string, label string")
+    return lines.mapInArrow(_numbered(before), "doc_id long, pos int, token string, label string")
 
 
 def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[tuple[str, int], int, int]]:
@@ -145,15 +138,27 @@ def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[tuple[str, int], int, int]]
         yield (files[begin].as_py(), starts[begin].as_py()), begin, end
 
 
-def _flags(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-    return (batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (2, 3))
+def _stripped(lines: pa.Array) -> pa.Array:
+    """``strip_spaces`` for an Arrow column."""
+    try:
+        return pc.utf8_trim(lines, SPACE_CHARS)
+    except pa.ArrowInvalid:  # some bytes are no UTF-8; they stay as they are
+        texts = (line.as_buffer().to_pybytes().decode("utf-8", "surrogateescape") for line in lines)
+        found = pa.array([t.strip(SPACE_CHARS).encode("utf-8", "surrogateescape") for t in texts], pa.binary())
+        return pc.cast(found, options=pc.CastOptions(target_type=pa.string(), allow_invalid_utf8=True))
+
+
+def _flags(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the stripped lines are blank, and which have three fields and are no header."""
+    kept = pc.and_not(pc.equal(pc.count_substring(lines, "\t"), 2), pc.starts_with(lines, "sentence_id\t"))
+    return tuple(x.to_numpy(zero_copy_only=False).astype(np.int64) for x in (pc.equal(pc.binary_length(lines), 0), kept))
 
 
 def _block_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From lines ``(file, start, blank, kept)`` one row per block: its blank lines, and the kept lines after the last of them."""
+    """From lines ``(file, start, value)`` one row per block: its blank lines, and the kept lines after the last of them."""
     now, done = None, []
     for batch in batches:
-        blank, kept = _flags(batch)
+        blank, kept = _flags(_stripped(batch.column(2)))
         for block, begin, end in _blocks(batch):
             if now is None or now[0] != block:
                 done += [now] if now else []
@@ -168,7 +173,7 @@ def _block_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _numbered(before: dict) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Task function: the kept ones of lines ``(file, start, blank, kept, token, label)`` with their sentence and place.
+    """Task function: the fields of the kept ones of lines ``(file, start, value)`` with their sentence and place.
 
     ``before`` has the sentences before every block, and the tokens before it of the sentence it goes on with.
     """
@@ -176,7 +181,8 @@ def _numbered(before: dict) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, ended, at = None, 0, 0
         for batch in batches:
-            blank, kept = _flags(batch)
+            lines = _stripped(batch.column(2))
+            blank, kept = _flags(lines)
             ids, places = np.zeros(batch.num_rows, dtype=np.int64), np.zeros(batch.num_rows, dtype=np.int32)
             for block, begin, end in _blocks(batch):
                 if block != now:
@@ -187,8 +193,10 @@ def _numbered(before: dict) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
                 reset = np.maximum.accumulate(np.where(blank[begin:end] > 0, earlier, -at))
                 ids[begin:end], places[begin:end] = ended + own, earlier - reset
                 ended, at = ended + int(own[-1]), int(found[-1] - reset[-1])
-            rows = pa.RecordBatch.from_arrays([pa.array(ids), pa.array(places), *batch.columns[4:]], ["doc_id", "pos", "token", "label"])
-            yield rows.filter(batch.column(3))
+            here = kept > 0
+            fields = pc.split_pattern(lines.filter(pa.array(here)), "\t").flatten()
+            token, label = (fields.take(pa.array(np.arange(k, len(fields), 3))) for k in (1, 2))
+            yield pa.RecordBatch.from_arrays([pa.array(ids[here]), pa.array(places[here]), token, label], ["doc_id", "pos", "token", "label"])
 
     return number
 
@@ -281,7 +289,10 @@ def sentences(rows: DataFrame) -> DataFrame:
         parts = let(F.split(r["labels"], MARK), lambda y: F.transform(F.split(r["tokens"], MARK), lambda t, i: place(t, i, y)))
         return F.when(r["first"].isNotNull(), parts.cast(kind)).otherwise(F.arrays_zip(*[r[c].alias(c) for c in columns]).cast(kind))
 
-    return gathered.select("doc_id", F.sort_array(F.flatten(F.transform("_runs", unpacked))).alias("sentence"))
+    # A sentence of one packed run is in order; nothing of it has to be compared.
+    whole = (F.size("_runs") == 1) & F.get(F.col("_runs"), F.lit(0))["first"].isNotNull()
+    alone = unpacked(F.get(F.col("_runs"), F.lit(0)))
+    return gathered.select("doc_id", F.when(whole, alone).otherwise(F.sort_array(F.flatten(F.transform("_runs", unpacked)))).alias("sentence"))
 
 
 def read_report(spark: SparkSession, path: str) -> DataFrame:

@@ -91,6 +91,20 @@ def test_token_lines_are_not_shuffled_to_number_sentences(spark, tmp_path):
     assert sorted(r["token"] for r in read.collect()) == sorted(t for _, ts, _ in rows for t in ts)
 
 
+def test_token_lines_are_taken_apart_in_columns(spark, tmp_path):
+    """No line is stripped or split one by one by the engine; spaces of any kind and bytes that are no text are as before."""
+    lines = ["sentence_id\ttoken\tlabel", "\u30001\ta b\tO\u00a0", "1\tc\tB-X\t", "1\ttoo\tmany\tfields", " \u2003", "", "2\t\tO", "sentence_id2\tx\tO", "y\tsentence_id\tO"]
+    (tmp_path / "a.tsv").write_bytes("\n".join(lines).encode())
+    (tmp_path / "b.tsv").write_bytes(b"1\tx\xff\tO\n \n 1\ty\tO ")
+    read = R.read_bio_sentences(spark, str(tmp_path))
+    plan = read._sc._jvm.PythonSQLUtils.explainString(read._jdf.queryExecution(), "simple")
+    assert "split(" not in plan and "trim(" not in plan.lower()
+    rows = read.select("doc_id", "pos", F.hex(F.col("token").cast("binary")).alias("t"), "label").collect()
+    want = [(0, 0, "a b"), (0, 1, "c"), (2, 0, ""), (2, 1, "x"), (2, 2, "sentence_id"), (3, 0, None), (4, 0, "y")]
+    assert [(r["doc_id"], r["pos"], r["t"]) for r in sorted(rows)] == [(d, p, "78FF" if t is None else t.encode().hex().upper()) for d, p, t in want]
+    assert sorted(r["label"] for r in rows) == ["B-X", "O", "O", "O", "O", "O", "O"]
+
+
 def test_token_files_shuffle_packed_runs(spark, tmp_path):
     odd = [(None, 0, "n", "O"), (7, 3, None, "O"), (7, 0, "a\x1fb", "O"), (7, 1, "x", None), (8, None, "z", "O"), (9, 1, "twice", "O"), (9, 1, "twice", "O")]
     rows = [(d, p, f"t{d}_{p}", "O") for d in range(20, 60) for p in range(d % 7)] + odd
